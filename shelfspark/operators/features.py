@@ -94,19 +94,26 @@ def add_calendar_phases(panel: DataFrame) -> DataFrame:
     )
 
 
-def engineer_features(panel: DataFrame) -> DataFrame:
-    """Every feature except the fitted encodings.
-
-    Lags, rolling frames and the payment ratio are requested together, so the planner evaluates
-    them over one partitioning and one sort.
-    """
+def add_window_features(panel: DataFrame) -> DataFrame:
+    """Lags, rolling frames and the payment ratio in one pass over one sort of the series."""
     windowed = {
         **lag_columns(_present(panel, C.LAG_TARGETS), C.LAG_DAYS),
         **rolling_columns(_present(panel, C.ROLL_TARGETS), C.ROLL_DAYS),
     }
     if {"amount_cash", "amount_total"} <= set(panel.columns):
         windowed["cash_ratio_roll_30d"] = cash_ratio_column()
-    return panel.withColumns(windowed).transform(add_store_ratios).transform(add_calendar_phases)
+    return panel.withColumns(windowed)
+
+
+def engineer_features(panel: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """Every feature except the fitted encodings.
+
+    Pass the calendar separately to join it after the windows: the rows they sort and buffer are
+    then half as wide. The panel must be dense in either case.
+    """
+    windowed = add_window_features(panel)
+    dated = windowed if calendar is None else windowed.join(calendar, C.DAY)
+    return dated.transform(add_store_ratios).transform(add_calendar_phases)
 
 
 def split_column(splits: C.Splits, day: str = C.DAY) -> Column:

@@ -35,21 +35,17 @@ def _span(calendar: DataFrame) -> tuple[Column, Column]:
 def open_series(
     facts: DataFrame, stores: DataFrame, calendar: DataFrame, categories: DataFrame | None = None
 ) -> DataFrame:
-    """Facts with their store's attributes plus one opening row per series, partitioned by series.
+    """Facts plus one opening row per series that carries the store's attributes, partitioned by
+    series. ``_fact`` tells facts from opening rows.
 
-    Store attributes join here, on compact rows, and ride along when gaps unfold. Facts outside
-    the store, category or date domain drop out. ``_fact`` tells facts from opening rows.
+    This is the only shuffle of the panel, and it moves facts, not grid cells.
     """
     first, last = _span(calendar)
     if categories is None:
         categories = domains(facts, stores, calendar)["category"]
     heads = series_keys(stores, categories).withColumn(C.DAY, first).withColumn("_fact", F.lit(0))
-    known = (
-        facts.where(F.col("category").isNotNull() & F.col(C.DAY).between(first, last))
-        .join(stores, "store_id")
-        .withColumn("_fact", F.lit(1))
-    )
-    rows = known.unionByName(heads, allowMissingColumns=True)
+    known = facts.where(F.col("category").isNotNull() & F.col(C.DAY).between(first, last))
+    rows = known.withColumn("_fact", F.lit(1)).unionByName(heads, allowMissingColumns=True)
     return rows.repartition(series_partitions(facts.sparkSession), *C.KEYS)
 
 
@@ -57,21 +53,34 @@ def unfold_gaps(rows: DataFrame, calendar: DataFrame, measures: Sequence[str]) -
     """Each row unfolds the empty days up to the next row of its series.
 
     The product of the domain lists is never shuffled or joined, and what follows can window over
-    the partitioning by series that the rows already have. Several facts on one cell all stay.
+    the partitioning by series that the rows already have. The opening row sorts first and hands
+    its attributes to the whole series; a series without one has a store outside the dimension and
+    drops out. Several facts on one cell all stay.
     """
     _, last = _span(calendar)
-    following = F.coalesce(
-        F.lead(C.DAY).over(Window.partitionBy(*C.KEYS).orderBy(C.DAY, "_fact")), F.date_add(last, 1)
-    )
+    in_order = Window.partitionBy(*C.KEYS).orderBy(C.DAY, "_fact")
+    attributes = [c for c in rows.columns if c not in (*measures, *C.KEYS, C.DAY, "_fact")]
     day = F.col(C.DAY)
     gap = F.when(F.col("_next") > day, F.sequence(day, F.date_sub("_next", 1)))
     covered = F.when(F.col("_fact") == 1, F.coalesce(gap, F.array(day))).otherwise(gap)
-    carried = [c for c in rows.columns if c not in (*measures, C.DAY, "_fact")]
     observed = (F.col("_pos") == 0) & (F.col("_fact") == 1)
     return (
-        rows.withColumn("_next", following)
-        .select(*carried, *measures, "_fact", F.posexplode(covered).alias("_pos", C.DAY))
-        .select(C.DAY, *carried, *[F.when(observed, F.col(m)).alias(m) for m in measures])
+        rows.select(
+            *C.KEYS,
+            C.DAY,
+            "_fact",
+            *measures,
+            F.coalesce(F.lead(C.DAY).over(in_order), F.date_add(last, 1)).alias("_next"),
+            F.first(F.struct("_fact", *attributes)).over(in_order).alias("_head"),
+        )
+        .where(F.col("_head._fact") == 0)
+        .select(*C.KEYS, "_head", *measures, "_fact", F.posexplode(covered).alias("_pos", C.DAY))
+        .select(
+            C.DAY,
+            *C.KEYS,
+            *[F.col(f"_head.{a}").alias(a) for a in attributes],
+            *[F.when(observed, F.col(m)).alias(m) for m in measures],
+        )
     )
 
 
@@ -107,14 +116,14 @@ def with_calendar(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     return panel.join(calendar, "date", "left")
 
 
-def master_panel(
+def repaired_grid(
     facts: DataFrame,
     stores: DataFrame,
     calendar: DataFrame,
     train_end=None,
     categories: DataFrame | None = None,
 ) -> DataFrame:
-    """Repair facts, densify, flag, attach dimensions, zero-fill, in that order.
+    """Repair facts, densify, flag outages, zero-fill; store attributes included.
 
     Only facts are repaired, so empty cells never receive medians. From the partitioning by
     series on there is no further shuffle, up to and including the feature windows.
@@ -122,9 +131,15 @@ def master_panel(
     measures = [c for c in facts.columns if c not in (*C.KEYS, C.DAY)]
     known = apply_identities(facts)
     rows = open_series(known, stores, calendar, categories).transform(fill_medians, train_end, known)
-    return (
-        unfold_gaps(rows, calendar, measures)
-        .transform(flag_outages)
-        .join(calendar, C.DAY)
-        .transform(zero_fill)
-    )
+    return unfold_gaps(rows, calendar, measures).transform(flag_outages).transform(zero_fill)
+
+
+def master_panel(
+    facts: DataFrame,
+    stores: DataFrame,
+    calendar: DataFrame,
+    train_end=None,
+    categories: DataFrame | None = None,
+) -> DataFrame:
+    """The repaired grid with calendar attributes; days the calendar skips drop out."""
+    return repaired_grid(facts, stores, calendar, train_end, categories).join(calendar, C.DAY)

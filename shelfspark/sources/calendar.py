@@ -6,7 +6,6 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Official holidays that fall on the same day each year.
 FIXED_HOLIDAYS = (
@@ -25,14 +24,6 @@ SEASONS = {
     "Verano": (6, 7, 8),
     "Otoño": (9, 10, 11),
 }
-EVENTS = T.StructType(
-    [
-        T.StructField("kind", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("first_day", T.DateType()),
-        T.StructField("last_day", T.DateType()),
-    ]
-)
 
 
 def easter_sunday(year: int) -> date:
@@ -62,14 +53,24 @@ def event_intervals(first_year: int, last_year: int) -> list[tuple[str, str, dat
 def build_calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row per day from ``start`` to ``end``.
 
-    Events are spread over their days first, so the lookup is an equi-join on the date.
+    Events are spread over their days first, so the lookup is an equi-join on the date. Both
+    sides are literals whose size the planner knows, here and where the calendar is joined.
     """
     d = F.col("date")
     season = F.coalesce(
         *[F.when(F.month(d).isin(*months), F.lit(name)) for name, months in SEASONS.items()]
     )
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date"))
-    intervals = spark.createDataFrame(event_intervals(start.year, end.year), EVENTS)
+    literals = [
+        F.struct(
+            F.lit(kind).alias("kind"),
+            F.lit(name).alias("name"),
+            F.lit(first).alias("first_day"),
+            F.lit(last).alias("last_day"),
+        )
+        for kind, name, first, last in event_intervals(start.year, end.year)
+    ]
+    intervals = spark.range(1).select(F.inline(F.array(*literals)))
     marks = (
         intervals.select("kind", "name", F.explode(F.sequence("first_day", "last_day")).alias("date"))
         .groupBy("date")
