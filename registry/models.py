@@ -404,6 +404,6 @@ def flagship(spark, folder):
     return scoring.score(training.rolling_forecasts(_panel(spark, folder), SPLITS)).orderBy("wape")
 
 
-@register("e01_rolling_evaluation")
+@register("m04_rolling_evaluation")
 def e01(spark, folder):
     return flagship(spark, folder)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,16 +62,11 @@ def build_calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
         *[F.when(F.month(d).isin(*months), F.lit(name)) for name, months in SEASONS.items()]
     )
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date"))
-    literals = [
-        F.struct(
-            F.lit(kind).alias("kind"),
-            F.lit(name).alias("name"),
-            F.lit(first).alias("first_day"),
-            F.lit(last).alias("last_day"),
-        )
-        for kind, name, first, last in event_intervals(start.year, end.year)
-    ]
-    intervals = spark.range(1).select(F.inline(F.array(*literals)))
+    names = ("kind", "name", "first_day", "last_day")
+    events = event_intervals(start.year, end.year)
+    intervals = spark.createDataFrame(
+        pa.table({n: [e[i] for e in events] for i, n in enumerate(names)})
+    )
     marks = (
         intervals.select("kind", "name", F.explode(F.sequence("first_day", "last_day")).alias("date"))
         .groupBy("date")

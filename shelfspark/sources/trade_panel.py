@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,16 +31,6 @@ SPLITS = Splits(
 )
 
 
-@dataclass(frozen=True)
-class RetailTables:
-    """The three inputs of every job. ``lines`` keeps the unaggregated source rows."""
-
-    facts: DataFrame
-    stores: DataFrame
-    calendar: DataFrame
-    lines: DataFrame
-
-
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -172,11 +163,30 @@ def store_dimension(spark: SparkSession, folder: str, grain: str = "supplier") -
     )
 
 
+@dataclass
+class RetailTables:
+    """The three inputs of every job; ``lines`` are the unaggregated source rows."""
+
+    spark: SparkSession
+    folder: str
+    grain: str
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return trade_lines(self.spark, self.folder, self.grain)
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return facts_from_lines(self.lines)
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return store_dimension(self.spark, self.folder, self.grain)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return build_calendar(self.spark, PERIOD_START, PERIOD_END)
+
+
 def load_trade_panel(spark: SparkSession, folder: str, grain: str = "supplier") -> RetailTables:
-    lines = trade_lines(spark, folder, grain)
-    return RetailTables(
-        facts=facts_from_lines(lines),
-        stores=store_dimension(spark, folder, grain),
-        calendar=build_calendar(spark, PERIOD_START, PERIOD_END),
-        lines=lines,
-    )
+    return RetailTables(spark, folder, grain)
