@@ -16,8 +16,9 @@ def load(spark: SparkSession, folder: str, grain: str = "supplier") -> RetailTab
 
 
 def inputs(spark: SparkSession, folder: str, grain: str = "supplier") -> Inputs:
-    t = load(spark, folder, grain)
-    return Inputs(t.facts, t.stores, t.calendar, SPLITS, t.lines.select("category").distinct())
+    """Tables for jobs that pass over the facts more than once."""
+    t = load(spark, folder, grain).stored()
+    return Inputs(t.facts, t.stores, t.calendar, SPLITS)
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -32,31 +33,36 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-def digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+# Added before a value is cut to three decimals. Sums and quotients of cents often lie exactly
+# halfway between two of them, where a last-bit difference between engines would show.
+OFF_BOUNDARY = 0.000123457
+
+
+def digest(df: DataFrame, columns: Sequence[str], key: Sequence[str] = ("store_id", "category"), day: str = "date") -> DataFrame:
     """One row per series over all its cells: for each column the number of known values, their
     sum and their sum weighted by the day number, which pins every value to its day."""
-    day_no = F.datediff("date", F.lit(PERIOD_START))
+    day_no = F.datediff(day, F.lit(PERIOD_START))
     aggregates = [F.count("*").alias("cells")]
     for c in columns:
-        exact = F.col(c).cast("double").cast("decimal(20,6)")
+        exact = (F.col(c).cast("double") + F.lit(OFF_BOUNDARY)).cast("decimal(20,3)")
         aggregates += [
             F.count(c).alias(f"{c}_n"),
             F.sum(exact).cast("double").alias(f"{c}_sum"),
-            F.sum((exact * day_no).cast("decimal(28,6)")).cast("double").alias(f"{c}_by_day"),
+            F.sum((exact * day_no).cast("decimal(28,3)")).cast("double").alias(f"{c}_by_day"),
         ]
-    return tidy(df.groupBy("store_id", "category").agg(*aggregates), 4)
+    return df.groupBy(*key).agg(*aggregates)
 
 
-def digest_sql(source: str, columns: Sequence[str]) -> str:
-    parts = ["store_id", "category", "count(*) AS cells"]
+def digest_sql(source: str, columns: Sequence[str], key: str = "store_id, category", day: str = "date") -> str:
+    parts = [key, "count(*) AS cells"]
     for c in columns:
-        exact = f"({c})::double::decimal(20,6)"
+        exact = f"(({c})::double + {OFF_BOUNDARY}::double)::decimal(20,3)"
         parts += [
             f"count({c}) AS {c}_n",
-            f"round(sum({exact})::double, 4) AS {c}_sum",
-            f"round(sum(({exact} * date_diff('day', date '1995-01-02', date))::decimal(28,6))::double, 4) AS {c}_by_day",
+            f"sum({exact})::double AS {c}_sum",
+            f"sum(({exact} * date_diff('day', date '1995-01-02', {day}))::decimal(28,3))::double AS {c}_by_day",
         ]
-    return f"SELECT {', '.join(parts)} FROM {source} GROUP BY store_id, category"
+    return f"SELECT {', '.join(parts)} FROM {source} GROUP BY {key}"
 
 
 _EVENTS = """
@@ -228,7 +234,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "folds": (
         ("series",),
         """SELECT t.unique_id, c.cutoff, t.ds, date_diff('day', c.cutoff, t.ds) AS step, t.y, p.y AS yhat
- FROM series t JOIN (SELECT (date '2001-09-29' - 7 * k)::date AS cutoff FROM range(8) AS r(k)) c
+ FROM series t JOIN (SELECT (date '2001-09-29' - (7 * k)::int) AS cutoff FROM range(8) AS r(k)) c
   ON t.ds > c.cutoff AND t.ds <= c.cutoff + 7
  JOIN series p ON p.unique_id = t.unique_id AND p.ds = t.ds - 7""",
     ),

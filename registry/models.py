@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.common import inputs, load, tidy, with_ctes
+from registry.common import digest, digest_sql, inputs, load, tidy, with_ctes
 from registry.panel import COMPLETE_SQL, ENC_CTES
 from shelfspark import contract as C
 from shelfspark.functions import scores as S
 from shelfspark.operators import anomaly, boosting, scoring, series, smoothing
 from shelfspark.plans import challenge, training
-from shelfspark.session import scratch_path
+from shelfspark.session import scratch_path, settle
 from shelfspark.sources.trade_panel import SPLITS
 
 VAL_END = SPLITS.val_end
@@ -38,24 +38,11 @@ def _series(spark, folder, grain="supplier"):
 
 
 def _series_digest(df):
-    day_no = F.datediff("ds", F.lit(SPLITS.start))
-    exact = F.col("y").cast("decimal(20,6)")
-    return tidy(
-        df.groupBy("unique_id").agg(
-            F.count("*").alias("n_days"),
-            F.count("y").alias("known"),
-            F.sum(exact).cast("double").alias("y_sum"),
-            F.sum((exact * day_no).cast("decimal(28,6)")).cast("double").alias("y_by_day"),
-        ),
-        4,
-    )
+    return digest(df, ["y"], ["unique_id"], "ds")
 
 
 def _series_digest_sql(source):
-    return f"""SELECT unique_id, count(*) AS n_days, count(y) AS known,
- round(sum(y::decimal(20,6))::double, 4) AS y_sum,
- round(sum((y::decimal(20,6) * date_diff('day', date '1995-01-02', ds))::decimal(28,6))::double, 4) AS y_by_day
- FROM {source} GROUP BY unique_id"""
+    return digest_sql(source, ["y"], "unique_id", "ds")
 
 
 @register("t01_series", with_ctes(_series_digest_sql("series_raw"), "series_raw"))
@@ -89,10 +76,10 @@ def t04(spark, folder):
 
 LONG_SQL = """SELECT t.unique_id, c.cutoff, t.ds, date_diff('day', c.cutoff, t.ds)::bigint AS step,
  round(t.y, 6) AS y, round(p.y, 6) AS yhat FROM series t
- JOIN (SELECT (date '2001-09-22' - 7 * k)::date AS cutoff FROM range(3) AS r(k)) c
+ JOIN (SELECT (date '2001-09-22' - (7 * k)::int) AS cutoff FROM range(3) AS r(k)) c
   ON t.ds > c.cutoff AND t.ds <= c.cutoff + 14
  JOIN series p ON p.unique_id = t.unique_id
-  AND p.ds = t.ds - 7 * ((date_diff('day', c.cutoff, t.ds) + 6) // 7)::int"""
+  AND p.ds = t.ds - (7 * ((date_diff('day', c.cutoff, t.ds) + 6) // 7))::int"""
 
 
 @register("t04_overlapping_folds", with_ctes(LONG_SQL, "series"))
@@ -173,7 +160,7 @@ def t09(spark, folder):
 
 
 def _boosted(spark, folder, preset):
-    matrix = training.training_matrix(inputs(spark, folder, "region")).cache()
+    matrix = settle(training.training_matrix(inputs(spark, folder, "region")))
     model = boosting.DemandRegressor(preset, dict(FEW_TREES))
     names = training.matrix_features(matrix)
     train, val = (matrix.where(F.col("split") == s) for s in ("TRAIN", "VAL"))
@@ -368,14 +355,14 @@ def m07(spark, folder):
 
 @register("q09_isolation_forest")
 def q09(spark, folder):
-    t = load(spark, folder)
+    t = load(spark, folder).stored()
     found = anomaly.find_anomalies(t.facts, t.calendar)
     return found.select("date", *C.KEYS, *C.FOREST_FEATURES, "normality", "commercial", "pos_error")
 
 
 @register("q10_anomaly_summary")
 def q10_summary(spark, folder):
-    t = load(spark, folder)
+    t = load(spark, folder).stored()
     return anomaly.summarize_anomalies(anomaly.find_anomalies(t.facts, t.calendar))
 
 
@@ -405,5 +392,5 @@ def flagship(spark, folder):
 
 
 @register("m04_rolling_evaluation")
-def e01(spark, folder):
+def m04_rolling(spark, folder):
     return flagship(spark, folder)

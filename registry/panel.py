@@ -247,7 +247,7 @@ def i04(spark, folder):
     ),
 )
 def i05(spark, folder):
-    return tidy(impute.category_medians(impute.apply_identities(load(spark, folder).facts), TRAIN_END))
+    return tidy(impute.category_medians(impute.apply_identities(load(spark, folder).stored().facts), TRAIN_END))
 
 
 @register(
@@ -265,7 +265,7 @@ def i06(spark, folder):
 
 @register("i07_repaired_facts", with_ctes(f"SELECT {FACT_SQL} FROM clean", "clean"))
 def i07(spark, folder):
-    return tidy(impute.repair_readings(load(spark, folder).facts, TRAIN_END))
+    return tidy(impute.repair_readings(load(spark, folder).stored().facts, TRAIN_END))
 
 
 # The unbounded variant: the frame is its own reference, so category medians see weekday fills.
@@ -280,7 +280,7 @@ _OPEN_CTES = """, wk AS (SELECT store_id, category, isodow(date) AS d, quantile_
 
 @register("i07_repaired_without_bound", with_ctes(_OPEN_CTES, "known"))
 def i07_open(spark, folder):
-    repaired = impute.repair_readings(load(spark, folder).facts)
+    repaired = impute.repair_readings(load(spark, folder).stored().facts)
     return tidy(repaired.select("date", "store_id", "category", "units_sold"))
 
 
@@ -420,9 +420,9 @@ _phase("f11_month_phase", ["is_month_start", "is_month_end"])
 @register(
     "f12_fit_target_means",
     with_ctes(
-        """SELECT 'category' AS "column", category AS "key", round(m, 6) AS mean_target,
- round((SELECT m FROM global_enc), 6) AS global_mean FROM category_enc
- UNION ALL SELECT 'store_format', store_format, round(m, 6), round((SELECT m FROM global_enc), 6) FROM format_enc""",
+        """SELECT 'category' AS "column", category AS "key", round(m, 6) AS mean_target FROM category_enc
+ UNION ALL SELECT 'store_format', store_format, round(m, 6) FROM format_enc
+ UNION ALL SELECT 'overall', 'overall', round(m, 6) FROM global_enc""",
         "category_enc",
         "format_enc",
         "global_enc",
@@ -444,8 +444,8 @@ ENC_SQL = """SELECT f.date, f.store_id, f.category,
     "f13_apply_target_means", with_ctes(ENC_SQL, "facts", "stores", "category_enc", "format_enc", "global_enc")
 )
 def f13(spark, folder):
-    t = load(spark, folder)
-    train = _master(spark, folder).where(F.col("date") <= F.lit(TRAIN_END))
+    t = inputs(spark, folder)
+    train = training.panel(t).where(F.col("date") <= F.lit(TRAIN_END))
     rows = grid.with_stores(t.facts.select("date", "store_id", "category"), t.stores)
     encoded = encoders.apply_target_means(rows, encoders.fit_target_means(train))
     return tidy(
@@ -576,7 +576,7 @@ def f18(spark, folder):
     ),
 )
 def x02(spark, folder):
-    return tidy(impute.repair_coverage(load(spark, folder).facts, TRAIN_END))
+    return tidy(impute.repair_coverage(load(spark, folder).stored().facts, TRAIN_END))
 
 
 @register("x03_leak_flags")

@@ -285,7 +285,7 @@ BOUNDS_SQL = f"""SELECT "column", n, q25, q75, q75 - q25 AS iqr, q25 - 1.5 * (q7
     ),
 )
 def q07(spark, folder):
-    return tidy(quality.iqr_bounds(load(spark, folder).facts))
+    return tidy(quality.iqr_bounds(load(spark, folder).stored().facts))
 
 
 @register(
@@ -298,7 +298,7 @@ def q07(spark, folder):
     ),
 )
 def q08(spark, folder):
-    return tidy(quality.iqr_outliers(load(spark, folder).facts))
+    return tidy(quality.iqr_outliers(load(spark, folder).stored().facts))
 
 
 SKEW_SQL = "round(coalesce(CASE WHEN isnan(skewness(v)) THEN 0 ELSE skewness(v) END, 0), 6)"
@@ -328,7 +328,7 @@ PERCENTILE_SQL = ", ".join(
     with_ctes(f'SELECT "column", {PERCENTILE_SQL} FROM ({LONG_MEASURES}) GROUP BY "column"', "facts"),
 )
 def p02(spark, folder):
-    return tidy(profile.percentiles(load(spark, folder).facts))
+    return tidy(profile.percentiles(load(spark, folder).stored().facts))
 
 
 @register("p02_percentiles_approx")
@@ -379,7 +379,7 @@ def p04(spark, folder):
     ),
 )
 def p05(spark, folder):
-    t = load(spark, folder)
+    t = load(spark, folder).stored()
     return tidy(profile.format_performance(t.facts, t.stores))
 
 
@@ -412,7 +412,7 @@ def p06(spark, folder):
     ),
 )
 def p07(spark, folder):
-    return tidy(profile.promotion_split(load(spark, folder).facts))
+    return tidy(profile.promotion_split(load(spark, folder).stored().facts))
 
 
 @register(
@@ -603,7 +603,7 @@ def _box_sql(source: str, by: list[str]) -> str:
     ),
 )
 def v03(spark, folder):
-    t = load(spark, folder)
+    t = load(spark, folder).stored()
     return tidy(charts.store_boxes(t.facts, t.stores))
 
 
@@ -644,7 +644,7 @@ CALENDAR_DAYS = "facts JOIN calendar USING (date)"
 
 def _dated(spark, folder):
     """Facts with the calendar columns the notebook profiles."""
-    t = load(spark, folder)
+    t = load(spark, folder).stored()
     return t.facts.join(t.calendar, "date", "left")
 
 
@@ -865,7 +865,7 @@ def s03(spark, folder):
 @register("s04_read_statistics")
 def s04(spark, folder):
     """The whole statistics document of the exploration run, written and read back."""
-    t = load(spark, folder)
+    t = load(spark, folder).stored()
     document = exploration.statistics(t.facts, t.stores, t.calendar)
     return read_metrics(spark, write_metrics(document, scratch_path(spark, "statistics")))
 

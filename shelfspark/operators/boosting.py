@@ -57,9 +57,9 @@ class DemandRegressor:
             maxMemoryInMB=512,
             checkpointInterval=10,
             cacheNodeIds=True,
+            validationTol=0.001,
+            **({"validationIndicatorCol": "held_out"} if stopping else {}),
         )
-        if stopping:
-            booster = booster.setValidationIndicatorCol("held_out").setValidationTol(0.001)
         assembler = VectorAssembler(inputCols=self.features, outputCol="features")
         fitted = booster.fit(assembler.transform(rows))
         self.model = PipelineModel([assembler, fitted])

@@ -8,49 +8,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark import contract as C
-from shelfspark.functions.lookups import joined_key, lookup_map
+from shelfspark.functions.lookups import lookup_map
 
 ENCODED = ("category", "store_format")
 
 
+# Names the row that holds the global mean.
+OVERALL = "overall"
+
+
 def fit_target_means(
     train: DataFrame, target: str = "replenishment_signal", columns: Sequence[str] = ENCODED
 ) -> DataFrame:
-    """(column, key, mean_target, global_mean). Grouping sets give all levels in one pass;
-    the grand total is the set without keys."""
+    """(column, key, mean_target) for every level, plus the global mean under ``overall``.
+
+    Grouping sets give all of them in one pass over the training rows.
+    """
     present = [c for c in columns if c in train.columns]
     sets = [[F.col(c)] for c in present] + [[]]
-    level = F.grouping_id()
-    total = (1 << len(present)) - 1
     means = train.groupingSets(sets, *present).agg(
-        level.alias("level"), F.avg(F.col(target).cast("double")).alias("mean_target")
+        F.grouping_id().alias("level"), F.avg(F.col(target).cast("double")).alias("mean_target")
     )
-    column, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+    everything = (1 << len(present)) - 1
+    column = key = F.lit(OVERALL)
     for i, c in enumerate(present):
-        mine = total & ~(1 << (len(present) - 1 - i))
-        column = F.when(F.col("level") == mine, F.lit(c)).otherwise(column)
-        key = F.when(F.col("level") == mine, F.col(c).cast("string")).otherwise(key)
-    named = means.select(column.alias("column"), key.alias("key"), "mean_target")
-    grand = named.where(F.col("column").isNull()).select(F.col("mean_target"))
-    return named.where(F.col("column").isNotNull() & F.col("key").isNotNull()).withColumn(
-        "global_mean", grand.scalar()
-    )
+        mine = F.col("level") == (everything & ~(1 << (len(present) - 1 - i)))
+        column, key = F.when(mine, F.lit(c)).otherwise(column), F.when(mine, F.col(c).cast("string")).otherwise(key)
+    return means.select(column.alias("column"), key.alias("key"), "mean_target").where(F.col("key").isNotNull())
 
 
 def apply_target_means(df: DataFrame, means: DataFrame, columns: Sequence[str] = ENCODED) -> DataFrame:
     """``<column>_target_enc``; keys unseen in training get the global training mean.
 
-    Encoded columns are short domain lists, so the means are a lookup and nothing is joined.
+    Encoded columns are short domain lists, so the means are one lookup and nothing is joined.
     """
-    present = [c for c in columns if c in df.columns]
-    seen = lookup_map(means, joined_key(["column", "key"]), F.col("mean_target"))
-    overall = means.agg(F.max("global_mean")).scalar()
-    encoded = {}
-    for c in present:
-        text = F.col(c).cast("string")
-        key = F.concat(F.lit(f"{len(c)}:{c}"), F.length(text).cast("string"), F.lit(":"), text)
-        encoded[f"{c}_target_enc"] = F.coalesce(seen[key], overall)
-    return df.withColumns(encoded)
+    seen = lookup_map(means, F.concat_ws("=", "column", "key"), F.col("mean_target"))
+    overall = seen[F.lit(f"{OVERALL}={OVERALL}")]
+    return df.withColumns(
+        {
+            f"{c}_target_enc": F.coalesce(seen[F.concat(F.lit(f"{c}="), F.col(c).cast("string"))], overall)
+            for c in columns
+            if c in df.columns
+        }
+    )
 
 
 def ordinal(column: str, order: dict[str, int], default: int = 0) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfspark import contract as C
 from shelfspark.operators import boosting, encoders, features, scoring, series, smoothing
 from shelfspark.operators.grid import master_panel, repaired_grid
+from shelfspark.session import settle
 from shelfspark.sources.documents import flatten
 
 LAG_BASELINE = "SeasonalNaive"
@@ -63,7 +64,11 @@ def lag_baseline(matrix: DataFrame) -> DataFrame:
 
 
 def tabular_forecasts(matrix: DataFrame, models: dict[str, boosting.DemandRegressor]) -> DataFrame:
-    """Fit each boosted model on TRAIN and predict VAL, next to the lag baseline."""
+    """Fit each boosted model on TRAIN and predict VAL, next to the lag baseline.
+
+    The matrix is written once, because every boosting round passes over it.
+    """
+    matrix = settle(matrix)
     names = matrix_features(matrix)
     train, val = (matrix.where(F.col("split") == s) for s in ("TRAIN", "VAL"))
     out = lag_baseline(matrix)

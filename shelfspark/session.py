@@ -48,10 +48,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute a frame once and cut its lineage, for frames that several jobs read."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write a frame once to the shared folder and read it back.
+
+    For frames that several jobs read: it survives lost executors, keeps column pruning and file
+    statistics for the planner, and cuts the lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def series_partitions(spark: SparkSession) -> int:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.contract import Splits
+from shelfspark.session import settle
 from shelfspark.sources.calendar import build_calendar
 
 # The span of ship dates at every scale, and the last day the signal feed was up.
@@ -187,6 +188,13 @@ class RetailTables:
     def calendar(self) -> DataFrame:
         return build_calendar(self.spark, PERIOD_START, PERIOD_END)
 
+    def stored(self) -> RetailTables:
+        """The same tables with the facts written once, for jobs that pass over them repeatedly:
+        the line items are then read and aggregated a single time."""
+        kept = RetailTables(self.spark, self.folder, self.grain)
+        kept.__dict__["facts"] = settle(self.facts, "facts")
+        return kept
+
 
 def load_trade_panel(spark: SparkSession, folder: str, grain: str = "supplier") -> RetailTables:
     return RetailTables(spark, folder, grain)
