@@ -42,8 +42,10 @@ def reconcile(claims: DataFrame, metrics: DataFrame) -> DataFrame:
 
 def numbers_in(draft: DataFrame) -> DataFrame:
     """(number) distinct figures quoted in a text, thousands separators removed."""
-    token = F.explode(F.regexp_extract_all("line", F.lit(r"(-?\d[\d,]*(?:\.\d+)?)"), F.lit(1)))
-    return draft.select(F.regexp_replace(token, ",", "").cast("double").alias("number")).distinct()
+    tokens = draft.select(
+        F.explode(F.regexp_extract_all("line", F.lit(r"(-?\d[\d,]*(?:\.\d+)?)"), F.lit(1))).alias("token")
+    )
+    return tokens.select(F.regexp_replace("token", ",", "").cast("double").alias("number")).distinct()
 
 
 def audit_draft(draft: DataFrame, metrics: DataFrame) -> DataFrame:
