@@ -36,7 +36,7 @@ def null_counts(df: DataFrame) -> DataFrame:
     return (
         df.agg(F.array(*per_column).alias("rows"))
         .select(F.inline("rows"))
-        .withColumn("null_percentage", F.col("null_count") / F.col("total_rows") * 100)
+        .withColumn("null_percentage", F.try_divide("null_count", "total_rows") * 100)
     )
 
 
@@ -47,7 +47,7 @@ def null_totals(df: DataFrame) -> DataFrame:
         F.max("total_rows").alias("total_rows"),
         F.sum("null_count").alias("total_null_cells"),
         cells.alias("total_cells"),
-        (F.sum("null_count") / cells * 100).alias("global_null_percentage"),
+        (F.try_divide(F.sum("null_count"), cells) * 100).alias("global_null_percentage"),
     )
 
 

@@ -57,7 +57,7 @@ def payment_shares(facts: DataFrame) -> DataFrame:
     )
 
     def share(part: str, whole: str) -> Column:
-        return F.col(part) / F.col(whole) * 100
+        return F.try_divide(part, whole) * 100
 
     return totals.withColumns(
         {
@@ -87,10 +87,10 @@ def _group_means(parts: DataFrame, key: str) -> DataFrame:
     return parts.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.count("*").alias("store_count"),
         F.sum("sales").cast("double").alias("total_sales_mxn"),
-        (F.sum("sales").cast("double") / F.sum("sales_n")).alias("mean_daily_sales_mxn"),
-        (F.sum("ticket") / F.sum("ticket_n")).alias("mean_avg_ticket_mxn"),
-        (F.sum("units").cast("double") / F.sum("units_n")).alias("mean_units_sold"),
-        (F.sum("cash").cast("double") / F.sum("sales").cast("double") * 100).alias("cash_share_pct"),
+        F.try_divide(F.sum("sales").cast("double"), F.sum("sales_n")).alias("mean_daily_sales_mxn"),
+        F.try_divide(F.sum("ticket"), F.sum("ticket_n")).alias("mean_avg_ticket_mxn"),
+        F.try_divide(F.sum("units").cast("double"), F.sum("units_n")).alias("mean_units_sold"),
+        (F.try_divide(F.sum("cash").cast("double"), F.sum("sales").cast("double")) * 100).alias("cash_share_pct"),
     )
 
 
@@ -119,8 +119,8 @@ def promotion_split(facts: DataFrame) -> DataFrame:
     means = known.groupBy("has_promotion").agg(
         F.count("*").alias("record_count"),
         (F.count("*") / rows * 100).alias("record_pct"),
-        (money_sum("amount_total") / F.count("amount_total")).alias("mean_amount_total"),
-        (money_sum("units_sold") / F.count("units_sold")).alias("mean_units_sold"),
+        F.try_divide(money_sum("amount_total"), F.count("amount_total")).alias("mean_amount_total"),
+        F.try_divide(money_sum("units_sold"), F.count("units_sold")).alias("mean_units_sold"),
         F.avg("avg_ticket").alias("mean_avg_ticket"),
     )
     medians = median_columns(known, ["amount_total"], ["has_promotion"])
@@ -135,13 +135,14 @@ def promotion_lift(facts: DataFrame, round_means_to: int | None = None) -> DataF
         return value if round_means_to is None else F.round(value, round_means_to)
 
     return facts.agg(mean(1).alias("with_promotion"), mean(0).alias("without_promotion")).withColumn(
-        "sales_lift_pct", (F.col("with_promotion") - F.col("without_promotion")) / F.col("without_promotion") * 100
+        "sales_lift_pct",
+        F.try_divide(F.col("with_promotion") - F.col("without_promotion"), F.col("without_promotion")) * 100,
     )
 
 
 def signal_nulls(facts: DataFrame, target: str = "replenishment_signal") -> DataFrame:
     missing = F.count_if(F.col(target).isNull())
-    return facts.agg(missing.alias("null_count"), (missing / F.count("*") * 100).alias("null_pct"))
+    return facts.agg(missing.alias("null_count"), (F.try_divide(missing, F.count("*")) * 100).alias("null_pct"))
 
 
 def signal_correlations(facts: DataFrame, target: str = "replenishment_signal") -> DataFrame:
@@ -158,7 +159,7 @@ def recent_signal_nulls(facts: DataFrame, days: int = 7, target: str = "replenis
     recent = facts.where(F.col(C.DAY) >= since)
     return recent.agg(
         F.count("*").alias("rows"),
-        (F.count_if(F.col(target).isNull()) / F.count("*") * 100).alias("recent_null_pct"),
+        (F.try_divide(F.count_if(F.col(target).isNull()), F.count("*")) * 100).alias("recent_null_pct"),
     )
 
 
@@ -167,5 +168,5 @@ def zero_inflation(facts: DataFrame, target: str = "replenishment_signal") -> Da
     known = F.count(target)
     zeros = F.count_if(F.col(target) == 0)
     return facts.agg(
-        known.alias("known"), zeros.alias("zeros"), (zeros / known * 100).alias("zero_inflation_pct")
+        known.alias("known"), zeros.alias("zeros"), (F.try_divide(zeros, known) * 100).alias("zero_inflation_pct")
     )

@@ -65,5 +65,5 @@ def grid_sparsity(facts: DataFrame) -> DataFrame:
     return sizes.withColumn("theoretical_rows", full).select(
         "*",
         (F.col("theoretical_rows") - F.col("actual_rows")).alias("missing_rows"),
-        ((1 - F.col("actual_rows") / F.col("theoretical_rows")) * 100).alias("sparsity_pct"),
+        ((1 - F.try_divide("actual_rows", "theoretical_rows")) * 100).alias("sparsity_pct"),
     )

@@ -51,6 +51,21 @@ def test_shape_statistics_match_pandas(spark):
     assert list(short) == [None, None]
 
 
+def test_shares_of_nothing_are_null(spark):
+    empty = spark.sql(
+        """SELECT date'2024-01-01' AS date, 's' AS store_id, 'A' AS category, 1.0D AS amount_total,
+        cast(null AS double) AS amount_cash, 1.0D AS amount_card, 0 AS total_transactions, 0 AS cash_transactions,
+        0 AS card_transactions, cast(null AS double) AS units_sold, cast(null AS double) AS avg_ticket,
+        0 AS has_promotion, cast(null AS double) AS replenishment_signal"""
+    )
+    shares = profile.payment_shares(empty).first()
+    assert shares.total_amount_cash is None and shares.cash_tx_share_pct is None
+    assert profile.zero_inflation(empty).first().zero_inflation_pct is None
+    assert profile.promotion_split(empty).first().mean_units_sold is None
+    assert profile.promotion_lift(empty).first().sales_lift_pct is None
+    assert columns.null_totals(empty.limit(0)).first().global_null_percentage is None
+
+
 def test_null_is_a_value_for_cardinality(spark):
     df = spark.createDataFrame([("a", 1), (None, 1), ("a", 1)], "c string, d int")
     got = {r.column: r.cardinality for r in columns.cardinalities(df).collect()}
