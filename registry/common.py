@@ -33,22 +33,23 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-# Added before a value is cut to three decimals. Sums and quotients of cents often lie exactly
-# halfway between two of them, where a last-bit difference between engines would show.
+# Added before a value is cut to thousandths. Sums and quotients of cents often lie exactly on a
+# boundary between two of them, where a last-bit difference between engines would show.
 OFF_BOUNDARY = 0.000123457
 
 
 def digest(df: DataFrame, columns: Sequence[str], key: Sequence[str] = ("store_id", "category"), day: str = "date") -> DataFrame:
     """One row per series over all its cells: for each column the number of known values, their
-    sum and their sum weighted by the day number, which pins every value to its day."""
+    sum and their sum weighted by the day number, which pins every value to its day. Sums are whole
+    thousandths, so they do not depend on the order of rows."""
     day_no = F.datediff(day, F.lit(PERIOD_START))
     aggregates = [F.count("*").alias("cells")]
     for c in columns:
-        exact = (F.col(c).cast("double") + F.lit(OFF_BOUNDARY)).cast("decimal(20,3)")
+        exact = F.floor((F.col(c).cast("double") + F.lit(OFF_BOUNDARY)) * 1000).cast("bigint")
         aggregates += [
             F.count(c).alias(f"{c}_n"),
-            F.sum(exact).cast("double").alias(f"{c}_sum"),
-            F.sum((exact * day_no).cast("decimal(28,3)")).cast("double").alias(f"{c}_by_day"),
+            F.sum(exact).alias(f"{c}_sum"),
+            F.sum(exact * day_no).alias(f"{c}_by_day"),
         ]
     return df.groupBy(*key).agg(*aggregates)
 
@@ -56,11 +57,11 @@ def digest(df: DataFrame, columns: Sequence[str], key: Sequence[str] = ("store_i
 def digest_sql(source: str, columns: Sequence[str], key: str = "store_id, category", day: str = "date") -> str:
     parts = [key, "count(*) AS cells"]
     for c in columns:
-        exact = f"(({c})::double + {OFF_BOUNDARY}::double)::decimal(20,3)"
+        exact = f"floor((({c})::double + {OFF_BOUNDARY}::double) * 1000)::bigint"
         parts += [
             f"count({c}) AS {c}_n",
-            f"sum({exact})::double AS {c}_sum",
-            f"sum(({exact} * date_diff('day', date '1995-01-02', {day}))::decimal(28,3))::double AS {c}_by_day",
+            f"sum({exact})::bigint AS {c}_sum",
+            f"sum({exact} * date_diff('day', date '1995-01-02', {day}))::bigint AS {c}_by_day",
         ]
     return f"SELECT {', '.join(parts)} FROM {source} GROUP BY {key}"
 
