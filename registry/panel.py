@@ -579,7 +579,22 @@ def x02(spark, folder):
     return tidy(impute.repair_coverage(load(spark, folder).stored().facts, TRAIN_END))
 
 
-@register("x03_leak_flags")
+UNSAFE = {
+    "same-day reading": [m for m in C.MEASURES if m != "replenishment_signal"],
+    "lag shorter than the horizon": [f"{t}_lag_1d" for t in C.LAG_TARGETS],
+    "window ends yesterday": [*MEAN_COLUMNS, *STD_COLUMNS, "cash_ratio_roll_30d"],
+    "built on yesterday's sales": ["sales_per_sqm", "sales_per_checkout"],
+}
+LEAK_SQL = f""", feat AS (SELECT *, amount_total_lag_1d / (size_sqm + 1) AS sales_per_sqm,
+ amount_total_lag_1d / (num_checkouts + 1) AS sales_per_checkout
+ FROM (SELECT *, {LAG_SQL}, {MEAN_SQL}, {STD_SQL}, {CASH_SQL} FROM master)) """ + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS known_values, '{reason.replace("'", "''")}' AS reason FROM feat"""
+    for reason, names in UNSAFE.items()
+    for c in names
+)
+
+
+@register("x03_leak_flags", with_ctes(LEAK_SQL, "master", coarse=True))
 def x03(spark, folder):
     i = inputs(spark, folder, "region")
     featured = training.feature_panel(i)
