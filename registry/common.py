@@ -234,10 +234,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "folds": (
         ("series",),
-        """SELECT t.unique_id, c.cutoff, t.ds, date_diff('day', c.cutoff, t.ds) AS step, t.y, p.y AS yhat
- FROM series t JOIN (SELECT (date '2001-09-29' - (7 * k)::int) AS cutoff FROM range(8) AS r(k)) c
-  ON t.ds > c.cutoff AND t.ds <= c.cutoff + 7
- JOIN series p ON p.unique_id = t.unique_id AND p.ds = t.ds - 7""",
+        """SELECT unique_id, date '2001-08-11' + (7 * (day // 7))::int AS cutoff, ds, day % 7 + 1 AS step, y, yhat
+ FROM (SELECT unique_id, ds, y, lag(y, 7) OVER (PARTITION BY unique_id ORDER BY ds) AS yhat,
+  date_diff('day', date '2001-08-11', ds) - 1 AS day FROM series)
+ WHERE day >= 0""",
     ),
     "fold_scores": (
         ("folds",),

@@ -34,11 +34,11 @@ def _panel(spark, folder, grain="supplier"):
 
 
 def _series(spark, folder, grain="supplier"):
-    return series.build_series(_panel(spark, folder, grain), VAL_END)
+    return series.build_series(_panel(spark, folder, grain), VAL_END, keyed=True)
 
 
 def _series_digest(df):
-    return digest(df, ["y"], ["unique_id"], "ds")
+    return digest(df, ["y"], series.id_columns(df) + ["unique_id"], "ds").drop(*C.KEYS)
 
 
 def _series_digest_sql(source):
@@ -47,7 +47,7 @@ def _series_digest_sql(source):
 
 @register("t01_series", with_ctes(_series_digest_sql("series_raw"), "series_raw"))
 def t01(spark, folder):
-    return _series_digest(series.to_long(_panel(spark, folder), VAL_END))
+    return _series_digest(series.to_long(_panel(spark, folder), VAL_END, keyed=True))
 
 
 @register("t02_filled_series", with_ctes(_series_digest_sql("series"), "series"))
@@ -74,12 +74,12 @@ def t04(spark, folder):
     return tidy(series.seasonal_naive_folds(_series(spark, folder), VAL_END))
 
 
-LONG_SQL = """SELECT t.unique_id, c.cutoff, t.ds, date_diff('day', c.cutoff, t.ds)::bigint AS step,
- round(t.y, 6) AS y, round(p.y, 6) AS yhat FROM series t
- JOIN (SELECT (date '2001-09-22' - (7 * k)::int) AS cutoff FROM range(3) AS r(k)) c
-  ON t.ds > c.cutoff AND t.ds <= c.cutoff + 14
- JOIN series p ON p.unique_id = t.unique_id
-  AND p.ds = t.ds - (7 * ((date_diff('day', c.cutoff, t.ds) + 6) // 7))::int"""
+LONG_SQL = """SELECT unique_id, cutoff, ds, date_diff('day', cutoff, ds)::bigint AS step, round(y, 6) AS y,
+ round(CASE WHEN ds - cutoff <= 7 THEN week ELSE fortnight END, 6) AS yhat
+ FROM (SELECT *, unnest([date '2001-09-08', date '2001-09-15', date '2001-09-22']) AS cutoff FROM (
+  SELECT unique_id, ds, y, lag(y, 7) OVER own AS week, lag(y, 14) OVER own AS fortnight
+  FROM series WINDOW own AS (PARTITION BY unique_id ORDER BY ds)) WHERE ds > date '2001-09-08')
+ WHERE ds > cutoff AND ds <= cutoff + 14"""
 
 
 @register("t04_overlapping_folds", with_ctes(LONG_SQL, "series"))
@@ -195,7 +195,11 @@ def t13(spark, folder):
     return model.feature_importance(10)
 
 
-@register("t14_sampled_series")
+SAMPLE_SQL = """(SELECT * FROM series WHERE unique_id IN (SELECT unique_id FROM (SELECT DISTINCT unique_id FROM series)
+ ORDER BY md5(unique_id || ':42'), unique_id LIMIT 48))"""
+
+
+@register("t14_sampled_series", with_ctes(_series_digest_sql(SAMPLE_SQL), "series"))
 def t14(spark, folder):
     return _series_digest(series.sample_series(_series(spark, folder), 48))
 
@@ -224,12 +228,11 @@ def m01(spark, folder):
     return tidy(_naive_by_store(spark, folder).groupBy("store_no").agg(S.wape("y", "yhat").alias("wape")))
 
 
-# Days without a sale count as zero demand here, so some stores have a zero denominator.
-ZERO_SQL = """SELECT store_no, round(CASE WHEN sum(a) = 0 THEN {zero} ELSE sum(e) / sum(a) END, 6) AS wape
- FROM (SELECT store_id AS store_no, abs(units) AS a, abs(units - coalesce(before, 0)) AS e FROM (
+# Days without a sale count as zero demand here, so some stores have months with a zero denominator.
+ZERO_SQL = """SELECT store_no, month, round(CASE WHEN sum(a) = 0 THEN {zero} ELSE sum(e) / sum(a) END, 6) AS wape
+ FROM (SELECT store_id AS store_no, strftime(date, '%Y-%m') AS month, abs(units) AS a, abs(units - coalesce(before, 0)) AS e FROM (
   SELECT store_id, date, units, lag(units) OVER (PARTITION BY store_id, category ORDER BY date) AS before
-  FROM (SELECT store_id, category, date, coalesce(units_sold, 0) AS units FROM grid))
- WHERE date >= date '2001-11-03') GROUP BY store_no"""
+  FROM (SELECT store_id, category, date, coalesce(units_sold, 0) AS units FROM grid))) GROUP BY store_no, month"""
 
 
 def _zero_demand(spark, folder, on_zero):
@@ -238,9 +241,9 @@ def _zero_demand(spark, folder, on_zero):
 
     i = inputs(spark, folder)
     dense = grid.densify(i.facts, i.stores, i.calendar, i.categories).fillna(0.0, ["units_sold"])
-    rows = add_lags(dense, ("units_sold",), (1,)).where(F.col("date") >= "2001-11-03")
-    rows = rows.fillna(0.0, ["units_sold_lag_1d"]).withColumnRenamed("store_id", "store_no")
-    return tidy(rows.groupBy("store_no").agg(S.wape("units_sold", "units_sold_lag_1d", on_zero).alias("wape")))
+    rows = add_lags(dense, ("units_sold",), (1,)).fillna(0.0, ["units_sold_lag_1d"])
+    rows = rows.withColumnRenamed("store_id", "store_no").withColumn("month", F.date_format("date", "yyyy-MM"))
+    return tidy(rows.groupBy("store_no", "month").agg(S.wape("units_sold", "units_sold_lag_1d", on_zero).alias("wape")))
 
 
 @register("m01_wape_zero_denominator", with_ctes(ZERO_SQL.format(zero="0.0"), "grid"))
@@ -289,7 +292,7 @@ TWO_SQL = """SELECT 'SeasonalNaive' AS model, y, yhat FROM folds UNION ALL
 
 def _two_models(spark, folder):
     s = _series(spark, folder)
-    frame = series.by_id().rowsBetween(-34, -7)
+    frame = series.by_id(s).rowsBetween(-34, -7)
     trailing = s.withColumn("mean", F.avg("y").over(frame))
     folds = series.rolling_folds(s, VAL_END).select("unique_id", "ds", "y", "yhat")
     other = trailing.where(F.col("ds") > F.lit(series.cutoffs(VAL_END)[0])).select(
@@ -366,7 +369,7 @@ def q10_summary(spark, folder):
     return anomaly.summarize_anomalies(anomaly.find_anomalies(t.facts, t.calendar))
 
 
-# Classification alone, on a rule SQL can state: the largest sales per category.
+# Classification alone, of every fact.
 _EVENT = """(coalesce(is_holiday, false) OR coalesce(is_buen_fin, false) OR coalesce(is_navidad_season, false)
  OR coalesce(is_payday, false))"""
 
@@ -376,15 +379,14 @@ _EVENT = """(coalesce(is_holiday, false) OR coalesce(is_buen_fin, false) OR coal
     with_ctes(
         f"""SELECT f.date, store_id, category, {_EVENT} AS commercial,
  (amount_total = 0 OR (cash_transactions IS NULL AND units_sold IS NULL) OR NOT {_EVENT}) AS pos_error
- FROM facts f LEFT JOIN calendar c ON f.date = c.date WHERE amount_total > 150000""",
+ FROM facts f LEFT JOIN calendar c ON f.date = c.date""",
         "facts",
         "calendar",
     ),
 )
 def q10(spark, folder):
     t = load(spark, folder)
-    large = t.facts.where(F.col("amount_total") > 150000)
-    return anomaly.classify_anomalies(large, t.calendar).select("date", *C.KEYS, "commercial", "pos_error")
+    return anomaly.classify_anomalies(t.facts, t.calendar).select("date", *C.KEYS, "commercial", "pos_error")
 
 
 def flagship(spark, folder):

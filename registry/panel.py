@@ -429,8 +429,7 @@ _phase("f11_month_phase", ["is_month_start", "is_month_end"])
     ),
 )
 def f12(spark, folder):
-    train = features.with_split(_master(spark, folder), SPLITS).where(F.col("split") == "TRAIN")
-    return tidy(encoders.fit_target_means(train))
+    return tidy(training.target_means(inputs(spark, folder)))
 
 
 ENC_SQL = """SELECT f.date, f.store_id, f.category,
@@ -445,9 +444,8 @@ ENC_SQL = """SELECT f.date, f.store_id, f.category,
 )
 def f13(spark, folder):
     t = inputs(spark, folder)
-    train = training.panel(t).where(F.col("date") <= F.lit(TRAIN_END))
     rows = grid.with_stores(t.facts.select("date", "store_id", "category"), t.stores)
-    encoded = encoders.apply_target_means(rows, encoders.fit_target_means(train))
+    encoded = encoders.apply_target_means(rows, training.target_means(t))
     return tidy(
         encoded.select("date", "store_id", "category", "category_target_enc", "store_format_target_enc")
     )
@@ -543,8 +541,7 @@ ENC_CTES = ("master_s", "category_enc", "format_enc", "global_enc")
 @register("f17_gap_safe_columns", with_ctes(f"SELECT {MATRIX_OUT} FROM ({MATRIX_SQL})", *ENC_CTES, coarse=True))
 def f17(spark, folder):
     i = inputs(spark, folder, "region")
-    means = encoders.fit_target_means(training.panel(i).where(F.col("date") <= F.lit(TRAIN_END)))
-    encoded = encoders.encode(training.feature_panel(i), means)
+    encoded = encoders.encode(training.feature_panel(i), training.target_means(i))
     columns = features.gap_safe_columns(encoded.columns)
     return tidy(encoded.select(*C.KEYS, "date", "split", "replenishment_signal", *columns))
 

@@ -838,10 +838,9 @@ def x01(spark, folder):
 )
 def x04(spark, folder):
     from registry.common import inputs
-    from shelfspark.operators import grid
 
     i = inputs(spark, folder)
-    return tidy(quality.blind_windows(grid.densify(i.facts, i.stores, i.calendar, i.categories)))
+    return tidy(quality.blind_series(i.facts, i.stores, i.calendar, i.categories))
 
 
 PAYMENT_LONG = """SELECT 'profiling' AS section, 'cash_vs_card.' || name AS path, round(value, 6) AS value,

@@ -1,8 +1,8 @@
-"""Small lookup tables carried as scalar subqueries instead of joins.
+"""Results of aggregations met again by the rows they came from.
 
-Joining a large frame to a table of a few keys (categories, store formats) either shuffles the
-large side onto those few keys or needs a broadcast hint whose size nobody checks. A scalar map
-does neither, and its size is checked where it is built.
+The table is written once and joined by its keys, so the planner knows its size: it sends a small one to the rows and
+meets a large one by a shuffle whose hot keys can be split. Nothing is gathered and no size is
+assumed.
 """
 
 from __future__ import annotations
@@ -12,28 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ENTRIES = 10_000
+from shelfspark.session import settle
 
 
-def checked(entries: Column, limit: int = MAX_ENTRIES) -> Column:
-    """The collected array, or an error when it outgrew its bound."""
-    message = F.lit(f"lookup has more than {limit} entries: join it instead")
-    return F.when(F.size(entries) <= limit, entries).otherwise(F.raise_error(message))
-
-
-def lookup_map(table: DataFrame, key: Column, value: Column) -> Column:
-    """Scalar map key -> value of a small table."""
-    entries = F.collect_list(F.struct(key.alias("key"), value.alias("value")))
-    return table.where(key.isNotNull()).agg(F.map_from_entries(checked(entries))).scalar()
+def with_lookup(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Every row with the columns of its entry, null without one or with a null key."""
+    return df.join(settle(table, "lookup"), list(on), "left")
 
 
 def lookup_list(table: DataFrame, column: str) -> Column:
-    """Scalar sorted array of the distinct non-null values of a domain column."""
+    """Scalar sorted array of the distinct non-null values of a domain column, for rows that unfold all of it."""
     values = table.select(column).where(F.col(column).isNotNull()).distinct()
-    return values.agg(F.array_sort(checked(F.collect_list(column)))).scalar()
-
-
-def joined_key(columns: Sequence[str]) -> Column:
-    """One text key for several columns; null when any part is null."""
-    parts = [F.col(c).cast("string") for c in columns]
-    return F.concat(*[p for c in parts for p in (F.length(c).cast("string"), F.lit(":"), c)])
+    return values.agg(F.array_sort(F.collect_list(column))).scalar()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.functions.lookups import joined_key, lookup_map
+from shelfspark.functions.lookups import with_lookup
 from shelfspark.operators.columns import null_counts
 from shelfspark.operators.grid import with_calendar, with_stores
 from shelfspark.operators.profile import money_sum
@@ -40,14 +40,12 @@ def box_statistics(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
     """Quartiles and whiskers per group: whiskers end at the furthest reading within 1.5 IQR."""
     quartiles = quantile_columns(df, columns, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by)
     keys = [*by, "column"]
-    bounds = lookup_map(
-        quartiles, joined_key(keys), F.struct("q25", "median", "q75", F.col("n").alias("n"))
-    )[joined_key(keys)]
+    bounds = quartiles.select(*keys, F.struct("q25", "median", "q75", "n").alias("b"))
     reach = 1.5 * (F.col("b.q75") - F.col("b.q25"))
     inside = F.col("value").between(F.col("b.q25") - reach, F.col("b.q75") + reach)
     values = long_values(df.dropna(subset=list(by)) if by else df, columns, by)
     return (
-        values.withColumn("b", bounds)
+        with_lookup(values, bounds, keys)
         .groupBy(*keys, "b")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

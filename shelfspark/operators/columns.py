@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.functions.lookups import lookup_map
+from shelfspark.functions.lookups import with_lookup
 from shelfspark.functions.moments import sample_kurtosis, sample_skewness
 from shelfspark.operators.quantiles import quantile_columns
 
@@ -66,18 +66,22 @@ def nulls_by(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, value, n) with null counted as a value. Values are shown as text."""
-    pairs = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns or df.columns
-    ]
+    kinds = dict(df.dtypes)
+
+    def shown(c: str) -> Column:
+        value = F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)  # -0.0 is 0.0
+        return value.cast("string")
+
+    pairs = [F.struct(F.lit(c).alias("column"), shown(c).alias("value")) for c in columns or df.columns]
     return df.select(F.inline(F.array(*pairs))).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
 def value_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Value counts with their share of the column, most frequent first."""
-    by_column = Window.partitionBy("column")
+    rows = df.agg(F.count("*")).scalar()  # every row has one value, null included, in each column
     return (
         value_counts(df, columns)
-        .withColumn("pct", F.col("n") / F.sum("n").over(by_column) * 100)
+        .withColumn("pct", F.col("n") / rows * 100)
         .orderBy("column", F.desc("n"), "value")
     )
 
@@ -197,13 +201,13 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 15) -> DataFram
     )
     values = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
     edges = values.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    bounds = lookup_map(edges, F.col("column"), F.struct("lo", "hi"))[F.col("column")]
+    bounds = edges.select("column", F.struct("lo", "hi").alias("b"))
     width = (F.col("b.hi") - F.col("b.lo")) / bins
     raw = F.floor((F.col("value") - F.col("b.lo")) / F.nullif(width, F.lit(0.0))).cast("int")
     spot = F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1))
     lower = F.col("b.lo") + F.col("bin") * width
     return (
-        values.withColumn("b", bounds)
+        with_lookup(values, bounds, ["column"])
         .groupBy("column", "b", spot.alias("bin"))
         .agg(F.count("*").alias("n"))
         .select("column", "bin", lower.alias("lower"), (lower + width).alias("upper"), "n")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark import contract as C
-from shelfspark.functions.lookups import lookup_map
+from shelfspark.session import settle
 
 ENCODED = ("category", "store_format")
 
@@ -40,17 +40,18 @@ def fit_target_means(
 def apply_target_means(df: DataFrame, means: DataFrame, columns: Sequence[str] = ENCODED) -> DataFrame:
     """``<column>_target_enc``; keys unseen in training get the global training mean.
 
-    Encoded columns are short domain lists, so the means are one lookup and nothing is joined.
+    The means are written once, so that the planner sees whether they are few enough to send to the rows.
     """
-    seen = lookup_map(means, F.concat_ws("=", "column", "key"), F.col("mean_target"))
-    overall = seen[F.lit(f"{OVERALL}={OVERALL}")]
-    return df.withColumns(
-        {
-            f"{c}_target_enc": F.coalesce(seen[F.concat(F.lit(f"{c}="), F.col(c).cast("string"))], overall)
-            for c in columns
-            if c in df.columns
-        }
-    )
+    means = settle(means, "means")
+    overall = means.where(F.col("column") == OVERALL).agg(F.max("mean_target")).scalar()
+    for c in columns:
+        if c in df.columns:
+            own = means.where(F.col("column") == c).select(
+                F.col("key").alias("_key"), F.col("mean_target").alias(f"{c}_target_enc")
+            )
+            df = df.join(own, F.col(c).cast("string") == F.col("_key"), "left").drop("_key")
+            df = df.withColumn(f"{c}_target_enc", F.coalesce(f"{c}_target_enc", overall))
+    return df
 
 
 def ordinal(column: str, order: dict[str, int], default: int = 0) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark import contract as C
-from shelfspark.functions.lookups import lookup_map
+from shelfspark.functions.lookups import with_lookup
 from shelfspark.operators.quantiles import median_columns
 
 REPAIRED = ("units_sold", "avg_ticket")
@@ -77,10 +77,9 @@ def fill_weekday_medians(facts: DataFrame, train_end=None) -> DataFrame:
     ).drop(*[f"{c}_weekday_median" for c in REPAIRED])
 
 
-def category_median_map(facts: DataFrame, train_end=None) -> Column:
-    """Category medians as a lookup; categories are a short domain list."""
-    medians = category_medians(facts, train_end)
-    return lookup_map(medians, F.col("category"), F.struct(*[f"{c}_median" for c in REPAIRED]))
+def with_category_medians(rows: DataFrame, facts: DataFrame, train_end=None) -> DataFrame:
+    """``<column>_median`` of the row's category, learned from ``facts``."""
+    return with_lookup(rows, category_medians(facts, train_end), ["category"])
 
 
 def fill_medians(rows: DataFrame, train_end=None, facts: DataFrame | None = None) -> DataFrame:
@@ -92,10 +91,9 @@ def fill_medians(rows: DataFrame, train_end=None, facts: DataFrame | None = None
     """
     facts = rows if facts is None else facts
     reference = facts if train_end is not None else fill_weekday_medians(facts)
-    fallback = category_median_map(reference, train_end)[F.col("category")]
-    return fill_weekday_medians(rows, train_end).withColumns(
-        {c: F.coalesce(c, fallback[f"{c}_median"]) for c in REPAIRED}
-    )
+    filled = with_category_medians(fill_weekday_medians(rows, train_end), reference, train_end)
+    medians = [f"{c}_median" for c in REPAIRED]
+    return filled.withColumns({c: F.coalesce(c, m) for c, m in zip(REPAIRED, medians, strict=True)}).drop(*medians)
 
 
 def apply_identities(facts: DataFrame) -> DataFrame:
@@ -113,10 +111,7 @@ def repair_coverage(facts: DataFrame, train_end=None) -> DataFrame:
     before = apply_identities(
         facts.withColumns({f"{c}_raw": F.col(c) for c in ("cash_transactions", "amount_cash", *REPAIRED)})
     )
-    fallback = category_median_map(before, train_end)[F.col("category")]
-    marked = with_weekday_medians(before, train_end).withColumns(
-        {f"{c}_median": fallback[f"{c}_median"] for c in REPAIRED}
-    )
+    marked = with_category_medians(with_weekday_medians(before, train_end), before, train_end)
 
     def counts(column: str) -> Column:
         raw_null = F.col(f"{column}_raw").isNull()

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark import contract as C
-from shelfspark.functions.lookups import lookup_map
+from shelfspark.functions.lookups import with_lookup
+from shelfspark.operators.grid import domains, series_keys
 from shelfspark.operators.quantiles import long_values, quantile_columns
 
 
@@ -29,12 +30,10 @@ def iqr_bounds(facts: DataFrame, columns: Sequence[str] = C.OUTLIER_MEASURES) ->
 
 def iqr_outliers(facts: DataFrame, columns: Sequence[str] = C.OUTLIER_MEASURES) -> DataFrame:
     """(column, outlier_count, outlier_pct) of readings strictly outside the bounds."""
-    bounds = iqr_bounds(facts, columns)
-    limits = lookup_map(bounds, F.col("column"), F.struct("lower_bound", "upper_bound"))
-    outside = (F.col("value") < F.col("b.lower_bound")) | (F.col("value") > F.col("b.upper_bound"))
+    bounds = iqr_bounds(facts, columns).select("column", "lower_bound", "upper_bound")
+    outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     return (
-        long_values(facts, columns)
-        .withColumn("b", limits[F.col("column")])
+        with_lookup(long_values(facts, columns), bounds, ["column"])
         .groupBy("column")
         .agg(
             F.count_if(outside).alias("outlier_count"),
@@ -56,3 +55,25 @@ def blind_windows(panel: DataFrame, target: str = "replenishment_signal") -> Dat
     newest = per_series.agg(F.max("_last")).scalar()
     since = F.coalesce("last_known", F.date_sub("_first", 1))
     return per_series.select(*C.KEYS, "last_known", F.datediff(newest, since).alias("blind_days"))
+
+
+def blind_series(
+    facts: DataFrame,
+    stores: DataFrame,
+    calendar: DataFrame,
+    categories: DataFrame | None = None,
+    target: str = "replenishment_signal",
+) -> DataFrame:
+    """``blind_windows`` of the dense grid, from the facts alone: the last known day of each series against the
+    calendar's first and last."""
+    span = calendar.agg(F.struct(F.min(C.DAY).alias("first"), F.max(C.DAY).alias("last"))).scalar()
+    days = calendar.select(C.DAY).distinct()
+    known = facts.where(F.col(target).isNotNull()).join(days, C.DAY, "left_semi")
+    last = known.groupBy(*C.KEYS).agg(F.max(C.DAY).alias("last_known"))
+    if categories is None:
+        categories = domains(facts, stores, calendar)["category"]
+    every = series_keys(stores.select("store_id").distinct(), categories)
+    since = F.coalesce("last_known", F.date_sub(span["first"], 1))
+    return every.join(last, list(C.KEYS), "left").select(
+        *C.KEYS, "last_known", F.datediff(span["last"], since).alias("blind_days")
+    )

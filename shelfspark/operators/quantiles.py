@@ -1,22 +1,20 @@
 """Exact quantiles of large groups without gathering a group on one task.
 
 The built-in exact percentile keeps every distinct value of a group in the memory of one
-reducer. Here a mergeable rank sketch only brackets each quantile; counts below the bracket and
-the few values inside it then give the exact order statistic. The sketch decides how much data
-is looked at again, never the result. Meant for few groups of many rows; for many small groups
-(one per series and weekday, say) the built-in percentile is bounded and cheaper.
+reducer. Here equal values are counted first, so a hot value is one row; the counts are sorted by range over all
+tasks and written with the number of their part. Sums per part tell which part holds a wanted rank, and
+only those parts are opened. For many small groups (one per series and weekday, say) the built-in
+percentile is bounded and cheaper.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.functions.lookups import joined_key, lookup_map
-
-SKETCH_ACCURACY = 10_000
+from shelfspark.session import settle
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -27,71 +25,36 @@ def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return df.select(*by, F.inline(pairs)).where(F.col("value").isNotNull())
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    accuracy: int = SKETCH_ACCURACY,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles: (by..., column, n, p, q), one row per probability."""
     keys = [*by, "column"]
     values = long_values(df.dropna(subset=list(by)) if by else df, columns, by)
-    slack = 4.0 / accuracy
-    lows = [p - slack for p in probs]
-    highs = [p + slack for p in probs]
-
-    def bracket(points: list[float], extreme: str) -> Column:
-        inside = [min(max(p, 0.0), 1.0) for p in points]
-        sketch = F.percentile_approx("value", F.array(*map(F.lit, inside)), F.lit(accuracy))
-        edge = F.min("value") if extreme == "min" else F.max("value")
-        outside = [p <= 0.0 if extreme == "min" else p >= 1.0 for p in points]
-        # Up to ``accuracy`` readings are all looked at; a bracket of a few ranks needs more.
-        whole = F.count("*") <= accuracy
-        return F.array(
-            *[edge if out else F.when(whole, edge).otherwise(sketch[i]) for i, out in enumerate(outside)]
-        )
-
-    outline = values.groupBy(*keys).agg(
-        F.count("*").alias("n"), bracket(lows, "min").alias("lo"), bracket(highs, "max").alias("hi")
-    )
-    bounds = lookup_map(outline, joined_key(keys), F.struct("n", "lo", "hi"))
-    near = values.select(*keys, "value", bounds[joined_key(keys)].alias("b"))
-    # A value below a bracket only counts (as the null value), one above it drops out.
-    value = F.col("value")
-    places = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(len(probs) - 1)),
-            lambda i: F.when(
-                value <= F.col("b.hi")[i],
-                F.struct(i.alias("i"), F.when(value >= F.col("b.lo")[i], value).alias("value")),
-            ),
-        ),
-        lambda s: s.isNotNull(),
-    )
-    counted = (
-        near.select(*keys, F.col("b.n").alias("n"), F.inline(places))
-        .groupBy(*keys, "n", "i", "value")
-        .agg(F.count("*").alias("copies"))
-    )
-    p = F.element_at(F.array(*map(F.lit, map(float, probs))), F.col("i") + 1)
-    upto = (
-        Window.partitionBy(*keys, "i")
-        .orderBy(F.asc_nulls_first("value"))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = counted.withColumn("seen", F.sum("copies").over(upto)).withColumn("place", p * (F.col("n") - 1))
-    picked = ranked.groupBy(*keys, "n", "i", "place").agg(
-        F.max(F.when(F.col("value").isNull(), F.col("seen")).otherwise(0)).alias("below"),
-        F.min(F.when(F.col("seen") > F.floor("place"), F.col("value"))).alias("left"),
-        F.min(F.when(F.col("seen") > F.ceil("place"), F.col("value"))).alias("right"),
+    counted = values.groupBy(*keys, "value").agg(F.count("*").alias("copies"))
+    sorted_ = settle(counted.repartitionByRange(*keys, "value").withColumn("part", F.spark_partition_id()), "sorted")
+
+    whole = Window.partitionBy(*keys)
+    sums = sorted_.groupBy(*keys, "part").agg(F.sum("copies").alias("held"))
+    before = F.coalesce(F.sum("held").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = sums.select(*keys, "part", "held", before.alias("before"), F.sum("held").over(whole).alias("n"))
+    # Both ranks around each place, where the part holds one of them.
+    places = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("n") - 1)).alias("place")) for p in probs])
+    ends = F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place"))))
+    wanted = (
+        placed.select("*", F.inline(places))
+        .select(*keys, "part", "before", "held", "n", "p", "place", ends.alias("rank"))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("held")))
     )
-    share = F.col("place") - F.floor("place")
-    sound = (F.col("below") <= F.floor("place")) & F.col("left").isNotNull() & F.col("right").isNotNull()
-    quantile = F.when(sound, F.col("left") + (F.col("right") - F.col("left")) * share).otherwise(
-        F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
+    wanted = settle(wanted.drop("held"), "wanted")
+    opened = sorted_.join(wanted.select(*keys, "part", "before").distinct(), [*keys, "part"])
+    upto = Window.partitionBy(*keys, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = opened.select(*keys, "part", "value", "copies", (F.col("before") + F.sum("copies").over(upto)).alias("seen"))
+    hits = reached.join(wanted.drop("before"), [*keys, "part"]).where(
+        (F.col("rank") < F.col("seen")) & (F.col("rank") >= F.col("seen") - F.col("copies"))
     )
-    return picked.select(*keys, "n", p.alias("p"), quantile.alias("q"))
+    left = F.min("value")
+    return hits.groupBy(*keys, "n", "p", "place").agg(
+        (left + (F.max("value") - left) * (F.col("place") - F.floor("place"))).alias("q")
+    ).drop("place")
 
 
 def quantile_columns(

@@ -12,13 +12,20 @@ from shelfspark.operators.scoring import BASELINE
 from shelfspark.session import series_partitions
 
 
-def by_id():
-    return Window.partitionBy("unique_id").orderBy("ds")
+def id_columns(series: DataFrame) -> list[str]:
+    """What tells series apart: the panel's keys, by which its rows already lie together, or the id alone."""
+    return [*C.KEYS] if set(C.KEYS) <= set(series.columns) else ["unique_id"]
 
 
-def to_long(panel: DataFrame, end_date, target: str = "replenishment_signal") -> DataFrame:
-    """(unique_id, ds, y) up to and including ``end_date``."""
+def by_id(series: DataFrame):
+    return Window.partitionBy(*id_columns(series)).orderBy("ds")
+
+
+def to_long(panel: DataFrame, end_date, target: str = "replenishment_signal", keyed: bool = False) -> DataFrame:
+    """(unique_id, ds, y) up to and including ``end_date``. ``keyed`` also keeps the panel's keys, by which its rows already
+    lie together, so that what follows needs no further shuffle."""
     return panel.where(F.col(C.DAY) <= F.lit(end_date)).select(
+        *(C.KEYS if keyed else ()),
         F.concat_ws("_", *[F.col(k).cast("string") for k in C.KEYS]).alias("unique_id"),
         F.col(C.DAY).alias("ds"),
         F.col(target).cast("double").alias("y"),
@@ -31,15 +38,15 @@ def fill_series(series: DataFrame) -> DataFrame:
     A leading gap takes the series' own first value and never a neighbour's, so nothing leaks
     between series and no window spans them.
     """
-    before = F.last("y", ignorenulls=True).over(by_id().rowsBetween(Window.unboundedPreceding, 0))
+    before = F.last("y", ignorenulls=True).over(by_id(series).rowsBetween(Window.unboundedPreceding, 0))
     opening = F.first("y", ignorenulls=True).over(
-        by_id().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        by_id(series).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
     return series.withColumn("y", F.coalesce(before, opening)).where(F.col("y").isNotNull())
 
 
-def build_series(panel: DataFrame, end_date, target: str = "replenishment_signal") -> DataFrame:
-    return fill_series(to_long(panel, end_date, target))
+def build_series(panel: DataFrame, end_date, target: str = "replenishment_signal", keyed: bool = False) -> DataFrame:
+    return fill_series(to_long(panel, end_date, target, keyed))
 
 
 def cutoffs(
@@ -70,7 +77,7 @@ def rolling_folds(
     covering = F.filter(
         origins, lambda c: (F.col("ds") > c) & (F.datediff(F.col("ds"), c) <= horizon)
     )
-    lags = {f"_lag{k}": F.lag("y", k * season).over(by_id()) for k in range(1, -(-horizon // season) + 1)}
+    lags = {f"_lag{k}": F.lag("y", k * season).over(by_id(series)) for k in range(1, -(-horizon // season) + 1)}
     tests = (
         series.withColumns(lags)
         .select("unique_id", "ds", "y", *lags, F.explode(covering).alias("cutoff"))
@@ -89,24 +96,38 @@ def seasonal_naive_folds(series: DataFrame, val_end: date, **options) -> DataFra
 
 
 def series_vectors(series: DataFrame) -> DataFrame:
-    """(unique_id, first_ds, y[]) with one value per day, spread over fixed partitions.
+    """(unique_id, first_ds, y[]) with one value per day.
 
-    A vector is as long as the calendar, whatever the number of series.
+    A vector is as long as the calendar, whatever the number of series. Rows that lie together by the panel's keys
+    stay where they are; others are spread over fixed partitions. A day that a series skips or has twice is an
+    error, because positions stand for days.
     """
-    n = series_partitions(series.sparkSession)
+    keys = id_columns(series)
+    if keys == ["unique_id"]:
+        series = series.repartition(series_partitions(series.sparkSession), "unique_id")
     ordered = F.array_sort(F.collect_list(F.struct("ds", "y")))
+    days = F.datediff(F.col("obs")[F.size("obs") - 1]["ds"], F.col("obs")[0]["ds"]) + 1
+    odd = F.raise_error(F.concat(F.lit("not one reading a day: "), "unique_id"))
     return (
-        series.repartition(n, "unique_id")
-        .groupBy("unique_id")
+        series.groupBy(*dict.fromkeys([*keys, "unique_id"]))
         .agg(ordered.alias("obs"))
-        .select("unique_id", F.col("obs")[0]["ds"].alias("first_ds"), F.col("obs.y").alias("y"))
+        .select(
+            "unique_id",
+            F.col("obs")[0]["ds"].alias("first_ds"),
+            F.when((days == F.size("obs")) & (days == F.size(F.array_distinct("obs.ds"))), F.col("obs.y"))
+            .otherwise(odd.cast("array<double>"))
+            .alias("y"),
+        )
     )
 
 
 def sample_series(series: DataFrame, size: int = 48, seed: int = 42) -> DataFrame:
     """All rows of ``size`` series drawn by hashed id: the same ones whatever the partitioning."""
     chosen = (
-        series.select("unique_id").distinct().orderBy(F.xxhash64("unique_id", F.lit(seed)), "unique_id").limit(size)
+        series.select("unique_id")
+        .distinct()
+        .orderBy(F.md5(F.concat("unique_id", F.lit(f":{seed}"))), "unique_id")
+        .limit(size)
     )
     return series.join(chosen, "unique_id", "left_semi")
 

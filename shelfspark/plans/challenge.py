@@ -12,14 +12,14 @@ from shelfspark.operators import scoring, series, smoothing
 
 def fleet_scores(source: DataFrame, val_end: date, models: tuple[str, ...] = smoothing.MODELS) -> DataFrame:
     """WAPE and losses of every model over all series, null WAPE without actuals."""
-    s = series.build_series(source, val_end)
+    s = series.build_series(source, val_end, keyed=True)
     folds = smoothing.model_folds(s, val_end, models).unionByName(series.seasonal_naive_folds(s, val_end))
     return scoring.score(folds, on_zero=None)
 
 
 def sample_scores(source: DataFrame, val_end: date, challenger: str = smoothing.THETA, size: int = 48) -> DataFrame:
     """The baseline and one challenger on the same deterministic sample of series."""
-    s = series.sample_series(series.build_series(source, val_end), size)
+    s = series.sample_series(series.build_series(source, val_end, keyed=True), size)
     folds = smoothing.model_folds(s, val_end, (challenger,)).unionByName(series.seasonal_naive_folds(s, val_end))
     return scoring.score(folds, on_zero=None)
 

@@ -32,18 +32,24 @@ def panel(inputs: Inputs) -> DataFrame:
 
 
 def feature_panel(inputs: Inputs) -> DataFrame:
-    """All features and the split label, encodings not yet fitted."""
+    """All features and the split label, encodings not yet fitted. Windows run over the calendar's own days."""
     grid = repaired_grid(
         inputs.facts, inputs.stores, inputs.calendar, inputs.splits.train_end, inputs.categories
-    )
+    ).join(inputs.calendar.select(C.DAY).distinct(), C.DAY, "left_semi")
     return features.engineer_features(grid, inputs.calendar).transform(features.with_split, inputs.splits)
 
 
+def target_means(inputs: Inputs) -> DataFrame:
+    """Target encodings of the training split. Empty cells have no target, so the facts of the grid say it all."""
+    train = inputs.facts.where(features.split_column(inputs.splits) == "TRAIN").where(F.col("category").isNotNull())
+    dated = train.join(inputs.calendar.select(C.DAY).distinct(), C.DAY, "left_semi")
+    return encoders.fit_target_means(dated.join(inputs.stores.select("store_id", "store_format"), "store_id"))
+
+
 def training_matrix(inputs: Inputs) -> DataFrame:
     """Complete TRAIN and VAL rows with keys, split, target and the gap-safe features."""
     featured = feature_panel(inputs)
-    means = encoders.fit_target_means(panel(inputs).where(features.split_column(inputs.splits) == "TRAIN"))
-    encoded = encoders.encode(featured, means)
+    encoded = encoders.encode(featured, target_means(inputs))
     columns = features.gap_safe_columns(encoded.columns)
     return features.complete_cases(
         encoded.where(F.col("split").isin("TRAIN", "VAL")), columns
@@ -87,7 +93,7 @@ def rolling_forecasts(
     source: DataFrame, splits: C.Splits, models: tuple[str, ...] = (smoothing.ETS,), **options
 ) -> DataFrame:
     """Folds of the smoothing models and of the seasonal-naive baseline."""
-    s = series.build_series(source, splits.val_end)
+    s = series.build_series(source, splits.val_end, keyed=True)
     return smoothing.model_folds(s, splits.val_end, models, **options).unionByName(
         series.seasonal_naive_folds(s, splits.val_end, **options)
     )
@@ -95,7 +101,7 @@ def rolling_forecasts(
 
 def blind_forecast(source: DataFrame, splits: C.Splits) -> DataFrame:
     """Forecast of the holdout days from everything known by the end of VAL."""
-    s = series.build_series(source, splits.val_end)
+    s = series.build_series(source, splits.val_end, keyed=True)
     return smoothing.forecast_ahead(s, splits.val_end, splits.holdout_days)
 
 

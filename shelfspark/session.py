@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,20 +24,12 @@ def build_session(app: str = "shelfspark", master: str | None = None, **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or else a folder in the warehouse."""
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if not folder and current:
-        return current
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="shelfspark-")
-    if current is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
 

@@ -41,6 +41,17 @@ def test_leading_gap_never_borrows_from_a_neighbour(spark):
     assert got == {("1_A", DAY0): 1.0, ("1_B", DAY0): 5.0, ("1_B", DAY0 + timedelta(1)): 5.0}
 
 
+def test_keyed_series_move_no_cell(spark, small):
+    from registry.common import inputs
+    from shelfspark.plans import training
+
+    s = series.build_series(training.panel(inputs(spark, small)), date(2001, 10, 6), keyed=True)
+    for df in (series.seasonal_naive_folds(s, date(2001, 10, 6)), series.series_vectors(s)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(unique_id" not in plan
+        assert plan.count("Exchange hashpartitioning(store_id") == 1
+
+
 def test_cutoffs_of_the_published_setup():
     got = [d.isoformat()[5:] for d in series.cutoffs(date(2024, 1, 31))]
     assert got == ["12-06", "12-13", "12-20", "12-27", "01-03", "01-10", "01-17", "01-24"]
@@ -73,7 +84,7 @@ def test_folds_do_not_see_the_future_or_the_partitioning(spark):
     s = weekly(spark, 3)
     end = DAY0 + timedelta(days=139)
     first_cutoff = series.cutoffs(end)[0]
-    bent = s.withColumn("y", F.when(F.col("ds") > first_cutoff, 1e6).otherwise(F.col("y")))
+    bends = [s.withColumn("y", F.when(F.col("ds") > first_cutoff, v).otherwise(F.col("y"))) for v in (1e6, 0.0, -1.0)]
     keep = ["unique_id", "model", "ds", "yhat"]
 
     def fold(df):
@@ -82,7 +93,16 @@ def test_folds_do_not_see_the_future_or_the_partitioning(spark):
 
     base = fold(s)
     pd.testing.assert_frame_equal(base, fold(s.repartition(7)))
-    np.testing.assert_allclose(base["yhat"], fold(bent)["yhat"])
+    for bent in bends:
+        np.testing.assert_allclose(base["yhat"], fold(bent)["yhat"])
+
+
+def test_series_need_one_reading_a_day(spark):
+    s = weekly(spark, 2)
+    end = DAY0 + timedelta(days=139)
+    for odd in (s.where(F.col("ds") != DAY0 + timedelta(days=9)), s.union(s.where(F.col("ds") == DAY0 + timedelta(days=9)))):
+        with pytest.raises(Exception, match="not one reading a day"):
+            smoothing.model_folds(odd, end).collect()
 
 
 def test_sweep_matches_a_plain_loop():
