@@ -75,30 +75,41 @@ def o02(spark, folder):
 # The first twenty nations as the dimension leave the other stores' facts orphaned.
 @register(
     "o03_orphan_stores",
-    with_ctes(
-        "SELECT DISTINCT store_id FROM facts WHERE store_id NOT IN (SELECT store_id FROM stores WHERE opening_year < 2005)",
-        "facts",
-        "stores",
-    ),
+    with_ctes("SELECT DISTINCT store_id FROM facts WHERE store_id NOT IN (SELECT store_id FROM stores)", "facts", "stores"),
 )
 def o03(spark, folder):
     t = load(spark, folder)
-    return overview.orphan_stores(t.facts, t.stores.where("opening_year < 2005"))
+    return overview.orphan_stores(t.facts, t.stores)
+
+
+@register(
+    "o03_orphan_documents",
+    "SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
+)
+def o03_documents(spark, folder):
+    """The same check where something is missing: documents against the ratings."""
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    return overview.orphan_stores(docs, labels, "doc_id")
 
 
 @register(
     "o04_idle_stores",
-    with_ctes(
-        """SELECT store_id FROM stores WHERE store_id NOT IN
- (SELECT store_id FROM facts WHERE has_promotion = 1 AND date >= date '2001-10-01')""",
-        "facts",
-        "stores",
-    ),
+    with_ctes("SELECT store_id FROM stores WHERE store_id NOT IN (SELECT store_id FROM facts)", "facts", "stores"),
 )
 def o04(spark, folder):
     t = load(spark, folder)
-    promoted = t.facts.where((F.col("has_promotion") == 1) & (F.col("date") >= "2001-10-01"))
-    return overview.idle_stores(promoted, t.stores)
+    return overview.idle_stores(t.facts, t.stores)
+
+
+@register(
+    "o04_idle_vectors",
+    """SELECT vec_id FROM (SELECT DISTINCT vec_id FROM embeddings WHERE vec_id IS NOT NULL)
+ WHERE vec_id NOT IN (SELECT page_id FROM pages WHERE page_id IS NOT NULL)""",
+)
+def o04_vectors(spark, folder):
+    """The same check where something is idle: vectors without a page of their number."""
+    vectors, pages = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("embeddings", "pages"))
+    return overview.idle_stores(pages.withColumnRenamed("page_id", "vec_id"), vectors, "vec_id")
 
 
 @register(
@@ -826,6 +837,19 @@ def x01(spark, folder):
     return tidy(profile.zero_inflation(load(spark, folder).facts, "cash_transactions"))
 
 
+@register(
+    "x01_signal_zero_inflation",
+    with_ctes(
+        """SELECT count(replenishment_signal) AS known, count(*) FILTER (WHERE replenishment_signal = 0) AS zeros,
+ round(count(*) FILTER (WHERE replenishment_signal = 0) / count(replenishment_signal) * 100, 6) AS zero_inflation_pct
+ FROM facts""",
+        "facts",
+    ),
+)
+def x01_signal(spark, folder):
+    return tidy(profile.zero_inflation(load(spark, folder).facts))
+
+
 @register(
     "x04_blind_windows",
     with_ctes(

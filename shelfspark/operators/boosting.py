@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from shelfspark.session import shared_folder
 
 PREDICTION = "predicted_replenishment_signal"
-# Defaults of the two contrast models: depth, trees, learning rate, early stopping.
+# Defaults of the two contrast models: depth, trees, learning rate, early stopping. MLlib stops at the first round in
+# which the validation error does not fall; it knows no patience.
 PRESETS = {
     "deep": {"max_depth": 8, "n_trees": 300, "learning_rate": 0.05, "early_stop": True},
     "shallow": {"max_depth": 6, "n_trees": 300, "learning_rate": 0.05, "early_stop": False},
@@ -57,7 +58,7 @@ class DemandRegressor:
             maxMemoryInMB=512,
             checkpointInterval=10,
             cacheNodeIds=True,
-            validationTol=0.001,
+            validationTol=0.0,
             **({"validationIndicatorCol": "held_out"} if stopping else {}),
         )
         assembler = VectorAssembler(inputCols=self.features, outputCol="features")

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _ids(df: DataFrame) -> DataFrame:
-    return df.select("store_id").where(F.col("store_id").isNotNull()).distinct()
+def _ids(df: DataFrame, key: str = "store_id") -> DataFrame:
+    return df.select(key).where(F.col(key).isNotNull()).distinct()
 
 
-def orphan_stores(facts: DataFrame, stores: DataFrame) -> DataFrame:
-    """Stores that sold something but are missing from the dimension."""
-    return _ids(facts).join(_ids(stores), "store_id", "left_anti")
+def orphan_stores(facts: DataFrame, stores: DataFrame, key: str = "store_id") -> DataFrame:
+    """Stores (or other keys) that sold something but are missing from the dimension."""
+    return _ids(facts, key).join(_ids(stores, key), key, "left_anti")
 
 
-def idle_stores(facts: DataFrame, stores: DataFrame) -> DataFrame:
-    """Stores of the dimension without any fact."""
-    return _ids(stores).join(_ids(facts), "store_id", "left_anti")
+def idle_stores(facts: DataFrame, stores: DataFrame, key: str = "store_id") -> DataFrame:
+    """Stores (or other keys) of the dimension without any fact."""
+    return _ids(stores, key).join(_ids(facts, key), key, "left_anti")
 
 
 def referential_match(facts: DataFrame, stores: DataFrame) -> DataFrame:
