@@ -2,8 +2,11 @@
 
 Texts with the same words are one node, so copies cost nothing more. Nodes that share a band are candidates. Not all
 pairs of a bucket are looked at: links are wanted only for classes, so pairs that are already in one class are
-skipped. Star rounds compare one member of each class in a bucket with one of its smallest class; the last round
-compares what is then still apart, pair by pair. So every candidate pair is compared or already in one class.
+skipped. Star rounds compare one member of each class with the best connected node of its buckets, which is
+near the middle of a group of copies. What is then still apart is bounded: shingles that only a few of these nodes
+have are counted pair by pair, and no other pair has any of them in common, which limits every pair's similarity
+exactly; nor can shingles of a single class be common to two. Pairs that the bound allows are compared. So every candidate pair is compared, excluded by its bound or
+already in one class.
 """
 
 from __future__ import annotations
@@ -12,12 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.batches import slices
 from shelfspark.llm.frames import fresh, named
-from shelfspark.llm.shingles import band_keys, probability_jaccard, shingles, signatures
+from shelfspark.llm.shingles import band_keys, probability_jaccard, shingles, signatures, weights
 from shelfspark.session import settle
 
 WORDS = 5
@@ -25,6 +28,8 @@ SIMILAR = 0.8
 #: A pair of similarity 0.8 shares one of 20 bands of 4 registers with probability 0.99997.
 BANDS, BAND_ROWS = 20, 4
 STAR_ROUNDS = 2
+#: A shingle of at most so many nodes that are still apart is looked up pair by pair; this sets the work, not the result.
+FEW = 8
 
 
 def signature_table(docs: DataFrame, key: str, text: str, words: int, bands: int, band_rows: int) -> DataFrame:
@@ -33,7 +38,7 @@ def signature_table(docs: DataFrame, key: str, text: str, words: int, bands: int
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             hashes, counts, offsets, digests = shingles(batch.column("text"), words)
-            keys = band_keys(signatures(hashes, counts, offsets, bands * band_rows), bands)
+            keys = band_keys(signatures(hashes, weights(counts), offsets, bands * band_rows), bands)
             some = np.diff(offsets) > 0
             ends = np.concatenate(([0], np.cumsum(some * bands))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[some].reshape(-1)))
@@ -47,24 +52,32 @@ def signature_table(docs: DataFrame, key: str, text: str, words: int, bands: int
 
 
 def _shingle_table(docs: DataFrame, wanted: DataFrame, text: str, words: int) -> DataFrame:
-    """Per node of ``wanted`` (``node``, ``row`` of one of its texts) the shingles and their counts, as bytes."""
+    """Per node of ``wanted`` (``node``, ``row`` of one of its texts) the shingles and their weights, as bytes, the number
+    of shingles, the sum and the largest of the weights."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             hashes, counts, offsets, _ = shingles(batch.column("text"), words)
+            own = weights(counts).astype(np.float32)
             pairs = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     pa.array([hashes[a:b].astype("<u8").tobytes() for a, b in pairs], pa.binary()),
-                    # Most texts repeat no shingle: no counts then.
-                    pa.array([counts[a:b].astype("<u4").tobytes() if (counts[a:b] > 1).any() else b"" for a, b in pairs], pa.binary()),
+                    # Most texts repeat no shingle: no weights then.
+                    pa.array([own[a:b].astype("<f4").tobytes() if (own[a:b] > 1).any() else b"" for a, b in pairs], pa.binary()),
+                    pa.array([b - a for a, b in pairs], pa.int64()),
+                    pa.array([float(own[a:b].sum(dtype=float)) for a, b in pairs]),
+                    pa.array([float(own[a:b].max(initial=1)) for a, b in pairs]),
                 ],
-                names=["node", "shingles", "counts"],
+                names=["node", "shingles", "weights", "size", "weight", "top"],
             )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), named(text).alias("text"))
-    return rows.join(wanted, "row").select("node", "text").mapInArrow(cut, "node binary, shingles binary, counts binary")
+    # Texts are dealt out by row whatever the number of wanted rows, so that the plan is the same at every size.
+    return rows.join(wanted.hint("merge"), "row").select("node", "text").mapInArrow(
+        cut, "node binary, shingles binary, weights binary, size bigint, weight double, top double"
+    )
 
 
 def _verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
@@ -73,24 +86,96 @@ def _verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c) for c in ("shingles_a", "counts_a", "shingles_b", "counts_b")]
+            columns = [batch.column(c) for c in ("shingles_a", "weights_a", "shingles_b", "weights_b")]
             keep = []
             for i in range(batch.num_rows):
                 a, wa, b, wb = (c[i].as_py() for c in columns)
                 x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-                wx = np.frombuffer(wa, "<u4") if wa else np.ones(len(x))
-                wy = np.frombuffer(wb, "<u4") if wb else np.ones(len(y))
+                wx = np.frombuffer(wa, "<f4") if wa else np.ones(len(x))
+                wy = np.frombuffer(wb, "<f4") if wb else np.ones(len(y))
                 keep.append(probability_jaccard(x, wx, y, wy) >= least)
             yield batch.select(["a", "b", *rest]).filter(pa.array(keep, pa.bool_()))
 
     def side(x: str) -> DataFrame:
-        return table.select(F.col("node").alias(x), F.col("shingles").alias(f"shingles_{x}"), F.col("counts").alias(f"counts_{x}"))
+        return table.select(F.col("node").alias(x), F.col("shingles").alias(f"shingles_{x}"), F.col("weights").alias(f"weights_{x}"))
 
     kinds = dict(pairs.dtypes)
     shape = ", ".join(f"{c} {kinds[c]}" for c in ("a", "b", *rest))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, shape)
 
 
+def _rare(table: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rare shingles of ``nodes`` (``node``, ``label``) are those that FEW nodes have at most, or the nodes of one class alone.
+    Returns a row for each node with a rare shingle of several classes; and per node the ``size``, ``weight`` and ``top``
+    of its shingles with the number and weight of the rare ones."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c) for c in ("node", "label", "shingles", "weights"))
+            for node, label, data, heavy in zip(*columns, strict=True):
+                own = np.frombuffer(data.as_py(), "<i8")
+                each = np.frombuffer(heavy.as_py(), "<f4") if heavy.as_py() else np.ones(len(own))
+                same = [pa.array([x.as_py()] * len(own), pa.binary()) for x in (node, label)]
+                yield pa.RecordBatch.from_arrays(
+                    [*same, pa.array(own), pa.array(each.astype(float))], names=["node", "label", "shingle", "own"]
+                )
+
+    held = settle(table.join(nodes, "node"), "held")
+    rows = held.select("node", "label", "shingles", "weights").mapInArrow(
+        spread, "node binary, label binary, shingle bigint, own double"
+    )
+    rows = settle(rows, "spread")
+    held_by = rows.groupBy("shingle").agg(
+        F.count("*").alias("n"), (F.min("label") == F.max("label")).alias("one_class")
+    )
+    rare = settle(rows.join(settle(held_by.filter((F.col("n") <= FEW) | F.col("one_class")), "few"), "shingle"), "rare")
+    own = rare.groupBy("node").agg(F.count("*").alias("rare"), F.sum("own").alias("rare_weight"))
+    sizes = held.select("node", "label", "size", "weight", "top").join(own, "node", "left")
+    return rare.filter("NOT one_class"), settle(sizes.fillna({"rare": 0, "rare_weight": 0.0}), "sizes")
+
+
+def _able(similar: float, common: Column) -> Column:
+    """Can the columns' two nodes, the second one's with ``_b``, be similar if they share ``common`` of their rare shingles."""
+    shared = F.least(F.expr("size - rare"), F.expr("size_b - rare_b")) + common
+    held = F.least(F.expr("weight - rare_weight") + F.col("top") * common, F.col("top") * shared)
+    held_b = F.least(F.expr("weight_b - rare_weight_b") + F.col("top_b") * common, F.col("top_b") * shared)
+    bound = held / (F.col("weight") + (F.col("weight_b") - held_b) / F.col("top_b"))
+    bound_b = held_b / (F.col("weight_b") + (F.col("weight") - held) / F.col("top"))
+    return F.least(bound, bound_b) >= similar - 1e-9
+
+
+def _apart(placed: DataFrame, table: DataFrame, similar: float) -> DataFrame:
+    """Pairs (``a``, ``b``, ``x``, ``y``) of nodes in one bucket, but not in one class, that can be similar."""
+
+    def several(rows: DataFrame) -> DataFrame:
+        """Rows of the bands that still hold more than one class."""
+        bands = rows.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        return rows.join(settle(bands.filter("low < high").select("band"), "several"), "band", "left_semi")
+
+    def other(rows: DataFrame) -> DataFrame:
+        return rows.select(*(F.col(c).alias(f"{c}_b") for c in rows.columns))
+
+    found = [F.col("node").alias("a"), F.col("node_b").alias("b"), F.col("label").alias("x"), F.col("label_b").alias("y")]
+    left = settle(several(placed), "apart")
+    rare, sizes = _rare(table, left.select("node", "label").distinct())
+
+    # Pairs with rare shingles in common: no shingle makes more than FEW * FEW / 2.
+    some = rare.select("node", "label", "shingle")
+    met = some.join(other(some), (F.col("shingle") == F.col("shingle_b")) & (F.col("label") > F.col("label_b")))
+    met = settle(met.groupBy("node", "node_b").agg(F.count("*").alias("common")), "met")
+    met = met.join(sizes, "node").join(other(sizes), "node_b").filter(_able(similar, F.col("common"))).select(*found)
+
+    # Pairs without: of plain sets, a node needs a partner in its bucket of at most this size.
+    left = settle(left.join(sizes.drop("label"), "node"), "sized")
+    common = F.col("size") - F.col("rare")
+    room = common / similar + common - F.col("size") + 1e-6
+    bands = left.groupBy("band").agg(F.min("size").alias("least"), F.max("top").alias("most"))
+    left = left.join(settle(bands, "least"), "band").filter((F.col("most") > 1.0) | (F.col("least") <= room)).drop("least", "most")
+    left = settle(several(settle(left, "able")), "able")
+    near = left.join(other(left), (F.col("band") == F.col("band_b")) & (F.col("label") > F.col("label_b")) & _able(similar, F.lit(0)))
+    return met.unionByName(near.select(*found)).distinct()
+
+
 def _hooked(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (``node``, ``label``: smallest node of its class) after merging classes along ``edges`` (``x`` > ``y``,
     labels). In each turn a class joins its smallest neighbour, chains are shortened until each member knows
@@ -132,7 +217,7 @@ def classes(
     ``class_size`` and ``first`` (is it the row that stands for its class: smallest key, null last, then position).
 
     Texts are in one class if a chain of links joins them: a link is a probability Jaccard similarity of shingles,
-    weighted by their counts, of ``similar`` or more. Texts of equal words are in one class, and so are all texts without
+    weighted by 1 + log2 of their counts, of ``similar`` or more. Texts of equal words are in one class, and so are all texts without
     words (null and empty ones among them). Rows that repeat with their key are members as any others. An empty
     table gives no rows. ``docs`` must be a table or another frame whose rows come in the same order each time.
     Intermediate tables are written while the frame is built.
@@ -142,41 +227,49 @@ def classes(
     spread = signed.select("node", F.explode("bands").alias("band")).distinct()
     shared = settle(spread.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"), "shared")
     buckets = settle(settle(spread, "bands").join(shared, "band", "left_semi"), "buckets")
-    near = settle(buckets.select("node").distinct(), "near")
-    wanted = settle(near.join(nodes, "node"), "wanted")
+    sizes = settle(buckets.groupBy("band").agg(F.count("*").alias("n")), "sizes")
+    near = buckets.join(sizes, "band").groupBy("node").agg(F.sum("n").alias("degree"))
+    near = settle(near, "near")
+    wanted = settle(near.select("node").join(nodes, "node"), "wanted")
     table = settle(_shingle_table(docs, wanted, text, words), "shingles")
 
     labels = near.select("node", F.col("node").alias("label"))
-    compared = None
+    compared = leaders = None
     for turn in range(star_rounds + 1):
-        # Buckets that hold several classes, with one member of each class.
         placed = settle(buckets.join(labels, "node"), "placed")
-        mixed = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        mixed = settle(mixed.select("band", "low"), "mixed")
+        bands = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        mixed = settle(bands.filter("low < high").select("band"), "mixed")
         if mixed.isEmpty():
             break
-        if turn < star_rounds:
-            members = placed.groupBy("band", "label").agg(F.min("node").alias("node"))
-            members = settle(members, "members").join(mixed, "band")
-            lead = members.filter("label = low").select("band", F.col("node").alias("b"))
-            stars = settle(members.filter("label > low").select("band", "label", "low", "node"), "stars").join(settle(lead, "leads"), "band")
-            # One comparison for each class: with its smallest neighbour.
-            chosen = F.min(F.struct("low", F.col("b"), F.col("node").alias("a"))).alias("s")
-            pairs = stars.groupBy("label").agg(chosen).select(F.col("s.a").alias("a"), F.col("s.b").alias("b"), F.col("label").alias("x"), F.col("s.low").alias("y"))
+        if turn == star_rounds:
+            pairs = _apart(placed, table, similar)
         else:
-            left = placed.join(mixed.select("band"), "band", "left_semi")
-            left = settle(left, "apart")
-            right = left.select("band", F.col("node").alias("b"), F.col("label").alias("y"))
-            pairs = left.select("band", F.col("node").alias("a"), F.col("label").alias("x")).join(right, "band").filter("x > y").drop("band").distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti").join(
-                compared.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"
+            # Of the nodes that have not led yet, the best connected one of each bucket leads, and the best
+            # connected member stands for its class.
+            rank = F.struct("degree", "node").alias("best")
+            ranked = settle(placed.join(mixed, "band", "left_semi").join(near, "node"), "ranked")
+            members = ranked.groupBy("band", "label").agg(F.max(rank).alias("best"))
+            fresh_leaders = ranked if leaders is None else ranked.join(leaders, "node", "left_anti")
+            lead = fresh_leaders.groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("lead"))
+            met = settle(members, "members").join(settle(lead, "leads"), "band").filter(F.col("label") != F.col("lead.label"))
+            # One comparison for each class: with the best leader of all its buckets.
+            chosen = met.groupBy("label").agg(F.max(F.struct("lead", "best")).alias("m"))
+            pairs = chosen.select(
+                F.col("m.best.node").alias("a"),
+                F.col("m.lead.node").alias("b"),
+                F.greatest("label", "m.lead.label").alias("x"),
+                F.least("label", "m.lead.label").alias("y"),
             )
-        pairs = settle(pairs.select("a", "b", "x", "y"), "pairs")
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = settle(pairs, "pairs")
         linked = settle(_verified(pairs, table, similar), "linked")
         labels = _hooked(labels, linked.select("x", "y").distinct())
         seen = pairs.select("a", "b")
-        compared = seen if compared is None else settle(compared.unionByName(seen), "compared")
+        seen = seen.unionByName(seen.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        compared = settle(seen if compared is None else compared.unionByName(seen), "compared")
+        used = pairs.select(F.col("b").alias("node")).distinct()
+        leaders = settle(used if leaders is None else leaders.unionByName(used), "leaders")
     return _with_classes(signed, labels)
 
 
@@ -205,4 +298,4 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """The rows of ``docs`` that stand for their class, with all their columns."""
     (row,) = fresh(docs, "row")
     lost = classes(docs, key, text, **options).filter(~F.col("first")).select(F.col("row").alias(row))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(lost, row, "left_anti").drop(row)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(lost.hint("merge"), row, "left_anti").drop(row)

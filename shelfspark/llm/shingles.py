@@ -63,6 +63,11 @@ def shingles(texts: pa.Array, words: int = 5) -> tuple[np.ndarray, np.ndarray, n
     return rolled[at], counts, np.concatenate(([0], ends)), digests
 
 
+def weights(counts: np.ndarray) -> np.ndarray:
+    """1 + log2 of the counts: a phrase that a text repeats hundreds of times must not make up most of it."""
+    return 1 + np.log2(counts)
+
+
 def signatures(hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, registers: int) -> np.ndarray:
     """ProbMinHash: in each register the element that arrived there first, 0 for texts without elements.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -148,13 +149,14 @@ def words_of(text):
 
 def cut(text, n=5):
     words = words_of(text)
-    return Counter(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else Counter()
+    counts = Counter(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else Counter()
+    return {k: 1 + math.log2(c) for k, c in counts.items()}
 
 
 def weighted(a, b):
     total = 0.0
     for d in a.keys() & b.keys():
-        total += 1 / sum(max(a[e] / a[d], b[e] / b[d]) for e in a.keys() | b.keys())
+        total += 1 / sum(max(a.get(e, 0) / a[d], b.get(e, 0) / b[d]) for e in a.keys() | b.keys())
     return total
 
 
