@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import regex
 
 #: Bytes of text that are worked on at a time; one longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 # A white-space character before a space, or the mark that is put before spaces below.
 _ODD = (
@@ -36,6 +36,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def chunked(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
