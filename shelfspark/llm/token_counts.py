@@ -25,7 +25,7 @@ from shelfspark.llm.batches import per_text, slices, whole
 SPACE = "▁"
 #: States and chunk maps are kept up to these numbers by each Python worker; they are compiled anew beyond.
 KEPT_STATES = 200_000
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 150_000
 
 
 class Transducer:
