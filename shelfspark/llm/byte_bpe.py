@@ -16,32 +16,34 @@ from pyspark.sql import functions as F
 
 from shelfspark.llm.batches import chunked, per_text, slices, whole
 
-#: Encoded chunks that each Python worker keeps; further ones are encoded anew.
-KEPT_CHUNKS = 300_000
+#: Encoded words that a Python worker keeps, and chunks that a task keeps; further ones are encoded anew.
+KEPT_WORDS, KEPT_CHUNKS = 500_000, 200_000
 #: Words of more bytes than this take many rounds and are contracted in queries of their own.
 LONG_WORD = 64
 #: Rows that the rounds of one query leave, at most, unless a single word has more.
-ROUND_ROWS = 2_000_000
+ROUND_ROWS = 1_000_000
 
 # A row is a token at a place: word * 2^32 + byte offset, so the next token's place is its own plus the token's size.
-# Each round joins neighbours with the merge table and contracts, in each word, the leftmost pair of lowest rank;
-# a word without pairs drops out. Every round's tokens stay, and the last of each word are its ids.
+# Each round joins neighbours with the merge table and contracts, in each word, the leftmost pair of lowest rank: the least
+# number made of rank, offset and the sizes of the left token and of both, a byte each. A word without pairs
+# drops out. Every round's tokens stay, and the last of each word are its ids.
 CONTRACT = """
 WITH RECURSIVE token(place, id, size, round) AS (
-  SELECT place, id, 1 AS size, 0 AS round FROM start
+  SELECT place, id, 1::bigint AS size, 0 AS round FROM start
   UNION ALL
-  (WITH pair AS (
-     SELECT a.place, b.place AS right_place, a.size + b.size AS size, m.merged,
-       (m.merged::bigint << 32) + (a.place & 4294967295) AS turn
+  (WITH first AS (
+     SELECT a.place >> 32 AS word,
+       min((m.merged::bigint << 24) + ((a.place & 255) << 16) + (a.size << 8) + a.size + b.size) AS turn
      FROM token a JOIN token b ON b.place = a.place + a.size JOIN merges m ON m.pair = (a.id::bigint << 32) + b.id
-   ), first AS (
-     SELECT place >> 32 AS word, min(merged) AS merged, arg_min(place, turn) AS place,
-       arg_min(right_place, turn) AS right_place, arg_min(size, turn) AS size
-     FROM pair GROUP BY 1
+     GROUP BY 1
+   ), pair AS (
+     SELECT word, (turn >> 24)::int AS merged, (word << 32) + ((turn >> 16) & 255) AS place,
+       (word << 32) + ((turn >> 16) & 255) + ((turn >> 8) & 255) AS right_place, turn & 255 AS size
+     FROM first
    )
    SELECT t.place, CASE WHEN t.place = f.place THEN f.merged ELSE t.id END,
      CASE WHEN t.place = f.place THEN f.size ELSE t.size END, t.round + 1
-   FROM token t JOIN first f ON f.word = t.place >> 32 WHERE t.place <> f.right_place)
+   FROM token t JOIN pair f ON f.word = t.place >> 32 WHERE t.place <> f.right_place)
 ), done AS (
   SELECT place >> 32 AS word, max(round) AS round FROM token GROUP BY 1
 )
@@ -100,6 +102,12 @@ def _groups(texts: list[bytes], wanted: list[int]) -> Iterator[tuple[str, list[i
         yield CONTRACT_LONG if len(texts[group[0]]) > LONG_WORD else CONTRACT, group
 
 
+def _lists(column: pa.ListArray) -> tuple[list[int], list[int]]:
+    """All values of a column of lists, and where each list begins and ends."""
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_pylist(), (offsets - offsets[0]).tolist()
+
+
 class Ranks:
     """A rank file in an in-memory database of this process: ``tokens`` and ``merges``."""
 
@@ -107,8 +115,7 @@ class Ranks:
         with open(path, "rb") as lines:
             self.rank = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines)}
         self.pattern = regex.compile(pattern)
-        self.kept: dict[str, tuple[int, ...]] = {}
-        self.seen: dict[bytes, list[int]] = {}
+        self.seen: dict[bytes, tuple[str, bytes, int]] = {}
         self.trips: dict[str, tuple[str, bytes, int]] = {}
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         rows = [
@@ -121,7 +128,7 @@ class Ranks:
         least = np.full(max(self.rank.values()) + 1, np.iinfo(np.int32).max, np.int32)
         np.minimum.at(least, left, merged)
         np.minimum.at(least, right, merged)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB"})
         pair = (left.astype(np.int64) << 32) + right  # one key, so that neighbours are joined first
         merges = pa.table({"pair": pair, "merged": merged, "calm": least[merged] > merged})
         tokens = pa.table({"id": list(self.rank.values()), "digits": [t.hex() for t in self.rank]})
@@ -147,38 +154,48 @@ class Ranks:
             place = (np.repeat(np.arange(len(group)), sizes) << 32) + offset
             ids = self.byte[np.frombuffer(b"".join(texts[i] for i in group), np.uint8)]
             self.db.register("start", pa.table({"place": place, "id": ids}))
-            for word, found in self.db.execute(query).fetchall():
-                out[group[word]] = found
+            found = self.db.sql(query).to_arrow_table()
+            ids, ends = _lists(found.column("ids").combine_chunks())
+            for word, a, b in zip(found.column("word").to_pylist(), ends, ends[1:], strict=False):
+                out[group[word]] = ids[a:b]
             self.db.unregister("start")
         return out
 
+    def _parts(self, chunks: list[str]) -> list[list[bytes]]:
+        return [[w.encode() for w in self.pattern.findall(c)] for c in chunks]
+
     def chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
         """Ids of each chunk of ``chunked``."""
-        if len(self.kept) > KEPT_CHUNKS:
-            self.kept.clear()
-        known = self._encoded([c for c in chunks if c not in self.kept])
-        self.kept.update(known)
-        return [self.kept[c] for c in chunks]
-
-    def _encoded(self, new: list[str]) -> dict[str, tuple[int, ...]]:
-        parts = [[w.encode() for w in self.pattern.findall(c)] for c in new]
-        if len(self.seen) > KEPT_CHUNKS:
-            self.seen.clear()
-        distinct = list({w for p in parts for w in p if w not in self.seen})
-        self.seen.update(zip(distinct, self.words(distinct), strict=True))
-        ids = self.seen
-        return {c: tuple(i for w in p for i in ids[w]) for c, p in zip(new, parts, strict=True)}
+        parts = self._parts(chunks)
+        distinct = list({w for p in parts for w in p})
+        ids = dict(zip(distinct, self.words(distinct), strict=True))
+        return [tuple(i for w in p for i in ids[w]) for p in parts]
 
     def round_trips(self, chunks: list[str]) -> list[tuple[str, bytes, int]]:
         """For each chunk its ids in decimal, the bytes that they decode to and their number."""
         if len(self.trips) > KEPT_CHUNKS:
             self.trips.clear()
-        known = self._encoded([c for c in chunks if c not in self.trips])
-        for (c, ids), spelt in zip(known.items(), self.spell(list(known.values())), strict=True):
-            self.trips[c] = " ".join(map(str, ids)), spelt, len(ids)
+        if len(self.seen) > KEPT_WORDS:
+            self.seen.clear()
+        new = [c for c in chunks if c not in self.trips]
+        parts = self._parts(new)
+        distinct = list({w for p in parts for w in p if w not in self.seen})
+        ids = self.words(distinct)
+        for word, own, spelt in zip(distinct, ids, self.spell(ids), strict=True):
+            self.seen[word] = " ".join(map(str, own)), spelt, len(own)
+        for c, p in zip(new, parts, strict=True):
+            found = [self.seen[w] for w in p]
+            if len(found) == 1:
+                self.trips[c] = found[0]
+            else:
+                self.trips[c] = " ".join([f[0] for f in found]), b"".join([f[1] for f in found]), sum(f[2] for f in found)
         return [self.trips[c] for c in chunks]
 
-    def spell(self, items: list[tuple[int, ...]]) -> list[bytes]:
+    def forget(self) -> None:
+        """Gives the memory of encoded chunks back; words stay for the next task of this process."""
+        self.trips.clear()
+
+    def spell(self, items: list[list[int]] | list[tuple[int, ...]]) -> list[bytes]:
         """The bytes of each list of ids."""
         sizes = np.array([len(x) for x in items], np.int64)
         flat = np.fromiter((i for x in items for i in x), np.int32, int(sizes.sum()))
@@ -265,6 +282,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
                 ],
                 names=["key", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        own.forget()
 
     rows = docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text")
     kind = dict(docs.dtypes)[key]
