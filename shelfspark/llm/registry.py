@@ -82,7 +82,7 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids written to grammar-compressed files and read back."""
     path = scratch_path(spark, "tokens")
-    token_files.write_tokens(table(spark, folder, "documents"), TOKENIZER, path, END_ID)
+    token_files.write_tokens(table(spark, folder, "documents"), TOKENIZER, public_tokenizers.PATTERN, path, END_ID)
     found = token_files.read_tokens(spark, path)
     return found.withColumnsRenamed({"key": "doc_id", "crc32": "ids_crc32"})
 

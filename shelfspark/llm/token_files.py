@@ -19,9 +19,11 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -37,8 +39,8 @@ LEAST_PAIRS = 64
 #: Pairs replaced in a round, at most: pairs that share no symbol as left and right do not overlap.
 ROUND_PAIRS = 2048
 SYMBOLS = 1 << 16
-#: Encoded chunks that each Python worker keeps; further ones are encoded anew.
-KEPT_CHUNKS = 300_000
+#: Encoded words and chunks that a task keeps; further ones are encoded anew.
+KEPT = 250_000
 
 SCHEMA = (
     "part int, shard int, before bigint, keys array<bigint>, ends array<bigint>, counts array<bigint>, "
@@ -134,25 +136,44 @@ def compress(ids: np.ndarray, last: np.ndarray, first: int, least: int = LEAST_P
 
 
 class _Encoder:
-    def __init__(self, path: str):
+    """Encodes chunks with the library. ``pattern`` is what the tokenizer itself cuts texts by, so a chunk that holds none of
+    its added tokens is encoded word by word, and a word that was seen is not encoded again."""
+
+    def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, np.ndarray] = {}
-
-    def chunks(self, chunks: list[str]) -> list[np.ndarray]:
-        if len(self.kept) > KEPT_CHUNKS:
-            self.kept.clear()
+        self.words = regex.compile(pattern).findall
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.kept: dict[str, list[int]] = {}
+        self.seen: dict[str, list[int]] = {}
+
+    def chunks(self, chunks: list[str]) -> list[list[int]]:
+        for own in (self.kept, self.seen):
+            if len(own) > KEPT:
+                own.clear()
         new = [c for c in chunks if c not in self.kept]
-        for c, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.kept[c] = np.array(found.ids, np.int32)
+        joined = " ".join(new)
+        if any(t in joined for t in self.added):
+            parts = [[c] if any(t in c for t in self.added) else self.words(c) for c in new]
+        else:
+            parts = [self.words(c) for c in new]
+        fresh = list({w for p in parts for w in p if w not in self.seen})
+        for w, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            self.seen[w] = found.ids
+        for c, p in zip(new, parts, strict=True):
+            self.kept[c] = self.seen[p[0]] if len(p) == 1 else list(chain.from_iterable(map(self.seen.__getitem__, p)))
         return [self.kept[c] for c in chunks]
 
+    def forget(self) -> None:
+        self.kept.clear()
+        self.seen.clear()
+
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> _Encoder:
-    return _Encoder(path)
+def encoder(path: str, pattern: str) -> _Encoder:
+    return _Encoder(path, pattern)
 
 
 class _Shards:
@@ -201,23 +222,24 @@ class _Shards:
 
 
 def write_tokens(
-    docs: DataFrame, tokenizer: str, path: str, end_id: int, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, tokenizer: str, pattern: str, path: str, end_id: int, key: str = "doc_id", text: str = "text"
 ) -> None:
     """Encode every text, append ``end_id`` and write the shards below ``path``.
 
     Documents lie in ascending order of their whole-number keys, null first; rows that repeat with their key
     lie side by side. Null and empty texts are the end id alone. An empty table writes no shard.
-    ``tokenizer`` is a file that every executor has; its vocabulary must leave 16-bit symbols free.
+    ``tokenizer`` is a file that every executor has and ``pattern`` the one it cuts texts by; its vocabulary must leave
+    16-bit symbols free.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, pattern)
         shards = _Shards(TaskContext.get().partitionId(), max(own.tokenizer.get_vocab_size(), end_id + 1))
         for batch in slices(batches, "text"):
             names, index, offsets = chunked(whole(batch.column("text")))
             parts = own.chunks(names)
             sizes = np.array([len(p) for p in parts], np.int64)
-            flat = np.concatenate([*parts, np.zeros(0, np.int32)])
+            flat = np.fromiter(chain.from_iterable(parts), np.int32, int(sizes.sum()))
             begins = (np.cumsum(sizes) - sizes)[index]
             size = sizes[index]
             shift = np.repeat(begins - (np.cumsum(size) - size), size)
@@ -229,6 +251,7 @@ def write_tokens(
                 start = stop
         if shards.size:
             yield shards.row()
+        own.forget()
 
     rows = docs.select(named(key).cast("bigint").alias("key"), named(text).alias("text"))
     rows.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(encode, SCHEMA).write.parquet(path)

@@ -150,7 +150,7 @@ def test_grammar_gives_the_ids_back(least):
 
 def test_token_files(spark, odd, odd_rows, nothing, tmp_path, monkeypatch):
     library = Tokenizer.from_file(registry.TOKENIZER)
-    token_files.write_tokens(odd, registry.TOKENIZER, str(tmp_path / "f"), 2)
+    token_files.write_tokens(odd, registry.TOKENIZER, P.PATTERN, str(tmp_path / "f"), 2)
     got = [tuple(r) for r in token_files.read_tokens(spark, str(tmp_path / "f")).collect()]
     assert len(got) == len(odd_rows)
     got.sort(key=lambda r: r[1])
@@ -168,5 +168,5 @@ def test_token_files(spark, odd, odd_rows, nothing, tmp_path, monkeypatch):
     for document, (_, ids) in enumerate(token_files.shard_documents(row)):
         a, b = len(ids) // 3, 2 * len(ids) // 3 + 1
         assert token_files.read_ids(row, document, a, b).tolist() == ids[a:b].tolist()
-    token_files.write_tokens(nothing, registry.TOKENIZER, str(tmp_path / "g"), 2)
+    token_files.write_tokens(nothing, registry.TOKENIZER, P.PATTERN, str(tmp_path / "g"), 2)
     assert token_files.read_tokens(spark, str(tmp_path / "g")).collect() == []
