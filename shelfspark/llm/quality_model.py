@@ -2,13 +2,16 @@
 
 P(grade >= k) is a logistic function of one shared score less the k-th threshold. The score of a text is the mean weight
 of its words and of their shapes, so long texts need no more memory than short ones.
+
+One toxic word hardly moves a mean, so a list of signs (words and stems) stands beside the score: those that mark toxic
+rows among the rows of quality.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -26,6 +29,12 @@ SAMPLE = 6000
 STEPS, RATE, SHRINK = 400, 0.1, 1e-4
 #: Frequencies of words are small numbers; this brings the weights near one.
 SCALE = 30.0
+#: A sign is taken if the toxic rows it marks outweigh the others this many times, and are half of all at least after so many
+#: rows of the mean are added.
+OUTWEIGH, ADDED = 3, 2.0
+#: First letters of a word that are a sign beside the whole word, for inflected words.
+STEM = 4
+_LETTERS = re.compile(r"[^\W\d_]+")
 _SHAPES = ((re.compile(r"[^\W\d_]*[a-zß-ÿ][^\W\d_]*"), "a"), (re.compile(r"[^\W\d_a]+"), "A"), (re.compile(r"\d+"), "0"))
 
 
@@ -42,25 +51,45 @@ def _slots(words: list[str]) -> np.ndarray:
     return (hashed % np.uint64(WEIGHTS)).astype(np.int64).reshape(2, -1)
 
 
-def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of the distinct words, index of each word, offsets of the texts."""
+def _signs(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Two signs for each run of letters: the run and its stem. Second, the index of the word that holds the run."""
+    runs = [_LETTERS.findall(w.lower()) for w in words]
+    flat = [r for found in runs for r in found]
+    both = np.array([*flat, *(r[:STEM] + "*" for r in flat)], dtype=object)
+    hashed = pd.util.hash_array(both, categorize=False) if len(both) else np.zeros(0, np.uint64)
+    return hashed.view(np.int64).reshape(2, -1), np.repeat(np.arange(len(words)), [len(r) for r in runs])
+
+
+def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words, index of each word, offsets of the texts."""
     parts = pc.split_pattern_regex(whole(texts), r"\s+")
     offsets = parts.offsets.to_numpy().astype(np.int64)
     coded = parts.flatten().dictionary_encode()
     names, index = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
     filled = np.array([bool(n) for n in names], bool)[index]
     running = np.concatenate(([0], np.cumsum(filled)))
-    return _slots(names), index[filled], running[offsets - offsets[0]]
+    return names, index[filled], running[offsets - offsets[0]]
 
 
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray
     thresholds: np.ndarray  # ascending, one less than there are grades
+    signs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        slots, index, offsets = _words(texts)
-        value = self.weights[slots].sum(axis=0, dtype=float)[index]
+        return self._scores(*_words(texts))
+
+    def rated(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Score of each text, and whether it bears a sign of toxicity."""
+        names, index, offsets = _words(texts)
+        signs, owner = _signs(names)
+        marked = np.zeros(len(names))
+        marked[owner[np.isin(signs, self.signs).any(axis=0)]] = 1
+        return self._scores(names, index, offsets), per_text(marked[index], offsets) > 0
+
+    def _scores(self, names: list[str], index: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        value = self.weights[_slots(names)].sum(axis=0, dtype=float)[index]
         return SCALE * per_text(value, offsets) / np.maximum(1, np.diff(offsets))
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
@@ -111,6 +140,33 @@ def fit_ordinal(owner: np.ndarray, slot: np.ndarray, value: np.ndarray, grades:
     return Model(weights.astype(np.float32), np.cumsum(np.concatenate((cut[:1], np.exp(cut[1:])))))
 
 
+def fit_signs(owner: np.ndarray, sign: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Signs of the toxic rows, best first; each is judged on the rows that those before it do not mark. ``owner`` and ``sign``
+    are the entries of the rows' signs, one of a kind in a row, sorted by row."""
+    names, at = np.unique(sign, return_inverse=True)
+    ends = np.searchsorted(owner, np.arange(len(toxic) + 1))
+    order = np.argsort(at, kind="stable")
+    bounds = np.searchsorted(at[order], np.arange(len(names) + 1))
+    marked, hits = (np.bincount(at, weights=w, minlength=len(names)) for w in (None, toxic[owner].astype(float)))
+    live = np.ones(len(toxic), bool)
+    found = []
+    while toxic[live].any() and len(names):
+        share = (hits + ADDED * toxic.mean()) / (marked + ADDED)
+        gain = np.where(share >= 0.5, hits - OUTWEIGH * (marked - hits), 0)
+        best = int(gain.argmax())
+        if gain[best] <= 0:
+            break
+        found.append(names[best])
+        rows = owner[order[bounds[best] : bounds[best + 1]]]
+        rows = rows[live[rows]]
+        live[rows] = False
+        for row in rows:
+            own = at[ends[row] : ends[row + 1]]
+            marked[own] -= 1
+            hits[own] -= toxic[row]
+    return np.array(found, np.int64)
+
+
 def grades(labels: DataFrame, key: str = "doc_id", quality: str = "quality", toxic: str = "toxic") -> DataFrame:
     """``key`` and ``grade``: 0 poor, 1 of quality but toxic, 2 of quality. Rows without key or quality rate nothing; a missing
     toxic mark counts as not toxic; of several ratings of a key the lowest holds."""
@@ -131,23 +187,29 @@ def fit(
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            slots, index, offsets = _words(batch.column("text"))
-            found, values = [], []
+            names, index, offsets = _words(batch.column("text"))
+            slots = _slots(names)
+            hashed, holder = _signs(names)
+            first = np.searchsorted(holder, np.arange(len(names) + 1))
+            found, values, signs = [], [], []
             for a, b in zip(offsets[:-1], offsets[1:], strict=True):
                 slot, times = np.unique(slots[:, index[a:b]], return_counts=True)
                 found.append(slot.astype(np.int32))
                 values.append((times / max(1, b - a)).astype(np.float32))
+                own = [hashed[:, first[w] : first[w + 1]].ravel() for w in np.unique(index[a:b])]
+                signs.append(np.unique(np.concatenate([np.zeros(0, np.int64), *own])))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
                     batch.column("grade"),
                     pa.array([x.tobytes() for x in found], pa.binary()),
                     pa.array([x.tobytes() for x in values], pa.binary()),
+                    pa.array([x.tobytes() for x in signs], pa.binary()),
                 ],
-                names=["key", "grade", "slots", "shares"],
+                names=["key", "grade", "slots", "shares", "signs"],
             )
 
-    read = rows.mapInArrow(features, "key bigint, grade int, slots binary, shares binary").collect()
+    read = rows.mapInArrow(features, "key bigint, grade int, slots binary, shares binary, signs binary").collect()
     read.sort(key=lambda r: (r.key, r.grade, bytes(r.slots)))
     if not read:
         even = np.arange(count - 1, 0, -1) / count
@@ -155,24 +217,39 @@ def fit(
     slot = [np.frombuffer(r.slots, np.int32) for r in read]
     owner = np.repeat(np.arange(len(read)), [len(s) for s in slot])
     value = SCALE * np.concatenate([np.frombuffer(r.shares, np.float32) for r in read]).astype(float)
-    return fit_ordinal(owner, np.concatenate(slot).astype(np.int64), value, np.array([r.grade for r in read]), count)
+    rated_as = np.array([r.grade for r in read])
+    model = fit_ordinal(owner, np.concatenate(slot).astype(np.int64), value, rated_as, count)
+    good = [r for r in read if r.grade > 0]
+    if not good:
+        return model
+    sign = [np.frombuffer(r.signs, np.int64) for r in good]
+    owner = np.repeat(np.arange(len(good)), [len(s) for s in sign])
+    return replace(model, signs=fit_signs(owner, np.concatenate(sign), rated_as[rated_as > 0] < count - 1))
 
 
 def grade_documents(
-    docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", least: float = 0.5, grade: int = 1
+    docs: DataFrame,
+    model: Model,
+    key: str = "doc_id",
+    text: str = "text",
+    least: float = 0.5,
+    grade: int = 1,
+    clean: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``row`` (position in the scan), ``expected_grade``, ``tail_probability``
-    (of ``grade`` or better) and ``kept`` (that probability is ``least`` or more).
+    (of ``grade`` or better) and ``kept`` (that probability is ``least`` or more and, if ``clean``, no sign of toxicity is met).
 
     A text without words, null or empty, is rated by the thresholds alone. Rows that repeat are rated alike.
     """
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            tails = model.tails(model.scores(batch.column("text")))
+            scores, toxic = model.rated(batch.column("text"))
+            tails = model.tails(scores)
             chance = tails[:, grade - 1]
+            kept = (chance >= least) & ~(clean & toxic)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("row"), pa.array(tails.sum(axis=1)), pa.array(chance), pa.array(chance >= least)],
+                [batch.column("key"), batch.column("row"), pa.array(tails.sum(axis=1)), pa.array(chance), pa.array(kept)],
                 names=["key", "row", "expected_grade", "tail_probability", "kept"],
             )
 

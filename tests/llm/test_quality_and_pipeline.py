@@ -32,6 +32,32 @@ def test_held_out_accuracy(spark):
     assert means == sorted(means) and means[2] - means[0] > 1.5
 
 
+def test_toxic_documents_go_and_clean_ones_stay(spark):
+    ship(spark)
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rated = quality_model.grades(spark.read.parquet(f"{folder}/labels.parquet"))
+    test = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    model = quality_model.fit(docs, rated.filter(~test))
+    held_out = docs.join(rated.filter(test), "doc_id")
+    found = quality_model.grade_documents(held_out, model, clean=True).withColumnRenamed("key", "doc_id").join(rated, "doc_id").collect()
+    shares = [np.mean([r.kept for r in found if r.grade == g]) for g in (1, 2)]
+    assert len(found) > 1000 and shares[0] <= 0.2 and shares[1] >= 0.98
+    query = registry.QUERIES["op10_quality_grade"](spark, folder).join(rated, "doc_id").collect()
+    assert np.mean([r.kept for r in query if r.grade == 1]) <= 0.2 and np.mean([r.kept for r in query if r.grade == 2]) >= 0.98
+
+
+def test_signs_are_judged_on_what_is_left():
+    rows = [{1, 9}] * 6 + [{2, 9}] * 4 + [{3}] * 30 + [{3, 7}] * 2 + [{2}]
+    toxic = np.array([True] * 10 + [False] * 33)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    sign = np.concatenate([np.array(sorted(r), np.int64) for r in rows])
+    assert quality_model.fit_signs(owner, sign, toxic).tolist() == [9]
+    keep = sign != 9
+    assert quality_model.fit_signs(owner[keep], sign[keep], toxic).tolist() == [1, 2]
+    assert quality_model.fit_signs(owner, sign, toxic & False).tolist() == []
+
+
 def test_odd_rows_and_ratings(spark, odd, odd_rows, nothing):
     labels = spark.createDataFrame([(0, 1, 0), (1, 0, None), (1, 1, 1), (None, 1, 1), (2, None, 0), (3, 1, 1)], "doc_id bigint, quality int, toxic int")
     rated = quality_model.grades(labels)
