@@ -8,21 +8,49 @@ from typing import Literal
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.session import shared_folder
 
 PREDICTION = "predicted_replenishment_signal"
-# Defaults of the two contrast models: depth, trees, learning rate, early stopping. MLlib stops at the first round in
-# which the validation error does not fall; it knows no patience.
+# Defaults of the two contrast models: depth, trees, learning rate, early stopping.
 PRESETS = {
     "deep": {"max_depth": 8, "n_trees": 300, "learning_rate": 0.05, "early_stop": True},
     "shallow": {"max_depth": 6, "n_trees": 300, "learning_rate": 0.05, "early_stop": False},
 }
 
 
+# Early stopping waits so many rounds for a lower validation error.
+PATIENCE = 30
+
+
+def rounds_kept(errors: Sequence[float], patience: int = PATIENCE) -> int:
+    """Rounds up to the lowest error that is met before ``patience`` rounds pass without a lower one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def truncated(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
+    """The model of the first ``trees`` rounds."""
+    gateway, own = SparkSession.active().sparkContext._gateway, model._java_obj
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, trees)
+    weights = gateway.new_array(gateway.jvm.double, trees)
+    for i, (tree, weight) in enumerate(zip(own.trees()[:trees], model.treeWeights[:trees], strict=True)):
+        kept[i], weights[i] = tree, float(weight)
+    short = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(own.uid(), kept, weights, own.numFeatures())
+    own.copyValues(short, gateway.jvm.org.apache.spark.ml.param.ParamMap())
+    found = GBTRegressionModel(short)
+    found._transfer_params_from_java()
+    return found
+
+
 @dataclass
 class DemandRegressor:
     """Fit, predict and explain one boosted model. ``params`` override the preset."""
@@ -38,15 +66,12 @@ class DemandRegressor:
         return {**PRESETS[self.preset], **self.params}
 
     def fit(self, train: DataFrame, features: Sequence[str], val: DataFrame | None = None) -> DemandRegressor:
-        """Train on complete rows; with early stopping the validation rows decide when to stop."""
+        """Train on complete rows; with early stopping all rounds are fitted and the validation rows decide how many are kept."""
         shared_folder(train.sparkSession)
         s = self.settings()
         self.features = list(features)
         columns = [*self.features, self.target]
-        rows = train.select(*columns, F.lit(False).alias("held_out"))
-        stopping = val is not None and s["early_stop"]
-        if stopping:
-            rows = rows.unionByName(val.select(*columns, F.lit(True).alias("held_out")))
+        rows = train.select(*columns)
         booster = GBTRegressor(
             featuresCol="features",
             labelCol=self.target,
@@ -58,11 +83,12 @@ class DemandRegressor:
             maxMemoryInMB=512,
             checkpointInterval=10,
             cacheNodeIds=True,
-            validationTol=0.0,
-            **({"validationIndicatorCol": "held_out"} if stopping else {}),
         )
         assembler = VectorAssembler(inputCols=self.features, outputCol="features")
         fitted = booster.fit(assembler.transform(rows))
+        if val is not None and s["early_stop"]:
+            errors = fitted.evaluateEachIteration(assembler.transform(val.select(*columns)), "squared")
+            fitted = truncated(fitted, rounds_kept(errors))
         self.model = PipelineModel([assembler, fitted])
         return self
 
@@ -71,6 +97,11 @@ class DemandRegressor:
             raise RuntimeError("fit the model before using it")
         return self.model
 
+    @property
+    def trees(self) -> int:
+        """Trees that the model keeps."""
+        return self._fitted().stages[-1].getNumTrees
+
     def predict(self, df: DataFrame) -> DataFrame:
         model = self._fitted()
         missing = [c for c in self.features if c not in df.columns]

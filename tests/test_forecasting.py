@@ -201,3 +201,30 @@ def test_boosted_model_life_cycle(spark, tmp_path):
     assert loaded.features == ["a", "b"]
     a = model.predict(df).agg(F.sum(boosting.PREDICTION)).first()[0]
     assert loaded.predict(df).agg(F.sum(boosting.PREDICTION)).first()[0] == pytest.approx(a)
+
+
+def test_early_stop_waits():
+    assert boosting.rounds_kept([5, 6, 4, 4, 4.5]) == 3
+    assert boosting.rounds_kept([3.0, *[4.0] * 29, 2.0]) == 31 and boosting.rounds_kept([3.0, *[4.0] * 30, 2.0]) == 1
+    assert boosting.rounds_kept([1.0]) == 1
+
+
+def test_early_stop_keeps_the_best_round(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    x = rng.uniform(0, 10, (170, 2))
+    rows = [(float(a), float(b), float(3 * a + 10 * np.sin(b) + rng.normal(0, 4))) for a, b in x]
+    schema = "a double, b double, replenishment_signal double"
+    train, val = (spark.createDataFrame(r, schema).coalesce(1) for r in (rows[:150], rows[150:]))
+    settings = {"n_trees": 20, "max_depth": 2, "learning_rate": 0.3}
+    model = boosting.DemandRegressor("deep", settings).fit(train, ["a", "b"], val)
+    whole = boosting.DemandRegressor("deep", settings).fit(train, ["a", "b"])
+    assembler, fitted = whole.model.stages
+    errors = fitted.evaluateEachIteration(assembler.transform(val), "squared")
+    first_rise = next(i for i in range(1, 20) if errors[i] >= errors[i - 1])
+    assert whole.trees == 20 and model.trees == boosting.rounds_kept(errors) > first_rise
+    y = F.col("replenishment_signal")
+    error = model.predict(val).agg(F.avg((F.col(boosting.PREDICTION) - y) ** 2)).first()[0]
+    assert error == pytest.approx(errors[model.trees - 1])
+    assert model.feature_importance().count() == 2
+    model.save(str(tmp_path / "m"))
+    assert boosting.DemandRegressor.load(str(tmp_path / "m")).trees == model.trees
