@@ -178,12 +178,14 @@ def grades(labels: DataFrame, key: str = "doc_id", quality: str = "quality", tox
 def fit(
     docs: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, count: int = 3
 ) -> Model:
-    """Model from ``rated`` (``key``, ``grade`` from 0 to ``count`` - 1), of which ``sample`` rows are read at most. Only
-    the features of that sample come to the driver. Without ratings every grade is as likely as every other."""
+    """Model from ``rated`` (``key``, ``grade`` from 0 to ``count`` - 1), of which ``sample`` rows are read at most, one
+    for each key. Only the features of that sample come to the driver. Without ratings every grade is as likely as every other."""
     # The number of rows is bounded, so they can be sent to every executor.
     few = rated.orderBy(F.md5(named(key).cast("string")), key).limit(sample)
     few = few.select(named(key).alias("key"), F.col("grade").cast("int").alias("grade"))
     rows = docs.select(named(key).cast("bigint").alias("key"), named(text).alias("text")).join(F.broadcast(few), "key")
+    # A key may repeat over many rows; one of them is read, whatever the order of rows.
+    rows = rows.groupBy("key", "grade").agg(F.min_by("text", F.md5(F.coalesce("text", F.lit("")))).alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

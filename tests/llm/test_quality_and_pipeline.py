@@ -80,6 +80,19 @@ def test_fit_is_bounded(spark, small):
     assert (a.weights != 0).sum() < (b.weights != 0).sum()
 
 
+def test_fit_reads_one_row_of_a_repeated_key(spark, monkeypatch):
+    ship(spark)
+    docs = spark.createDataFrame([(1, f"some text {i}") for i in range(300)] + [(2, "other"), (3, None)], "doc_id bigint, text string")
+    rated = spark.createDataFrame([(1, 2), (2, 0), (3, 1)], "doc_id bigint, grade int")
+    seen = []
+    whole_fit = quality_model.fit_ordinal
+    monkeypatch.setattr(quality_model, "fit_ordinal", lambda *a: seen.append(sorted(a[3].tolist())) or whole_fit(*a))
+    a = quality_model.fit(docs, rated)
+    b = quality_model.fit(docs.orderBy(F.desc("text")).repartition(3), rated)
+    assert seen == [[0, 1, 2], [0, 1, 2]]
+    assert (a.weights == b.weights).all() and (a.thresholds == b.thresholds).all()
+
+
 def test_pipeline_by_force(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
