@@ -37,6 +37,8 @@ class Transducer:
         self.alphabet = frozenset("".join(scores))
         self.neighbours = {p[i : i + 2] for p in scores for i in range(len(p) - 1)}
         self.growing = {p[:k] for p in scores for k in range(1, len(p))}
+        # A piece with a space after another character joins words, so texts do not fall apart there.
+        self.joins = any(b == SPACE != a for a, b in self.neighbours)
         self._forget()
 
     def _forget(self) -> None:
@@ -114,6 +116,8 @@ class Transducer:
         """Tokens of each text."""
         if len(self.states) > KEPT_STATES:
             self._forget()
+        if self.joins:
+            return np.array([self.chunk(0, SPACE + t.replace(" ", SPACE))[1] if t else 0 for t in texts.to_pylist()], np.int64)
         spaced = pc.replace_substring(texts, SPACE, " ")
         words = pc.split_pattern(spaced, " ")
         offsets = words.offsets.to_numpy().astype(np.int64)

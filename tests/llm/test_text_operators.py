@@ -170,3 +170,11 @@ def test_token_files(spark, odd, odd_rows, nothing, tmp_path, monkeypatch):
         assert token_files.read_ids(row, document, a, b).tolist() == ids[a:b].tolist()
     token_files.write_tokens(nothing, registry.TOKENIZER, P.PATTERN, str(tmp_path / "g"), 2)
     assert token_files.read_tokens(spark, str(tmp_path / "g")).collect() == []
+
+
+def test_pieces_that_join_words_are_counted():
+    scores = {c: -9.0 for c in "ab▁"} | {"▁a": -3.0, "a▁": -1.0, "a▁b": -0.5, "▁▁": -2.0, "ab": -4.0}
+    own = token_counts.Transducer(scores)
+    texts = ["a b", "ab a b  a", "", " ", "a a ba  b", "b a"]
+    expected = [len(own._merged("▁" + t.replace(" ", "▁"))) if t else 0 for t in texts]
+    assert own.counts(pa.array(texts, pa.large_string())).tolist() == expected
