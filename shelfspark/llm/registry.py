@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import (
     byte_bpe,
+    decontaminate,
     exact_dedup,
+    merkle,
     mixing,
     near_dedup,
     pivot_search,
     quality_model,
     secret_scan,
     ship,
+    spelling,
     token_counts,
     token_files,
     warc,
@@ -130,6 +135,41 @@ def op10_quality_grade(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "expected_grade", "tail_probability", "kept")
 
 
+def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that stand inside a window of a benchmark item, and the items found."""
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, proof and verification of every document, half of them without their line ends."""
+    text = F.when(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.coalesce(text, "text"))
+    claimed = merkle.leaf_digest(*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), text)
+    found = merkle.manifest(table(spark, folder, "documents"), claimed=claimed)
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent long word with its more usual form."""
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -143,6 +183,9 @@ QUERIES = {
         op8_warc_revisit,
         op9_near_dedup,
         op10_quality_grade,
+        op11_decontaminate,
+        op12_merkle_manifest,
+        op13_spelling_variants,
     )
 }
 
@@ -154,6 +197,25 @@ for _c in (32, 9, 10, 11, 12, 13):
     _NORMAL = f"replace({_NORMAL}, chr({_c}), '')"
 _GROUPS = ", ".join(f"('{s}', {i}, {u})" for i, (s, u) in enumerate(TARGETS.items()))
 
+_CAPITALS, _SMALLS = string.ascii_uppercase, string.ascii_lowercase
+_SMALL = f"translate(coalesce(text, ''), '{_CAPITALS}', '{_SMALLS}')"
+_WORDS = f"regexp_extract_all({_SMALL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_CRC_TABLE = """crc AS (
+ SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS crc_table)"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of a text's bytes, by the table ``crc_table``."""
+    octets = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::bigint)"
+    return f"xor(list_reduce([4294967295] || {octets}, lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::varchar) || ':' || {value} END"
+
+
+_FIELDS = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
 ORACLE = {
     "op1_pfair_mix": f"""
 WITH RECURSIVE target(name, grp, unit) AS (VALUES {_GROUPS}),
@@ -211,4 +273,83 @@ f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
 SELECT page_id, strlen(payload)::bigint AS payload_bytes, {_BASE32} AS payload_digest,
  CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM f""",
+    "op11_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id::varchar AS item, {_WORDS} AS w FROM benchmark),
+win AS (
+ SELECT DISTINCT item, array_to_string(w[i:i + least(len(w), {decontaminate.WINDOW}) - 1], ' ') AS content, least(len(w), {decontaminate.WINDOW}) AS size
+ FROM (SELECT *, unnest(range(1, greatest(1, len(w) - {decontaminate.WINDOW - 1}) + 1)) AS i FROM b WHERE len(w) > 0)),
+size AS (SELECT DISTINCT size FROM win),
+place AS (SELECT row, size, unnest(range(1, len(w) - size + 2)) AS spot, w FROM d, size WHERE len(w) >= size),
+met AS (SELECT row, spot, s.size, item FROM place s JOIN win ON win.size = s.size AND win.content = array_to_string(w[spot:spot + s.size - 1], ' ')),
+hit AS (SELECT row, count(DISTINCT k) AS n FROM (SELECT row, unnest(range(spot, spot + size)) AS k FROM met) GROUP BY row),
+named AS (SELECT row, list_sort(list(DISTINCT item)) AS items FROM met GROUP BY row)
+SELECT doc_id, len(w)::bigint AS n_words, coalesce(n, 0)::bigint AS n_hit, coalesce(len(items), 0)::bigint AS n_items,
+ sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (row) LEFT JOIN named USING (row)""",
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (
+ SELECT *, {_crc("coalesce(doc_id::varchar, '')")} % 2 = 0 AS bad, CASE WHEN {_crc("coalesce(doc_id::varchar, '')")} % 2 = 0
+  THEN replace(text, chr(10), '') ELSE text END AS changed FROM documents, crc),
+l AS (
+ SELECT doc_id, source, sha256({_FIELDS} || {_field("text")}) AS leaf, sha256({_FIELDS} || {_field("changed")}) AS claimed FROM d),
+r AS (
+ SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+  dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp FROM l),
+node(level, grp, place, digest) AS (
+ SELECT 0, grp, place, leaf FROM r
+ UNION ALL
+ SELECT level + 1, grp, place // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM (
+  SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM node) WHERE n > 1 GROUP BY level, grp, place // 3),
+sub AS (SELECT grp, level AS depth, digest AS subroot FROM (SELECT *, max(level) OVER (PARTITION BY grp) AS top FROM node) WHERE level = top),
+high(level, place, digest) AS (
+ SELECT 0, grp, subroot FROM sub
+ UNION ALL
+ SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM (
+  SELECT *, count(*) OVER () AS n FROM high) WHERE n > 1 GROUP BY level, place // 3),
+root AS (SELECT level AS height, digest AS root FROM high ORDER BY level DESC LIMIT 1),
+way AS (
+ SELECT r.grp, r.place AS leaf_place, level AS step, n.place < r.place // (3 ** level)::bigint AS before, n.place, digest
+ FROM r JOIN sub USING (grp), LATERAL (SELECT unnest(range(depth)) AS lv) x
+ JOIN node n ON n.grp = r.grp AND n.level = lv AND n.place // 3 = r.place // (3 ** (lv + 1))::bigint AND n.place <> r.place // (3 ** lv)::bigint
+ UNION ALL
+ SELECT r.grp, r.place, depth + level, h.place < r.grp // (3 ** level)::bigint, h.place, digest
+ FROM r JOIN sub USING (grp), root, LATERAL (SELECT unnest(range(height)) AS lv) x
+ JOIN high h ON h.level = lv AND h.place // 3 = r.grp // (3 ** (lv + 1))::bigint AND h.place <> r.grp // (3 ** lv)::bigint),
+beside AS (
+ SELECT grp, leaf_place AS place, step, coalesce(string_agg(digest, '' ORDER BY place) FILTER (before), '') AS l,
+  coalesce(string_agg(digest, '' ORDER BY place) FILTER (NOT before), '') AS r FROM way GROUP BY ALL),
+proof AS (SELECT grp, place, string_agg(l || r, '' ORDER BY step) AS proof FROM beside GROUP BY ALL),
+fold(step, grp, place, digest) AS (
+ SELECT 0::bigint, grp, place, claimed FROM r
+ UNION ALL
+ SELECT f.step + 1, f.grp, f.place, sha256(coalesce(l, '') || digest || coalesce(r, ''))
+ FROM fold f JOIN sub USING (grp) CROSS JOIN root LEFT JOIN beside b ON b.grp = f.grp AND b.place = f.place AND b.step = f.step
+ WHERE f.step < depth + height)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, f.digest AS folded_root, f.digest = root AS verified
+FROM r JOIN sub USING (grp) CROSS JOIN root LEFT JOIN proof USING (grp, place)
+JOIN fold f ON f.grp = r.grp AND f.place = r.place AND f.step = depth + height""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE {_CRC_TABLE},
+run AS (SELECT doc_id, unnest(regexp_extract_all({_SMALL}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+long AS (SELECT coalesce(doc_id::varchar, '') || ':' || run AS keyed, run FROM run WHERE length(run) >= {spelling.LEAST_CHARS}),
+marked AS (SELECT run, {_crc("keyed")} AS h FROM long, crc),
+word AS (
+ SELECT CASE WHEN h % {spelling.SPOILED} = 0 THEN substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) ELSE run END AS word FROM marked),
+v AS (SELECT word, count(*) AS n FROM word WHERE length(word) >= {spelling.LEAST_CHARS} GROUP BY word HAVING count(*) >= {spelling.LEAST_COUNT}),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (
+ SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+ UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+ UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word),
+best AS (
+ SELECT word, n, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n FROM near GROUP BY word, n),
+form AS (SELECT word, n_near, CASE WHEN form_n >= {spelling.RATIO} * n THEN form END AS form, CASE WHEN form_n >= {spelling.RATIO} * n THEN form_n END AS form_n FROM best),
+way(word, root, step) AS (
+ SELECT word, word, 0 FROM v
+ UNION ALL
+ SELECT w.word, f.form, step + 1 FROM way w JOIN form f ON f.word = w.root WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, coalesce(n_near, 0)::bigint AS n_near, form_n
+FROM v LEFT JOIN form USING (word) JOIN (SELECT word, arg_max(root, step) AS root FROM way GROUP BY word) USING (word)""",
 }
