@@ -77,7 +77,9 @@ def _occurrences(docs: DataFrame, text: str, shingles: DataFrame, sizes: list[in
     own = _part(F.col("w"), F.col("at"), F.col("size"))
     known = shingles.select(F.col("size").alias("known_size"), "content", "shingle", "code")
     if shingles.count() <= most:
-        same = (F.xxhash64(own) == F.col("code")) & (F.col("size") == F.col("known_size")) & (_joined(own) == F.col("content"))
+        # The words are compared where the codes meet; as an equality they would be spelled out at every place.
+        spelled = F.startswith(_joined(own), F.col("content")) & F.startswith(F.col("content"), _joined(own))
+        same = (F.xxhash64(own) == F.col("code")) & spelled
         return places.join(F.broadcast(known), same).select("row", "n_words", "at", "shingle")
     spelled = places.select("row", "n_words", "at", "size", _joined(own).alias("content"))
     known = known.withColumnRenamed("known_size", "size").drop("code")
