@@ -62,10 +62,9 @@ def _numbered(groups: DataFrame, group: str) -> DataFrame:
     placed = spread.sortWithinPartitions(by).withColumns({"at": F.monotonically_increasing_id(), "part": F.spark_partition_id()})
     placed = settle(placed, "numbered")
     counts = placed.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    # One row for each task of the sort.
-    earlier = counts.select(F.col("part").alias("before"), F.col("n").alias("n_before"))
-    bases = counts.join(earlier, F.expr("before < part"), "left").groupBy("part", "first")
-    bases = bases.agg((F.coalesce(F.sum("n_before"), F.lit(0)) - F.col("first")).alias("base")).drop("first")
+    # One row for each task of the sort, whatever the number of groups.
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
     return placed.join(settle(bases, "bases"), "part").withColumn("grp", F.col("at") + F.col("base")).drop("at", "part", "base")
 
 
