@@ -17,8 +17,6 @@ VAL_END = SPLITS.val_end
 QUERIES, ORACLE = {}, {}
 # The training run's own settings of the two boosted models.
 RUN = {"deep": {"n_trees": 400, "learning_rate": 0.03}, "shallow": {"n_trees": 300, "learning_rate": 0.03}}
-# Models fitted in this session: four queries look at two of them.
-_FITTED: dict = {}
 
 
 def register(name: str, sql: str | None = None):
@@ -162,14 +160,11 @@ def t09(spark, folder):
 
 
 def _boosted(spark, folder, preset):
-    key = (spark.sparkContext.applicationId, folder, preset)
-    if key not in _FITTED:
-        matrix = settle(training.training_matrix(inputs(spark, folder, "region")))
-        names = training.matrix_features(matrix)
-        train, val = (matrix.where(F.col("split") == s) for s in ("TRAIN", "VAL"))
-        _FITTED[key] = boosting.DemandRegressor(preset, dict(RUN[preset])).fit(train, names, val), train, val
-    model, _, val = _FITTED[key]
-    return model, val
+    """Fitted model, TRAIN and VAL rows. The matrix is written once for the rows of all rounds."""
+    matrix = settle(training.training_matrix(inputs(spark, folder, "region")))
+    names = training.matrix_features(matrix)
+    train, val = (matrix.where(F.col("split") == s) for s in ("TRAIN", "VAL"))
+    return boosting.DemandRegressor(preset, dict(RUN[preset])).fit(train, names, val), train, val
 
 
 BOUND_SQL = with_ctes(
@@ -182,9 +177,9 @@ BOUND_SQL = with_ctes(
 
 def _bounded(spark, folder, preset):
     """Every predicted VAL row, and whether the model's squared error on TRAIN is below that of the mean."""
-    model, val = _boosted(spark, folder, preset)
+    model, train, val = _boosted(spark, folder, preset)
     y = F.col("replenishment_signal")
-    fitted = model.predict(_FITTED[spark.sparkContext.applicationId, folder, preset][1])
+    fitted = model.predict(train)
     own, plain = F.sum((y - F.col(boosting.PREDICTION)) ** 2), F.var_pop(y) * F.count(y)
     fits = fitted.agg(own < plain).scalar()
     predicted = model.predict(val).where(F.col(boosting.PREDICTION).isNotNull())
@@ -209,7 +204,7 @@ def t11_bound(spark, folder):
 )
 def s06(spark, folder):
     """Predictions of a model before and after it was saved and loaded."""
-    model, val = _boosted(spark, folder, "shallow")
+    model, _, val = _boosted(spark, folder, "deep")
     path = scratch_path(spark, "model")
     model.save(path)
     before, after = (
@@ -222,20 +217,20 @@ def s06(spark, folder):
 
 @register("t10_boosted_early_stop")
 def t10(spark, folder):
-    model, val = _boosted(spark, folder, "deep")
+    model, _, val = _boosted(spark, folder, "deep")
     return model.predict(val).select("date", *C.KEYS, "replenishment_signal", boosting.PREDICTION)
 
 
 @register("t11_boosted_fixed")
 def t11(spark, folder):
-    model, val = _boosted(spark, folder, "shallow")
+    model, _, val = _boosted(spark, folder, "shallow")
     return model.predict(val).select("date", *C.KEYS, "replenishment_signal", boosting.PREDICTION)
 
 
 @register("t12_saved_model_predict")
 def t12(spark, folder):
     """Save, reload and predict (also the model round trip of the sources section)."""
-    model, val = _boosted(spark, folder, "shallow")
+    model, _, val = _boosted(spark, folder, "deep")
     path = scratch_path(spark, "model")
     model.save(path)
     loaded = boosting.DemandRegressor.load(path)
@@ -244,7 +239,7 @@ def t12(spark, folder):
 
 @register("t13_feature_importance")
 def t13(spark, folder):
-    model, _ = _boosted(spark, folder, "deep")
+    model, _, _ = _boosted(spark, folder, "deep")
     return model.feature_importance(10)
 
 

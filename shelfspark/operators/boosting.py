@@ -1,29 +1,53 @@
-"""Gradient-boosted regressors on the gap-safe feature matrix."""
+"""Gradient-boosted regressors by histograms.
+
+Features are cut once into 255 bins at their quantiles, with a bin of its own for missing readings, and written as one byte a
+feature. From then on a round needs sums of gradients and curvatures per node, feature and bin only: each task sums its rows,
+Spark adds the sums of the tasks, and the driver, which sees nothing but these sums (their number depends on nodes and
+features, not on rows), chooses the splits. Of two siblings only the smaller one is summed; the other is what is left of the
+parent. The nodes of one depth are summed in one pass. Of the deep model only nodes that can still be among the best are
+opened, which gives the same tree as opening the best leaf each time.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+import json
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Literal
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.session import shared_folder
+from shelfspark.functions import histograms as H
+from shelfspark.session import settle
+
+# The executors need NumPy, not this package.
+cloudpickle.register_pickle_by_value(H)
 
 PREDICTION = "predicted_replenishment_signal"
-# Defaults of the two contrast models: depth, trees, learning rate, early stopping.
+# Defaults of the two contrast models: size of a tree, trees, learning rate, early stopping; penalty on leaves, rows a leaf needs.
 PRESETS = {
-    "deep": {"max_depth": 8, "n_trees": 300, "learning_rate": 0.05, "early_stop": True},
-    "shallow": {"max_depth": 6, "n_trees": 300, "learning_rate": 0.05, "early_stop": False},
-}
-
+    "deep": {
+        "max_depth": 8, "max_leaves": 31, "n_trees": 300, "learning_rate": 0.05, "early_stop": True, "penalty": 0.0, "least_rows": 20, "importance": "splits",
+    },
+    "shallow": {
+        "max_depth": 6, "max_leaves": None, "n_trees": 300, "learning_rate": 0.05, "early_stop": False, "penalty": 1.0, "least_rows": 1, "importance": "gain",
+    },
+}
 
 # Early stopping waits so many rounds for a lower validation error.
 PATIENCE = 30
+#: Rows a task sums.
+TASK_ROWS = 50_000
+#: Trees that tasks apply anew before scores are written again.
+UNWRITTEN = 10
+NODE_COLUMNS = ["tree", "node", "feature", "threshold", "missing_left", "left", "right", "value", "gain"]
+NODES = "tree int, node int, feature int, threshold double, missing_left boolean, left int, right int, value double, gain double"
 
 
 def rounds_kept(errors: Sequence[float], patience: int = PATIENCE) -> int:
@@ -37,90 +61,280 @@ def rounds_kept(errors: Sequence[float], patience: int = PATIENCE) -> int:
     return best + 1
 
 
-def truncated(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
-    """The model of the first ``trees`` rounds."""
-    gateway, own = SparkSession.active().sparkContext._gateway, model._java_obj
-    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, trees)
-    weights = gateway.new_array(gateway.jvm.double, trees)
-    for i, (tree, weight) in enumerate(zip(own.trees()[:trees], model.treeWeights[:trees], strict=True)):
-        kept[i], weights[i] = tree, float(weight)
-    short = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(own.uid(), kept, weights, own.numFeatures())
-    own.copyValues(short, gateway.jvm.org.apache.spark.ml.param.ParamMap())
-    found = GBTRegressionModel(short)
-    found._transfer_params_from_java()
-    return found
+def bin_edges(rows: DataFrame, features: Sequence[str], bins: int = H.MISSING) -> list[np.ndarray]:
+    """Per feature the ascending upper edges of its bins but the last: values, each once, between quantile ranks in equal steps."""
+    ranks = [i / bins for i in range(1, bins)]
+    found = rows.agg(*(F.percentile_approx(F.col(c).cast("double"), ranks, 10_000).alias(f"q{i}") for i, c in enumerate(features))).first()
+    return [np.unique(np.array([] if q is None else q, float)) for q in found]
+
+
+def _binned(rows: DataFrame, features: Sequence[str], edges: list[np.ndarray], target: str, base: float, val: str) -> DataFrame:
+    """One byte a feature in ``bins``; ``y``, ``score`` (the model so far) and ``val``."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.empty((batch.num_rows, len(edges)), np.uint8)
+            for i, own in enumerate(edges):
+                x = batch.column(i).to_numpy(zero_copy_only=False).astype(float)
+                out[:, i] = np.where(np.isnan(x), H.MISSING, np.searchsorted(own, x))
+            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(len(edges)), batch.num_rows, [None, pa.py_buffer(out.tobytes())])
+            score = pa.array(np.full(batch.num_rows, base))
+            yield pa.RecordBatch.from_arrays(
+                [packed.cast(pa.binary()), batch.column("y"), score, batch.column("val")], names=["bins", "y", "score", "val"]
+            )
+
+    columns = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
+    return rows.select(*columns, F.col(target).cast("double").alias("y"), F.col(val).alias("val")).mapInArrow(
+        cut, "bins binary, y double, score double, val boolean"
+    )
+
+
+def _advanced(state: DataFrame, trees: list[H.Tree], features: int) -> DataFrame:
+    """``state`` with ``trees`` in its scores."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins, _, score, _ = H.unpacked(batch, features)
+            yield batch.set_column(batch.schema.get_field_index("score"), "score", pa.array(H.grown(score, trees, bins)))
+
+    return state.mapInArrow(apply, state.schema)
+
+
+def _sums(state: DataFrame, tasks: int, trees: list[H.Tree], tree: H.Tree, wanted: list[int], features: int) -> tuple[np.ndarray, float]:
+    """Sums per wanted node of ``tree``, feature and bin over the training rows, and the mean squared validation error of
+    the scores with ``trees``. A task sends a row for each node, whatever its rows; the rows of a node are added by Spark."""
+    shape = (2, features, H.BINS)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, squares = np.zeros((len(wanted), *shape)), np.zeros(2)
+        for batch in batches:
+            bins, y, score, val = H.unpacked(batch, features)
+            error = H.grown(score, trees, bins) - y
+            squares += (error[val] ** 2).sum(), val.sum()
+            own = bins[~val]
+            total += H.node_sums(own, error[~val], H.leaves(tree, own), wanted)
+        blobs = [squares.tobytes(), *(x.tobytes() for x in total)]
+        slots = pa.array(np.arange(-1, len(wanted), dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([slots, pa.array(blobs, pa.binary())], names=["slot", "sums"])
+
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py()) for x in table.column("sums"))
+        return table.slice(0, 1).set_column(1, "sums", pa.array([total.tobytes()], pa.binary()))
+
+    found = state.mapInArrow(summed, "slot int, sums binary")
+    if tasks > 1:
+        found = found.groupBy("slot").applyInArrow(added, "slot int, sums binary")
+    by_slot = {r["slot"]: np.frombuffer(r["sums"]) for r in found.collect()}
+    squares, rows = by_slot.get(-1, np.zeros(2))
+    sums = np.array([by_slot[i] for i in range(len(wanted))]).reshape(len(wanted), *shape)
+    return sums, squares / rows if rows else float("nan")
+
+
+@dataclass
+class Open:
+    """A node that can be split: its best split and the smallest gain on the way to it."""
+
+    split: H.Split
+    way: float
+    depth: int
+    sums: np.ndarray | None
+
+
+def _leaf(side: tuple[float, float], settings: dict) -> float:
+    return -settings["learning_rate"] * side[0] / max(side[1] + settings["penalty"], 1e-12)
+
+
+def grow_tree(state: DataFrame, tasks: int, trees: list[H.Tree], features: int, settings: dict) -> tuple[H.Tree, float]:
+    """The next tree and the validation error before it. ``trees`` are not yet in the scores of ``state``.
+
+    Depth by depth, every node is opened that can be among the ``max_leaves`` - 1 best: those splits that are largest by the
+    smallest gain on the way to them are just those that best-first growth would choose.
+    """
+    tree, most, root = H.Tree.stump(), settings["max_leaves"], 0
+    sums, error = _sums(state, tasks, trees, tree, [root], features)
+    known: dict[int, Open] = {}
+
+    def look(node: int, own: np.ndarray, depth: int, way: float) -> None:
+        split = H.best_split(own, settings["penalty"], settings["least_rows"])
+        if split is not None:
+            known[node] = Open(split, min(way, split.gain), depth, own)
+
+    look(root, sums[0], 0, float("inf"))
+    fresh = list(known)
+    while fresh:
+        ranked = sorted(known, key=lambda n: -known[n].way)
+        able = set(ranked if most is None else ranked[: most - 1])
+        born: list[tuple[int, int, int]] = []  # parent, smaller and larger child
+        for node in fresh:
+            if node in able:
+                o = known[node]
+                s = o.split
+                left, right = tree.split(node, s.feature, s.bin, s.missing_left, s.gain, (_leaf(s.left, settings), _leaf(s.right, settings)))
+                if o.depth + 1 < settings["max_depth"]:
+                    born.append((node, *((left, right) if s.left[1] <= s.right[1] else (right, left))))
+        fresh = []
+        if born:
+            sums, _ = _sums(state, tasks, trees, tree, [small for _, small, _ in born], features)
+            before = set(known)
+            for i, (parent, small, large) in enumerate(born):
+                o = known[parent]
+                look(small, sums[i], o.depth + 1, o.way)
+                look(large, o.sums - sums[i], o.depth + 1, o.way)
+            fresh = [n for n in known if n not in before]
+        for node, o in known.items():
+            if node not in fresh:
+                o.sums = None
+    return _pruned(tree, known, most), error
+
+
+def _pruned(tree: H.Tree, known: dict[int, Open], most: int | None) -> H.Tree:
+    """The tree that best-first growth to ``most`` leaves gives: nodes that it does not split become leaves."""
+    out, size = H.Tree(), 1
+    waiting: list[tuple[float, int, int]] = []
+
+    def found(node: int) -> int:
+        at = out.add(tree.value[node])
+        if tree.feature[node] >= 0:
+            heapq.heappush(waiting, (-known[node].split.gain, node, at))
+        return at
+
+    found(0)
+    while waiting and (most is None or size < most):
+        _, node, at = heapq.heappop(waiting)
+        out.feature[at], out.bin[at], out.missing_left[at], out.gain[at] = tree.feature[node], tree.bin[node], tree.missing_left[node], tree.gain[node]
+        out.left[at], out.right[at] = found(tree.left[node]), found(tree.right[node])
+        size += 1
+    return out
 
 
 @dataclass
 class DemandRegressor:
-    """Fit, predict and explain one boosted model. ``params`` override the preset."""
+    """Fit, predict and explain one boosted model of squared error. ``params`` override the preset.
+
+    ``deep`` grows its best leaf first and stops when 30 rounds on the validation rows bring no lower error; ``shallow`` grows
+    by depth with a penalty on leaf values. Missing features are allowed in both: each split sends them to the side of larger
+    gain. Rows without a target are left out. ``nodes`` are the fitted trees, a row for each node.
+    """
 
     preset: Literal["deep", "shallow"] = "deep"
     params: dict = field(default_factory=dict)
     target: str = "replenishment_signal"
-    seed: int = 42
-    model: PipelineModel | None = None
     features: list[str] = field(default_factory=list)
+    base: float = 0.0
+    nodes: pd.DataFrame | None = None
+    val_errors: list[float] = field(default_factory=list)
 
     def settings(self) -> dict:
         return {**PRESETS[self.preset], **self.params}
 
     def fit(self, train: DataFrame, features: Sequence[str], val: DataFrame | None = None) -> DemandRegressor:
-        """Train on complete rows; with early stopping all rounds are fitted and the validation rows decide how many are kept."""
-        shared_folder(train.sparkSession)
+        """Grow trees until early stopping on ``val`` or the number of trees. Scores are written every ten trees."""
         s = self.settings()
         self.features = list(features)
-        columns = [*self.features, self.target]
-        rows = train.select(*columns)
-        booster = GBTRegressor(
-            featuresCol="features",
-            labelCol=self.target,
-            predictionCol=PREDICTION,
-            maxDepth=s["max_depth"],
-            maxIter=s["n_trees"],
-            stepSize=s["learning_rate"],
-            seed=self.seed,
-            maxMemoryInMB=512,
-            checkpointInterval=10,
-            cacheNodeIds=True,
+        present = F.col(self.target).isNotNull()
+        rows = train.where(present).select(*self.features, self.target, F.lit(False).alias("_val"))
+        count, mean = rows.agg(F.count("*"), F.avg(F.col(self.target).cast("double"))).first()
+        self.base = float(mean or 0.0)
+        edges = bin_edges(rows, self.features)
+        if val is not None:
+            rows = rows.unionByName(val.where(present).select(*self.features, self.target, F.lit(True).alias("_val")))
+            count += val.where(present).count()
+        state = _binned(rows, self.features, edges, self.target, self.base, "_val")
+        tasks = max(1, -(-count // TASK_ROWS))
+        state = settle(state.repartition(tasks), "binned")
+        stop = s["early_stop"] and val is not None
+        trees: list[H.Tree] = []
+        written = 0
+        self.val_errors = []
+        for i in range(s["n_trees"] + 1):
+            if len(trees) - written >= UNWRITTEN:
+                state = settle(_advanced(state, trees[written:], len(edges)), "scores")
+                written = len(trees)
+            if i == s["n_trees"]:
+                error = _sums(state, tasks, trees[written:], H.Tree.stump(), [], len(edges))[1] if stop else 0.0
+            else:
+                tree, error = grow_tree(state, tasks, trees[written:], len(edges), s)
+            if i and stop:
+                self.val_errors.append(error)
+                if len(self.val_errors) - rounds_kept(self.val_errors) >= PATIENCE:
+                    break
+            if i < s["n_trees"]:
+                trees.append(tree)
+        if stop:
+            trees = trees[: rounds_kept(self.val_errors)]
+        self.nodes = pd.DataFrame(
+            [
+                (t, n, tree.feature[n], _edge(edges, tree, n), tree.missing_left[n], tree.left[n], tree.right[n], tree.value[n], tree.gain[n])
+                for t, tree in enumerate(trees)
+                for n in range(len(tree.feature))
+            ],
+            columns=NODE_COLUMNS,
         )
-        assembler = VectorAssembler(inputCols=self.features, outputCol="features")
-        fitted = booster.fit(assembler.transform(rows))
-        if val is not None and s["early_stop"]:
-            errors = fitted.evaluateEachIteration(assembler.transform(val.select(*columns)), "squared")
-            fitted = truncated(fitted, rounds_kept(errors))
-        self.model = PipelineModel([assembler, fitted])
         return self
 
-    def _fitted(self) -> PipelineModel:
-        if self.model is None:
+    def _fitted(self) -> pd.DataFrame:
+        if self.nodes is None:
             raise RuntimeError("fit the model before using it")
-        return self.model
+        return self.nodes
 
     @property
     def trees(self) -> int:
         """Trees that the model keeps."""
-        return self._fitted().stages[-1].getNumTrees
+        return self._fitted()["tree"].nunique()
 
     def predict(self, df: DataFrame) -> DataFrame:
-        model = self._fitted()
+        """``df`` with the prediction. The trees (a few thousand nodes) are sent to the executors once."""
+        nodes = self._fitted()
         missing = [c for c in self.features if c not in df.columns]
         if missing:
             raise ValueError(f"missing feature columns: {', '.join(missing)}")
-        return model.transform(df).drop("features")
+        packed = [tuple(t[c].to_numpy() for c in NODE_COLUMNS[2:-1]) for _, t in nodes.groupby("tree")]
+        shipped, base = df.sparkSession.sparkContext.broadcast(packed), self.base
 
-    def feature_importance(self, top: int | None = None) -> DataFrame:
-        """(feature, importance), most important first."""
-        booster = self._fitted().stages[-1]
-        rows = list(zip(self.features, map(float, booster.featureImportances.toArray()), strict=True))
+        @F.pandas_udf("double")
+        def predicted(*columns: pd.Series) -> pd.Series:
+            x = np.column_stack([c.to_numpy(float) for c in columns])
+            total = np.full(len(x), base)
+            for feature, threshold, missing_left, left, right, value in shipped.value:
+                at, rows = np.zeros(len(x), int), np.arange(len(x))
+                while len(rows):
+                    rows = rows[feature[at[rows]] >= 0]
+                    own = at[rows]
+                    seen = x[rows, feature[own]]
+                    goes_left = np.where(np.isnan(seen), missing_left[own], seen <= threshold[own])
+                    at[rows] = np.where(goes_left, left[own], right[own])
+                total += value[at]
+            return pd.Series(total)
+
+        return df.withColumn(PREDICTION, predicted(*(F.col(c).cast("double") for c in self.features)))
+
+    def feature_importance(self, top: int | None = None, kind: str | None = None) -> DataFrame:
+        """(feature, importance), most important first, in sum 1: shares of the splits or of their gain, as the preset has it."""
+        kind = kind or self.settings()["importance"]
+        inner = self._fitted().query("feature >= 0")
+        weight = inner["gain"] if kind == "gain" else inner["gain"] * 0 + 1
+        shares = weight.groupby(inner["feature"]).sum() / max(weight.sum(), 1e-300)
+        rows = [(c, float(shares.get(i, 0.0))) for i, c in enumerate(self.features)]
         table = SparkSession.active().createDataFrame(rows, "feature string, importance double")
         ordered = table.orderBy(F.desc("importance"), "feature")
         return ordered if top is None else ordered.limit(top)
 
     def save(self, path: str) -> None:
-        self._fitted().write().overwrite().save(path)
+        """The nodes as a table and the rest as a document beside them."""
+        spark = SparkSession.active()
+        spark.createDataFrame(self._fitted(), NODES).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+        about = json.dumps({"preset": self.preset, "params": self.params, "target": self.target, "features": self.features, "base": self.base})
+        spark.createDataFrame([(about,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
     @classmethod
-    def load(cls, path: str, target: str = "replenishment_signal") -> DemandRegressor:
-        model = PipelineModel.load(path)
-        return cls(target=target, model=model, features=list(model.stages[0].getInputCols()))
+    def load(cls, path: str) -> DemandRegressor:
+        spark = SparkSession.active()
+        about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+        nodes = spark.read.schema(NODES).parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()
+        return cls(**about, nodes=nodes)
+
+
+def _edge(edges: list[np.ndarray], tree: H.Tree, node: int) -> float:
+    """The largest value that goes left; above all edges every known value does."""
+    own = edges[tree.feature[node]] if tree.feature[node] >= 0 else np.zeros(0)
+    return float(own[tree.bin[node]]) if tree.bin[node] < len(own) else float("inf")

@@ -210,16 +210,15 @@ def test_early_stop_waits():
 
 
 def test_early_stop_keeps_the_best_round(spark, tmp_path):
-    rng = np.random.default_rng(2)
+    rng = np.random.default_rng(9)
     x = rng.uniform(0, 10, (170, 2))
     rows = [(float(a), float(b), float(3 * a + 10 * np.sin(b) + rng.normal(0, 4))) for a, b in x]
     schema = "a double, b double, replenishment_signal double"
     train, val = (spark.createDataFrame(r, schema).coalesce(1) for r in (rows[:150], rows[150:]))
-    settings = {"n_trees": 20, "max_depth": 2, "learning_rate": 0.3}
+    settings = {"n_trees": 20, "max_depth": 2, "learning_rate": 0.3, "least_rows": 1}
     model = boosting.DemandRegressor("deep", settings).fit(train, ["a", "b"], val)
     whole = boosting.DemandRegressor("deep", settings).fit(train, ["a", "b"])
-    assembler, fitted = whole.model.stages
-    errors = fitted.evaluateEachIteration(assembler.transform(val), "squared")
+    errors = model.val_errors
     first_rise = next(i for i in range(1, 20) if errors[i] >= errors[i - 1])
     assert whole.trees == 20 and model.trees == boosting.rounds_kept(errors) > first_rise
     y = F.col("replenishment_signal")
@@ -228,3 +227,82 @@ def test_early_stop_keeps_the_best_round(spark, tmp_path):
     assert model.feature_importance().count() == 2
     model.save(str(tmp_path / "m"))
     assert boosting.DemandRegressor.load(str(tmp_path / "m")).trees == model.trees
+
+
+def test_rounds_after_the_stop_are_not_fitted(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "PATIENCE", 2)
+    monkeypatch.setattr(boosting, "rounds_kept", lambda errors: 1)
+    df = spark.createDataFrame([(float(i), float(i % 7)) for i in range(60)], "a double, replenishment_signal double").coalesce(1)
+    model = boosting.DemandRegressor("deep", {"n_trees": 50, "max_depth": 2, "least_rows": 1}).fit(df, ["a"], df)
+    assert len(model.val_errors) == 3 and model.trees == 1
+
+
+def best_first_by_force(x, g, max_leaves, max_depth, penalty, least_rows):
+    """Leaves of one tree as sets of rows, grown leaf by leaf over all cuts of all features, missing readings on either side."""
+
+    def gain_of(rows):
+        best = (1e-9, None)
+        whole = g[rows].sum() ** 2 / (len(rows) + penalty)
+        for f in range(x.shape[1]):
+            known = np.unique(x[rows, f][~np.isnan(x[rows, f])])
+            for lost_left in (False, True):
+                for cut in known:
+                    left = np.where(np.isnan(x[rows, f]), lost_left, x[rows, f] <= cut)
+                    n = left.sum()
+                    if min(n, len(rows) - n) < max(1, least_rows):
+                        continue
+                    gain = g[rows[left]].sum() ** 2 / (n + penalty) + g[rows[~left]].sum() ** 2 / (len(rows) - n + penalty) - whole
+                    if gain > best[0] * (1 + 1e-9):
+                        best = (gain, (rows[left], rows[~left]))
+        return best
+
+    leaves = [(0, np.arange(len(g)), *gain_of(np.arange(len(g))))]
+    while max_leaves is None or len(leaves) < max_leaves:
+        able = [i for i, leaf in enumerate(leaves) if leaf[3] is not None and leaf[0] < max_depth]
+        if not able:
+            break
+        depth, _, _, sides = leaves.pop(max(able, key=lambda i: leaves[i][2]))
+        leaves += [(depth + 1, side, *gain_of(side)) for side in sides]
+    return [rows for _, rows, _, _ in leaves]
+
+
+@pytest.mark.parametrize(("preset", "leaves", "depth", "rows_a_task"), [("deep", 9, 5, 50), ("deep", 31, 8, 10**6), ("shallow", None, 3, 60)])
+def test_trees_by_force(spark, monkeypatch, preset, leaves, depth, rows_a_task):
+    """Two rounds equal leaf-by-leaf growth over all cuts, with missing readings, on one task and on several."""
+    monkeypatch.setattr(boosting, "TASK_ROWS", rows_a_task)
+    rng = np.random.default_rng(7)
+    x = np.round(rng.uniform(0, 9, (240, 3)), 1)
+    x[rng.random((240, 3)) < 0.15] = np.nan
+    y = np.nan_to_num(x[:, 0], nan=20.0) * 2 + np.nan_to_num(x[:, 1], nan=-3.0) ** 2 + rng.normal(0, 1, 240)
+    plain = [(*(None if np.isnan(v) else float(v) for v in row), float(t)) for row, t in zip(x, y, strict=True)]
+    df = spark.createDataFrame([*plain, (1.0, None, 2.0, None)], "a double, b double, c double, replenishment_signal double").repartition(3)
+    settings = {"n_trees": 2, "max_depth": depth, "max_leaves": leaves, "learning_rate": 0.5, "least_rows": 5}
+    model = boosting.DemandRegressor(preset, settings).fit(df, ["a", "b", "c"])
+    s = model.settings()
+    score = np.full(240, y.mean())
+    for _ in range(2):
+        gradient = score - y
+        for rows in best_first_by_force(x, gradient, leaves, depth, s["penalty"], 5):
+            score[rows] -= 0.5 * gradient[rows].sum() / (len(rows) + s["penalty"])
+    got = {tuple(r)[:4]: r[4] for r in model.predict(df.dropna(subset=["replenishment_signal"])).collect()}
+    assert [got[r] for r in plain] == pytest.approx(score.tolist(), rel=1e-9)
+    assert model.predict(df).where(F.col(boosting.PREDICTION).isNull()).isEmpty()
+
+
+def test_gaps_are_worth_rows(spark):
+    """Rows with planted gaps are kept, and the side that each split learned for them beats the mean."""
+    rows = [(None if i % 3 == 0 else float(i % 50), 100.0 if i % 3 == 0 else float(i % 50)) for i in range(600)]
+    df = spark.createDataFrame(rows, "a double, replenishment_signal double")
+    model = boosting.DemandRegressor("shallow", {"n_trees": 20, "learning_rate": 0.3}).fit(df, ["a"])
+    lost = model.predict(df).where("a IS NULL").agg(F.min(boosting.PREDICTION)).first()[0]
+    assert lost == pytest.approx(100, abs=2)
+
+
+def test_importance_of_splits_and_of_gain(spark):
+    rng = np.random.default_rng(1)
+    rows = [(float(a), float(b), float(50 * (a > 0.5) + np.sin(9 * b))) for a, b in rng.uniform(0, 1, (400, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, replenishment_signal double")
+    model = boosting.DemandRegressor("deep", {"n_trees": 10, "learning_rate": 0.5}).fit(df, ["a", "b"])
+    by_splits, by_gain = (dict(map(tuple, model.feature_importance(kind=k).collect())) for k in ("splits", "gain"))
+    assert sum(by_splits.values()) == pytest.approx(1) and sum(by_gain.values()) == pytest.approx(1)
+    assert by_gain["a"] > 0.9 and by_splits["b"] > by_splits["a"]
