@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from registry.common import digest, digest_sql, inputs, load, tidy, with_ctes
 from registry.panel import COMPLETE_SQL, ENC_CTES
 from shelfspark import contract as C
 from shelfspark.functions import scores as S
-from shelfspark.operators import anomaly, boosting, scoring, series, smoothing
+from shelfspark.operators import anomaly, boosting, scoring, series, smoothing, states
 from shelfspark.plans import challenge, training
 from shelfspark.session import scratch_path, settle
 from shelfspark.sources.trade_panel import SPLITS
@@ -112,6 +114,84 @@ def t05b(spark, folder):
     return tidy(fitted).withColumn("sse", F.round("sse", 2))
 
 
+# The fold of every (series, parameter set) pair of the small grid, day by day.
+SEARCH_SQL = f""", numbered AS (SELECT unique_id, y, row_number() OVER (PARTITION BY unique_id ORDER BY ds) AS i FROM series),
+ sets(nth, alpha, beta, phi, trended, gamma, seasonal) AS (VALUES {", ".join(str((i, *row[:6])) for i, row in enumerate(states.SMALL_GRID))}),
+ weeks AS (SELECT unique_id, list(y ORDER BY i) AS w, avg(y) AS l, avg(y) FILTER (i > 7) - avg(y) FILTER (i <= 7) AS rise
+  FROM numbered WHERE i <= 14 GROUP BY unique_id),
+ fold AS (SELECT unique_id, nth, 0::bigint AS i, l::double AS level, (rise / 7 * trended)::double AS trend,
+  list_transform(range(1, 8), lambda k: ((w[k] + w[k + 7]) / 2 - l) * seasonal::double) AS wave, 0.0::double AS sse FROM weeks, sets
+  UNION ALL
+  SELECT f.unique_id, f.nth, f.i + 1, base + alpha::double * err, phi::double * f.trend + beta::double * err,
+  list_append(list_slice(f.wave, 2, 7), f.wave[1] + gamma::double * err), f.sse + err * err
+  FROM fold f JOIN sets s ON s.nth = f.nth JOIN numbered n ON n.unique_id = f.unique_id AND n.i = f.i + 1,
+  LATERAL (SELECT f.level + s.phi::double * f.trend AS base) b, LATERAL (SELECT n.y - b.base - f.wave[1] AS err) e),
+ scored AS (SELECT *, i * ln(greatest(sse, 1e-12) / i) + 2 * free + 2 * free * (free + 1) / (i - free - 1) AS criterion FROM (
+  SELECT *, 2 + 2 * trended + (phi < 1)::int + 8 * seasonal AS free FROM fold JOIN sets USING (nth) WHERE i = (SELECT max(i) FROM numbered))),
+ best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY criterion, nth) = 1)"""
+
+
+def _searched(series_sql: str) -> str:
+    return with_ctes(SEARCH_SQL + series_sql, "series", coarse=True).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _states(spark, folder, end=VAL_END):
+    return states.fit_states(_series(spark, folder, "region"), end)
+
+
+@register(
+    "t05_searched_states",
+    _searched(
+        """ SELECT unique_id, date '2001-10-06' AS last_ds, i AS n, alpha::double AS alpha, beta::double AS beta, phi::double AS phi,
+ gamma::double AS gamma, round(level, 6) AS level, round(trend, 6) AS trend, round(wave[1], 6) AS wave_1, round(wave[7], 6) AS wave_7,
+ round(sse, 2) AS sse, round(criterion, 4) AS criterion FROM best"""
+    ),
+)
+def t05_searched(spark, folder):
+    """Parameter search as a fold: the best of four sets for every series, with its state."""
+    found = _states(spark, folder).select(
+        *("unique_id", "last_ds", "n", "alpha", "beta", "phi", "gamma", "level", "trend"),
+        F.col("wave")[0].alias("wave_1"),
+        F.col("wave")[6].alias("wave_7"),
+        *("sse", "criterion"),
+    )
+    return tidy(found).withColumns({"sse": F.round("sse", 2), "criterion": F.round("criterion", 4)})
+
+
+@register(
+    "s06_series_states",
+    _searched(
+        """ SELECT unique_id, date '2001-10-06' + k::int AS ds, round(level + wave[(k - 1) % 7 + 1]
+ + trend * CASE WHEN phi = 1 THEN k ELSE phi * (1 - phi ^ k) / (1 - phi) END, 6) AS yhat
+ FROM (SELECT * REPLACE (phi::double AS phi), unnest(range(1, 30)) AS k FROM best)"""
+    ),
+)
+def s06_states(spark, folder):
+    """Forecasts of the holdout days from the states as they were written and read again."""
+    return tidy(states.forecast_states(settle(_states(spark, folder), "states"), SPLITS.holdout_days))
+
+
+@register(
+    "t08_carried_states",
+    with_ctes(
+        "SELECT unique_id, true AS same_state, true AS same_season FROM series GROUP BY unique_id", "series", coarse=True
+    ),
+)
+def t08_carried(spark, folder):
+    """States of a week earlier, carried on by the last seven days, next to a refit of all days with the same parameters."""
+    s, fixed = _series(spark, folder, "region"), states.SMALL_GRID[-1:]
+    earlier = settle(states.fit_states(s, VAL_END - timedelta(days=7), fixed), "states")
+    carried, refit = states.advance_states(earlier, s), states.fit_states(s, VAL_END, fixed)
+
+    def near(name: str):
+        return F.abs(F.col(f"a.{name}") - F.col(f"b.{name}")) <= 1e-9 * (1 + F.abs(f"b.{name}"))
+
+    both = carried.alias("a").join(refit.alias("b"), "unique_id")
+    same = near("level") & near("trend") & near("sse") & near("criterion") & (F.col("a.last_ds") == F.col("b.last_ds")) & (F.col("a.n") == F.col("b.n"))
+    waves = F.forall(F.zip_with("a.wave", "b.wave", lambda x, y: F.abs(x - y) <= 1e-9 * (1 + F.abs(y))), lambda x: x)
+    return both.select("unique_id", same.alias("same_state"), waves.alias("same_season"))
+
+
 @register("t06_theta_folds")
 def t06(spark, folder):
     return smoothing.model_folds(_series(spark, folder), VAL_END, (smoothing.THETA,))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from registry.common import load, tidy, with_ctes
 from shelfspark import contract as C
-from shelfspark.operators import audit, charts, columns, overview, profile, quality, readiness
+from shelfspark.operators import audit, charts, columns, overview, profile, quality, readiness, sketches
 from shelfspark.plans import exploration, training
-from shelfspark.session import scratch_path
+from shelfspark.session import scratch_path, settle
 from shelfspark.sources.documents import flatten, read_metrics, write_metrics
+from shelfspark.sources.trade_panel import SPLITS
 
 QUERIES, ORACLE = {}, {}
 
@@ -342,9 +343,23 @@ def p02(spark, folder):
     return tidy(profile.percentiles(load(spark, folder).stored().facts))
 
 
-@register("p02_percentiles_approx")
+RANKS_SQL = "unnest([" + ", ".join(f"{p}::double" for p in profile.PERCENTILES.values()) + "]) AS p"
+
+
+@register(
+    "p02_percentiles_approx",
+    with_ctes(
+        f'SELECT "column", n, {RANKS_SQL}, true AS within_bound FROM (SELECT "column", count(*) AS n FROM ({LONG_MEASURES}) GROUP BY "column")',
+        "facts",
+    ),
+)
 def p02_approx(spark, folder):
-    return profile.percentiles_approx(load(spark, folder).facts)
+    """Percentiles from written states per day; the ranks that they have among all readings keep the bound."""
+    facts = load(spark, folder).stored().facts
+    states = settle(sketches.part_states(facts, C.MEASURES), "states")
+    found = settle(sketches.merged_quantiles(states, list(profile.PERCENTILES.values())), "quantiles")
+    within = F.col("rank_error") <= sketches.rank_bound() + 1 / F.col("n")
+    return sketches.rank_errors(facts, found).select("column", "n", "p", within.alias("within_bound"))
 
 
 @register(
@@ -850,6 +865,28 @@ def x01_signal(spark, folder):
     return tidy(profile.zero_inflation(load(spark, folder).facts))
 
 
+@register(
+    "x01_signal_distribution",
+    with_ctes(
+        f"""SELECT category, n, zeros, {RANKS_SQL}, true AS within_bound FROM (SELECT category, count(replenishment_signal) AS n,
+ count(*) FILTER (WHERE replenishment_signal = 0) AS zeros FROM facts GROUP BY category)""",
+        "facts",
+    ),
+)
+def x01_distribution(spark, folder):
+    """Distribution of the signal by category beside its zeros: states of the days up to the split and of those after it, kept
+    apart and merged."""
+    facts = load(spark, folder).stored().facts
+    days = F.col(C.DAY) <= F.lit(SPLITS.train_end)
+    kept, added = (
+        settle(sketches.part_states(facts.where(own), ["replenishment_signal"], ["category", C.DAY]), "states") for own in (days, ~days)
+    )
+    found = settle(profile.signal_distribution(facts, states=kept.unionByName(added)), "quantiles")
+    within = F.col("rank_error") <= sketches.rank_bound() + 1 / F.col("n")
+    checked = sketches.rank_errors(facts, found.drop("zeros"), ["category"]).select("category", "n", "p", within.alias("within_bound"))
+    return checked.join(found.select("category", "zeros").distinct(), "category").select("category", "n", "zeros", "p", "within_bound")
+
+
 @register(
     "x04_blind_windows",
     with_ctes(

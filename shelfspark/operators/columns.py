@@ -64,15 +64,15 @@ def nulls_by(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return counts.select(key, F.inline("rows")).where(F.col("null_count") > 0).select("column", key, "null_count")
 
 
-def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, value, n) with null counted as a value. Values are shown as text."""
-    kinds = dict(df.dtypes)
+def shown(df: DataFrame, column: str) -> Column:
+    """The column's values as text."""
+    value = F.col(column) + F.lit(0.0) if dict(df.dtypes)[column] in ("double", "float") else F.col(column)  # -0.0 is 0.0
+    return value.cast("string")
 
-    def shown(c: str) -> Column:
-        value = F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)  # -0.0 is 0.0
-        return value.cast("string")
 
-    pairs = [F.struct(F.lit(c).alias("column"), shown(c).alias("value")) for c in columns or df.columns]
+def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column, value, n) with null counted as a value. Values are shown as text."""
+    pairs = [F.struct(F.lit(c).alias("column"), shown(df, c).alias("value")) for c in columns or df.columns]
     return df.select(F.inline(F.array(*pairs))).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
@@ -96,11 +96,54 @@ def cardinalities(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def constant_columns(df: DataFrame) -> DataFrame:
-    return cardinalities(df).where(F.col("cardinality") <= 1).select("column")
+    """Columns with one value, or with nulls alone: smallest and largest value and number of nulls, in one aggregation."""
+    rows = F.count("*")
+    per_column = []
+    for c in df.columns:
+        low, high, known = F.min(shown(df, c)), F.max(shown(df, c)), F.count(c)
+        one = (known == 0) | ((known == rows) & (low == high))
+        per_column.append(F.struct(F.lit(c).alias("column"), (one & (rows > 0)).alias("constant")))
+    return df.agg(F.array(*per_column).alias("rows")).select(F.inline("rows")).where("constant").select("column")
+
+
+def _mark(value: Column) -> Column:
+    """52 bits of a value, null included: whole numbers that a double holds exactly."""
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(F.concat(F.lit("="), value), F.lit("null"))), 12)
+
+
+def majority_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column, rows, held): per column the number of rows that hold the one value which a majority can have.
+
+    A value with more than 0.51 of the rows is the median of the column in any order, and stays the median of a sketch with a
+    rank error of 0.01. So the sketched median of the values' marks is the only candidate. It is a mergeable state of
+    bounded size: one aggregation finds the candidates of all columns, a second one counts them exactly. Nothing is
+    shuffled but one row for each task. For columns without such a majority ``held`` counts some value or other.
+    """
+    columns = list(columns or df.columns)
+    marks = {c: _mark(shown(df, c)) for c in columns}
+    found = df.agg(*(F.percentile_approx(marks[c], 0.5, 100).alias(f"m{i}") for i, c in enumerate(columns))).first()
+    per_column = []
+    for i, c in enumerate(columns):
+        hit = marks[c] == F.lit(found[i])
+        low, high = (f(F.when(hit, shown(df, c))) for f in (F.min, F.max))
+        held, known = F.count_if(hit), F.count_if(hit & F.col(c).isNotNull())
+        mixed = (known > 0) & ((known < held) | (low != high))
+        per_column.append(F.struct(F.lit(c).alias("column"), F.count("*").alias("rows"), held.alias("held"), mixed.alias("mixed")))
+    counts = df.agg(F.array(*per_column).alias("rows")).select(F.inline("rows"))
+    mixed = [r["column"] for r in counts.where("mixed").collect()]  # two values with the same mark: at most ``columns`` names
+    counts = counts.drop("mixed")
+    for c in mixed:
+        own = value_counts(df.where(marks[c] == F.lit(found[columns.index(c)])), [c]).agg(F.max("n")).scalar()
+        counts = counts.withColumn("held", F.when(F.col("column") == c, own).otherwise(F.col("held")))
+    return counts
 
 
 def near_constant_columns(df: DataFrame, share: float = 0.99) -> DataFrame:
-    return cardinalities(df).where(F.col("top_share") > share).select("column", "top_share")
+    """Columns of which one value, null included, has more than ``share`` of the rows."""
+    if share < 0.51:
+        raise ValueError("a majority is looked for: the share must be 0.51 or more")
+    counts = majority_values(df).where(F.col("rows") > 0).withColumn("top_share", F.col("held") / F.col("rows"))
+    return counts.where(F.col("top_share") > share).select("column", "top_share")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

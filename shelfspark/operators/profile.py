@@ -11,6 +11,7 @@ from shelfspark import contract as C
 from shelfspark.operators.columns import numeric_describe
 from shelfspark.operators.grid import with_stores
 from shelfspark.operators.quantiles import median_columns, quantile_columns
+from shelfspark.operators.sketches import merged_quantiles, part_states
 
 PERCENTILES = {"p5": 0.05, "p25": 0.25, "median_p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
@@ -24,20 +25,10 @@ def percentiles(facts: DataFrame, columns: Sequence[str] = C.MEASURES) -> DataFr
     return quantile_columns(facts, columns, PERCENTILES).drop("n")
 
 
-def percentiles_approx(facts: DataFrame, columns: Sequence[str] = C.MEASURES, accuracy: int = 10_000) -> DataFrame:
-    """The same columns from mergeable sketches, in one pass, for exploratory use."""
-    points = F.array(*map(F.lit, PERCENTILES.values()))
-    rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            *[
-                F.percentile_approx(F.col(c).cast("double"), points, F.lit(accuracy))[i].alias(name)
-                for i, name in enumerate(PERCENTILES)
-            ],
-        )
-        for c in columns
-    ]
-    return facts.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+def percentiles_approx(facts: DataFrame, columns: Sequence[str] = C.MEASURES) -> DataFrame:
+    """The same columns from states per day, merged, for exploratory use: ranks are off by ``sketches.rank_bound()`` at most."""
+    found = merged_quantiles(part_states(facts, columns), list(PERCENTILES.values()))
+    return found.groupBy("column").agg(*(F.max(F.when(F.col("p") == p, F.col("q"))).alias(name) for name, p in PERCENTILES.items()))
 
 
 def describe_measures(facts: DataFrame, columns: Sequence[str] = C.MEASURES) -> DataFrame:
@@ -170,3 +161,15 @@ def zero_inflation(facts: DataFrame, target: str = "replenishment_signal") -> Da
     return facts.agg(
         known.alias("known"), zeros.alias("zeros"), (F.try_divide(zeros, known) * 100).alias("zero_inflation_pct")
     )
+
+
+def signal_distribution(
+    facts: DataFrame, by: Sequence[str] = ("category",), target: str = "replenishment_signal", states: DataFrame | None = None
+) -> DataFrame:
+    """Per group the known readings, the zeros among them and the percentiles of PERCENTILES: (by..., column, n, zeros, p, q).
+
+    Percentiles come from ``states`` per day (see ``sketches``), which can be kept and extended; without them they are made here.
+    """
+    states = part_states(facts, [target], [*by, C.DAY]) if states is None else states
+    zeros = facts.groupBy(*by).agg(F.count_if(F.col(target) == 0).alias("zeros"))
+    return merged_quantiles(states, list(PERCENTILES.values()), by).join(zeros, [*by])
