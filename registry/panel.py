@@ -8,8 +8,9 @@ from registry.common import digest, digest_sql, inputs, load, tidy, with_ctes
 from shelfspark import contract as C
 from shelfspark.operators import encoders, features, grid, impute
 from shelfspark.plans import training
-from shelfspark.sources.retail_csv import parse_dates
-from shelfspark.sources.trade_panel import SPLITS
+from shelfspark.session import scratch_path, settle
+from shelfspark.sources.retail_csv import REASON, parse_checked, parse_dates, read_checked, refused, taken
+from shelfspark.sources.trade_panel import PERIOD_START, SPLITS
 
 TRAIN_END = SPLITS.train_end
 QUERIES, ORACLE = {}, {}
@@ -55,6 +56,62 @@ def s02(spark, folder):
     )
 
 
+# A spoiled copy of the facts of every 97th day stands beside them: a word for a number, a value too many, a date that is none,
+# no store.
+SPOILED_SQL = "SELECT date_diff('day', date '1995-01-02', date) // 97 % 4 AS kind FROM facts WHERE date_diff('day', date '1995-01-02', date) % 97 = 5"
+
+
+def _csv_files(spark, folder):
+    """The facts written as CSV, and beside them lines that cannot be taken."""
+    facts = load(spark, folder).facts
+    good, bad = scratch_path(spark, "csv"), scratch_path(spark, "csv-spoiled")
+    facts = settle(facts, "facts")
+    facts.write.option("header", True).csv(good)
+    day = F.datediff("date", F.lit(PERIOD_START))
+    kind = F.expr(f"datediff(date, date '{PERIOD_START}') div 97 % 4")
+    spoiled = facts.where(day % 97 == 5).withColumn("kind", kind).select(*(F.col(c).cast("string").alias(c) for c in facts.columns), "kind")
+    changes = {"amount_total": (0, F.lit("unknown")), "replenishment_signal": (1, F.lit("1,5")), "date": (2, F.concat("date", F.lit("-"))), "store_id": (3, F.lit(None))}
+    for c, (which, value) in changes.items():
+        spoiled = spoiled.withColumn(c, F.when(F.col("kind") == which, value).otherwise(F.col(c)))
+    spoiled.drop("kind").write.option("header", True).option("quote", "\u0000").csv(bad)
+    return [good, bad]
+
+
+@register("s01_csv_scan", with_ctes(f"SELECT {FACT_SQL} FROM facts", "facts"))
+def s01_csv(spark, folder):
+    """The facts from CSV files with some bad lines."""
+    return tidy(taken(read_checked(spark, _csv_files(spark, folder), C.TRANSACTIONS)))
+
+
+@register(
+    "s01_csv_bad_lines",
+    with_ctes(
+        f"SELECT CASE WHEN kind = 3 THEN 'no key' ELSE 'unreadable' END AS reason, count(*) AS lines FROM ({SPOILED_SQL}) GROUP BY 1",
+        "facts",
+    ),
+)
+def s01_bad(spark, folder):
+    """What the scan refused, by reason."""
+    return refused(read_checked(spark, _csv_files(spark, folder), C.TRANSACTIONS)).groupBy("reason").agg(F.count("line").alias("lines"))
+
+
+@register(
+    "s02_csv_text_dates",
+    with_ctes(
+        f"""SELECT 'taken' AS reason, count(*) AS lines, min(date) AS first_day, max(date) AS last_day FROM facts
+ UNION ALL SELECT CASE kind WHEN 2 THEN 'bad date' WHEN 3 THEN 'no key' ELSE 'unreadable' END, count(*), NULL, NULL
+ FROM ({SPOILED_SQL}) GROUP BY 1""",
+        "facts",
+    ),
+)
+def s02_csv(spark, folder):
+    """Dates scanned as text and read afterwards: lines taken with their first and last day, and lines refused."""
+    rows = parse_checked(read_checked(spark, _csv_files(spark, folder), C.TRANSACTIONS, text_dates=True))
+    reason = F.coalesce(REASON, F.lit("taken"))
+    day = F.when(F.col(REASON).isNull(), F.col("date"))
+    return rows.groupBy(reason.alias("reason")).agg(F.count("*").alias("lines"), F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+
+
 @register(
     "s07_calendar",
     with_ctes(

@@ -192,3 +192,29 @@ def test_csv_scan_and_text_dates(spark, tmp_path):
     text = retail_csv.read_text_dates(spark, str(tmp_path / "transactions.csv"), retail_csv.C.TRANSACTIONS)
     assert text.first().date == "2023-01-02"
     assert dict(retail_csv.parse_dates(text).dtypes)["date"] == "date"
+
+
+def test_bad_csv_lines_are_kept_apart(spark, tmp_path):
+    head = "date,store_id,category,total_transactions,cash_transactions,card_transactions,amount_total,amount_cash,amount_card,units_sold,avg_ticket,has_promotion,replenishment_signal"
+    good = ["2023-01-01,S1,A,3,1,2,10.5,,7.0,2.0,3.5,1,4.0", "2023-01-02,S1,A,,,,,,,,,,"]
+    bad = {
+        "2023-01-03,S1,A,three,1,2,10.5,,7.0,2.0,3.5,1,4.0": "unreadable",
+        "2023-01-04,S1,A,3": "unreadable",
+        "2023-01-05,S1,A,3,1,2,10.5,,7.0,2.0,3.5,1,4.0,9": "unreadable",
+        "2023-02-30,S1,A,3,1,2,10.5,,7.0,2.0,3.5,1,4.0": "bad date",
+        ",S1,A,3,1,2,10.5,,7.0,2.0,3.5,1,4.0": "no key",
+        "2023-01-06,,A,3,1,2,10.5,,7.0,2.0,3.5,1,4.0": "no key",
+    }
+    (tmp_path / "t.csv").write_text("\n".join([head, *good, *bad]) + "\n")
+    rows = retail_csv.read_checked(spark, str(tmp_path / "t.csv"), retail_csv.C.TRANSACTIONS)
+    assert [str(r["date"]) for r in retail_csv.taken(rows).collect()] == ["2023-01-01", "2023-01-02"]
+    assert retail_csv.taken(rows).select("category").count() == 2  # whatever columns are asked for
+    assert retail_csv.taken(rows).columns == retail_csv.C.TRANSACTIONS.fieldNames()
+    refused = {r["line"]: r["reason"] for r in retail_csv.refused(rows).collect()}
+    assert refused == {line: reason.replace("bad date", "unreadable") for line, reason in bad.items()}
+    text = retail_csv.parse_checked(retail_csv.read_checked(spark, str(tmp_path / "t.csv"), retail_csv.C.TRANSACTIONS, text_dates=True))
+    assert [str(r["date"]) for r in retail_csv.taken(text).collect()] == ["2023-01-01", "2023-01-02"]
+    refused = {r["line"]: r["reason"] for r in retail_csv.refused(text).collect()}
+    assert refused == {(line[:10] if reason == "bad date" else line): reason for line, reason in bad.items()}
+    (tmp_path / "none.csv").write_text(head + "\n")
+    assert retail_csv.taken(retail_csv.read_checked(spark, str(tmp_path / "none.csv"), retail_csv.C.TRANSACTIONS)).isEmpty()
