@@ -3,10 +3,9 @@
 Texts with the same words are one node, so copies cost nothing more. Nodes that share a band are candidates. Not all
 pairs of a bucket are looked at: links are wanted only for classes, so pairs that are already in one class are
 skipped. Star rounds compare one member of each class with the best connected node of its buckets, which is
-near the middle of a group of copies. What is then still apart is bounded: shingles that only a few of these nodes
-have are counted pair by pair, and no other pair has any of them in common, which limits every pair's similarity
-exactly; nor can shingles of a single class be common to two. Pairs that the bound allows are compared. So every candidate pair is compared, excluded by its bound or
-already in one class.
+near the middle of a group of copies. What is then still apart is described by its differences from the best connected
+node of the bucket, which bounds the similarity of every pair exactly (see ``_apart``); pairs that the bound allows
+are compared. So every candidate pair is compared, excluded by its bound or already in one class.
 """
 
 from __future__ import annotations
@@ -104,76 +103,92 @@ def _verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, shape)
 
 
-def _rare(table: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rare shingles of ``nodes`` (``node``, ``label``) are those that FEW nodes have at most, or the nodes of one class alone.
-    Returns a row for each node with a rare shingle of several classes; and per node the ``size``, ``weight`` and ``top``
-    of its shingles with the number and weight of the rare ones."""
+def _differences(held: DataFrame) -> DataFrame:
+    """Per row of ``held`` (``ref``, ``node``, ``label``, ``shingles``, ``ref_shingles``) the shingles that only one of the two has."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c) for c in ("node", "label", "shingles", "weights"))
-            for node, label, data, heavy in zip(*columns, strict=True):
-                own = np.frombuffer(data.as_py(), "<i8")
-                each = np.frombuffer(heavy.as_py(), "<f4") if heavy.as_py() else np.ones(len(own))
-                same = [pa.array([x.as_py()] * len(own), pa.binary()) for x in (node, label)]
-                yield pa.RecordBatch.from_arrays(
-                    [*same, pa.array(own), pa.array(each.astype(float))], names=["node", "label", "shingle", "own"]
-                )
-
-    held = settle(table.join(nodes, "node"), "held")
-    rows = held.select("node", "label", "shingles", "weights").mapInArrow(
-        spread, "node binary, label binary, shingle bigint, own double"
-    )
-    rows = settle(rows, "spread")
-    held_by = rows.groupBy("shingle").agg(
-        F.count("*").alias("n"), (F.min("label") == F.max("label")).alias("one_class")
-    )
-    rare = settle(rows.join(settle(held_by.filter((F.col("n") <= FEW) | F.col("one_class")), "few"), "shingle"), "rare")
-    own = rare.groupBy("node").agg(F.count("*").alias("rare"), F.sum("own").alias("rare_weight"))
-    sizes = held.select("node", "label", "size", "weight", "top").join(own, "node", "left")
-    return rare.filter("NOT one_class"), settle(sizes.fillna({"rare": 0, "rare_weight": 0.0}), "sizes")
+            for ref, node, label, own, its in zip(*batch.columns, strict=True):
+                found = np.setxor1d(np.frombuffer(own.as_py(), "<i8"), np.frombuffer(its.as_py(), "<i8"), assume_unique=True)
+                same = [pa.array([x.as_py()] * len(found), pa.binary()) for x in (ref, node, label)]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(found)], names=["ref", "node", "label", "shingle"])
 
+    columns = held.select("ref", "node", "label", "shingles", "ref_shingles")
+    return columns.mapInArrow(spread, "ref binary, node binary, label binary, shingle bigint")
 
-def _able(similar: float, common: Column) -> Column:
-    """Can the columns' two nodes, the second one's with ``_b``, be similar if they share ``common`` of their rare shingles."""
-    shared = F.least(F.expr("size - rare"), F.expr("size_b - rare_b")) + common
-    held = F.least(F.expr("weight - rare_weight") + F.col("top") * common, F.col("top") * shared)
-    held_b = F.least(F.expr("weight_b - rare_weight_b") + F.col("top_b") * common, F.col("top_b") * shared)
-    bound = held / (F.col("weight") + (F.col("weight_b") - held_b) / F.col("top_b"))
-    bound_b = held_b / (F.col("weight_b") + (F.col("weight") - held) / F.col("top"))
-    return F.least(bound, bound_b) >= similar - 1e-9
 
+def _able(similar: float, differ: Column) -> Column:
+    """Can the columns' two nodes, the second one's with ``_b``, be similar if at least ``differ`` shingles are in one of them only.
 
-def _apart(placed: DataFrame, table: DataFrame, similar: float) -> DataFrame:
-    """Pairs (``a``, ``b``, ``x``, ``y``) of nodes in one bucket, but not in one class, that can be similar."""
+    Of similarity s, weights W in sum and R at most: every term of the similarity that belongs to a common shingle is at most
+    its weight by W plus the other text's own weights divided by R. So the weights that only one text has are together
+    (1 - s) / (1 + s / R) times both sums at most, and every weight is 1 or more. For plain sets this is Jaccard's own bound.
+    """
+    top = F.greatest("top", "top_b")
+    return differ <= (1 - similar) / (1 + similar / top) * (F.col("weight") + F.col("weight_b")) + 1e-6
 
-    def several(rows: DataFrame) -> DataFrame:
-        """Rows of the bands that still hold more than one class."""
-        bands = rows.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        return rows.join(settle(bands.filter("low < high").select("band"), "several"), "band", "left_semi")
 
-    def other(rows: DataFrame) -> DataFrame:
-        return rows.select(*(F.col(c).alias(f"{c}_b") for c in rows.columns))
+def _apart(placed: DataFrame, near: DataFrame, table: DataFrame, similar: float) -> DataFrame:
+    """Pairs (``a``, ``b``, ``x``, ``y``) of nodes in one bucket, but not in one class, that can be similar.
+
+    The nodes of a bucket are described by their differences from its best connected node: copies of one text have most
+    shingles in common, and two texts differ in just those shingles in which one of them, but not both, differs from a third.
+    Differences that only FEW of these nodes have, or the nodes of one class alone, are rare. Those shared are counted
+    pair by pair. Without a rare difference in common only a node with few rare ones can be a partner. With the
+    frequent differences, a list for each node, it is known exactly in how many shingles two texts differ, before they are
+    fetched: of plain sets only the similar pairs are left.
+    """
+    bands = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = settle(bands.filter("low < high").select("band"), "several")
+    left = settle(placed.join(mixed, "band", "left_semi").join(near, "node"), "apart")
+    refs = left.groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("r"))
+    refs = settle(refs.select("band", F.col("r.node").alias("ref"), F.col("r.label").alias("ref_label")), "refs")
+    members = settle(left.join(refs, "band").select("ref", "ref_label", "node", "label").distinct(), "members")
+    its = table.select(F.col("node").alias("ref"), F.col("shingles").alias("ref_shingles"))
+    held = members.join(table.drop("size"), "node").join(its, "ref")
+    rows = settle(_differences(held), "differences")
+    held_by = rows.groupBy("ref", "shingle").agg(F.count("*").alias("n"), (F.min("label") == F.max("label")).alias("one_class"))
+    few = settle(held_by.filter((F.col("n") <= FEW) | F.col("one_class")).select("ref", "shingle", "one_class"), "few")
+    rows = settle(rows.join(few, ["ref", "shingle"], "left"), "marked")
+    frequent = F.collect_list(F.when(F.col("one_class").isNull(), F.col("shingle"))).alias("frequent")
+    own = rows.groupBy("ref", "node").agg(F.count("one_class").alias("rare"), frequent)
+    sizes = members.join(table.select("node", "weight", "top"), "node").join(own, ["ref", "node"], "left")
+    sizes = sizes.withColumns(
+        {"rare": F.coalesce("rare", F.lit(0)), "frequent": F.coalesce("frequent", F.array().cast("array<bigint>"))}
+    )
+    sizes = settle(sizes.withColumn("n_frequent", F.size("frequent")), "sizes")
+
+    def other(rows: DataFrame, *same: str) -> DataFrame:
+        return rows.select(*(F.col(c) if c in same else F.col(c).alias(f"{c}_b") for c in rows.columns))
+
+    def able(rare: str) -> Column:
+        """By the numbers of the frequent differences first, then by what they have in common."""
+        uneven = F.abs(F.col("n_frequent") - F.col("n_frequent_b"))
+        apart = F.col("n_frequent") + F.col("n_frequent_b") - 2 * F.size(F.array_intersect("frequent", "frequent_b"))
+        return _able(similar, F.expr(rare) + uneven) & _able(similar, F.expr(rare) + apart)
 
     found = [F.col("node").alias("a"), F.col("node_b").alias("b"), F.col("label").alias("x"), F.col("label_b").alias("y")]
-    left = settle(several(placed), "apart")
-    rare, sizes = _rare(table, left.select("node", "label").distinct())
-
-    # Pairs with rare shingles in common: no shingle makes more than FEW * FEW / 2.
-    some = rare.select("node", "label", "shingle")
-    met = some.join(other(some), (F.col("shingle") == F.col("shingle_b")) & (F.col("label") > F.col("label_b")))
-    met = settle(met.groupBy("node", "node_b").agg(F.count("*").alias("common")), "met")
-    met = met.join(sizes, "node").join(other(sizes), "node_b").filter(_able(similar, F.col("common"))).select(*found)
-
-    # Pairs without: of plain sets, a node needs a partner in its bucket of at most this size.
-    left = settle(left.join(sizes.drop("label"), "node"), "sized")
-    common = F.col("size") - F.col("rare")
-    room = common / similar + common - F.col("size") + 1e-6
-    bands = left.groupBy("band").agg(F.min("size").alias("least"), F.max("top").alias("most"))
-    left = left.join(settle(bands, "least"), "band").filter((F.col("most") > 1.0) | (F.col("least") <= room)).drop("least", "most")
-    left = settle(several(settle(left, "able")), "able")
-    near = left.join(other(left), (F.col("band") == F.col("band_b")) & (F.col("label") > F.col("label_b")) & _able(similar, F.lit(0)))
-    return met.unionByName(near.select(*found)).distinct()
+
+    # Pairs with rare differences in common: no shingle makes more than FEW * FEW / 2.
+    some = rows.filter("NOT one_class").select("ref", "shingle", "node", "label")
+    met = some.join(other(some, "ref", "shingle"), ["ref", "shingle"]).filter(F.col("label") > F.col("label_b"))
+    met = settle(met.groupBy("ref", "node", "node_b").agg(F.count("*").alias("common")), "met")
+    met = met.join(sizes, ["ref", "node"]).join(other(sizes, "ref").drop("ref_label_b"), ["ref", "node_b"])
+    met = met.filter(able("rare + rare_b - 2 * common"))
+
+    # Pairs without: one of them is not in the reference's class. Partners are looked up by their number of rare differences, in
+    # steps of a sixteenth of what is possible.
+    most = F.max(2 * (1 - similar) / (1 + similar / F.col("top")) * F.col("weight") / similar).alias("most")
+    steps = settle(sizes.groupBy("ref").agg(F.ceil(F.greatest(most / 16, F.lit(1.0))).alias("step"), F.max("top").alias("most_top"), F.max("weight").alias("most_weight")), "steps")
+    stepped = settle(sizes.join(steps, "ref"), "stepped")
+    outside = stepped.filter("label <> ref_label")
+    room = (1 - similar) / (1 + similar / F.col("most_top")) * (F.col("weight") + F.col("most_weight")) - F.col("rare") + 1e-6
+    outside = outside.filter(room >= 0).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(room / F.col("step")))))
+    partners = other(stepped.withColumn("part", F.floor(F.col("rare") / F.col("step"))).drop("ref_label", "step", "most_top", "most_weight"), "ref", "part")
+    near_by = outside.join(partners, ["ref", "part"]).filter((F.col("label") != F.col("label_b")) & able("rare + rare_b"))
+    return met.select(*found).unionByName(near_by.select(*found)).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")
+    ).distinct()
 
 
 def _hooked(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -242,7 +257,7 @@ def classes(
         if mixed.isEmpty():
             break
         if turn == star_rounds:
-            pairs = _apart(placed, table, similar)
+            pairs = _apart(placed, near, table, similar)
         else:
             # Of the nodes that have not led yet, the best connected one of each bucket leads, and the best
             # connected member stands for its class.

@@ -221,3 +221,73 @@ def test_chains_of_near_copies(spark):
     for rounds in (0, 2):
         got = near_dedup.classes(docs, star_rounds=rounds).collect()
         assert sorted((str(r.key), str(r.class_id), r.class_size) for r in got) == classes_by_force(rows)
+
+
+def near_group(rng, base, copies, spoil):
+    """Copies of a text with a few words changed; half of them share a change, and each word is chosen from a few."""
+    rows = []
+    for i in range(copies):
+        words = list(base)
+        if i % 2:
+            words[20] = "shared"
+        for at in rng.choice(len(words), rng.integers(0, spoil), replace=False):
+            words[at] = f"v{rng.integers(0, 5)}"
+        rows.append(" ".join(words))
+    return rows
+
+
+def classes_by_matrix(texts, words=5, similar=0.8):
+    """Sizes of the classes of texts that repeat no shingle, by the Jaccard similarities of all pairs."""
+    cut = [{tuple(t.split()[i : i + words]) for i in range(len(t.split()) - words + 1)} for t in texts]
+    assert all(len(c) == len(t.split()) - words + 1 for c, t in zip(cut, texts, strict=True))
+    column = {s: j for j, s in enumerate(set().union(*cut))}
+    has = np.zeros((len(texts), len(column)), np.float32)
+    for i, c in enumerate(cut):
+        has[i, [column[s] for s in c]] = 1
+    size, label = has.sum(axis=1), np.full(len(texts), -1)
+    for start in range(len(texts)):
+        if label[start] >= 0:
+            continue
+        label[start], waiting = start, [start]
+        while waiting:
+            at = waiting.pop()
+            common = has @ has[at]
+            near = np.flatnonzero((common / (size + size[at] - common) >= similar - 1e-9) & (label < 0))
+            label[near] = start
+            waiting += near.tolist()
+    return label
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """2,000 near copies: the classes of all pairs, found with a fraction of the pairs."""
+    rng = np.random.default_rng(4)
+    texts = near_group(rng, [f"w{i}" for i in range(140)], 2000, 9)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(6).cache()
+    compared = []
+    plain = near_dedup._verified
+    monkeypatch.setattr(near_dedup, "_verified", lambda pairs, table, least: compared.append(pairs.count()) or plain(pairs, table, least))
+    got = {r.key: r.class_id for r in near_dedup.classes(docs).collect()}
+    label = classes_by_matrix(texts)
+    assert len(set(label)) > 5
+    assert got == {i: int(label[i]) for i in range(len(texts))}
+    assert sum(compared) < 10 * len(texts)
+
+
+def test_a_group_with_weights(spark):
+    """Near copies of a text that repeats a phrase: counts weigh, and the bound for weighted texts holds."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(60)] + ["again and again and so on and so forth"] * 4
+    rows = list(enumerate(near_group(rng, " ".join(base).split(), 120, 8)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).cache()
+    for rounds in (0, 2):
+        got = near_dedup.classes(docs, star_rounds=rounds).collect()
+        assert sorted((str(r.key), str(r.class_id), r.class_size) for r in got) == classes_by_force(rows)
+
+
+def test_a_long_repetitive_text(spark, odd_rows):
+    """Key 51, the long text of repeated passages, with near copies of its own."""
+    long = next(t for k, t in odd_rows if k == 51)
+    rows = [(51, long), (70, long + " end"), (71, long.replace("daily", "weekly", 3)), (72, " ".join(reversed(long.split()))), (73, long[: len(long) // 2])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = near_dedup.classes(docs).collect()
+    assert sorted((str(r.key), str(r.class_id), r.class_size) for r in got) == classes_by_force(rows)
