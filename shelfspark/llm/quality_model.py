@@ -1,10 +1,9 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings over hashed words.
 
 P(grade >= k) is a logistic function of one shared score less the k-th threshold. The score of a text is the mean weight
-of its words and of their shapes, so long texts need no more memory than short ones.
-
-One toxic word hardly moves a mean, so a list of signs (words and stems) stands beside the score: those that mark toxic
-rows among the rows of quality.
+of its words, of their shapes and of words that repeat the one before, so long texts need no more memory than short
+ones, and one weight more if the text bears a sign. One toxic word hardly moves a mean, so its presence is a feature of its own: signs are the words and
+stems that mark toxic rows among the rows of quality. Rows are selected by the tail probability of the best grade.
 """
 
 from __future__ import annotations
@@ -19,19 +18,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfspark.llm.batches import per_text, slices, whole
 from shelfspark.llm.frames import named
+from shelfspark.session import settle
 
 WEIGHTS = 1 << 17
 #: Labelled rows that the fit sees, at most: those whose key has the smallest MD5 digest.
 SAMPLE = 6000
+#: UTF-8 bytes of their texts, at most: rows that begin beyond it, in the order of the digests, are not read.
+SAMPLE_BYTES = 128 << 20
 STEPS, RATE, SHRINK = 400, 0.1, 1e-4
 #: Frequencies of words are small numbers; this brings the weights near one.
 SCALE = 30.0
 #: A sign is taken if the toxic rows it marks outweigh the others this many times, and are half of all at least after so many
 #: rows of the mean are added.
 OUTWEIGH, ADDED = 3, 2.0
+#: Behind the weights of words and shapes stand that of bearing a sign, and that of words that repeat the one before them.
+SIGN, REPEAT = WEIGHTS, WEIGHTS + 1
 #: First letters of a word that are a sign beside the whole word, for inflected words.
 STEM = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -71,6 +76,14 @@ def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return names, index[filled], running[offsets - offsets[0]]
 
 
+def _repeats(index: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Is each word the same as the one before it in its text."""
+    same = np.zeros(len(index), bool)
+    same[1:] = index[1:] == index[:-1]
+    same[offsets[:-1][np.diff(offsets) > 0]] = False
+    return same
+
+
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray
@@ -78,19 +91,13 @@ class Model:
     signs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        return self._scores(*_words(texts))
-
-    def rated(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Score of each text, and whether it bears a sign of toxicity."""
         names, index, offsets = _words(texts)
         signs, owner = _signs(names)
         marked = np.zeros(len(names))
         marked[owner[np.isin(signs, self.signs).any(axis=0)]] = 1
-        return self._scores(names, index, offsets), per_text(marked[index], offsets) > 0
-
-    def _scores(self, names: list[str], index: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        value = self.weights[_slots(names)].sum(axis=0, dtype=float)[index]
-        return SCALE * per_text(value, offsets) / np.maximum(1, np.diff(offsets))
+        value = self.weights[_slots(names)].sum(axis=0, dtype=float)[index] + self.weights[REPEAT] * _repeats(index, offsets)
+        mean = SCALE * per_text(value, offsets) / np.maximum(1, np.diff(offsets))
+        return mean + self.weights[SIGN] * (per_text(marked[index], offsets) > 0)
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ..."""
@@ -103,7 +110,7 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 def fit_ordinal(owner: np.ndarray, slot: np.ndarray, value: np.ndarray, grades: np.ndarray, count: int) -> Model:
     """Maximum likelihood by Adam steps. ``owner``, ``slot`` and ``value`` are the entries of the rows' features."""
-    weights = np.zeros(WEIGHTS)
+    weights = np.zeros(WEIGHTS + 2)
     share = np.array([(grades >= k).mean() for k in range(1, count)])
     share = np.clip(share, 1e-3, 1 - 1e-3)
     # Thresholds are the first one and the logarithms of the gaps, so they stay in order.
@@ -176,16 +183,29 @@ def grades(labels: DataFrame, key: str = "doc_id", quality: str = "quality", tox
 
 
 def fit(
-    docs: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, count: int = 3
+    docs: DataFrame,
+    rated: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    sample: int = SAMPLE,
+    count: int = 3,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> Model:
-    """Model from ``rated`` (``key``, ``grade`` from 0 to ``count`` - 1), of which ``sample`` rows are read at most, one
-    for each key. Only the features of that sample come to the driver. Without ratings every grade is as likely as every other."""
+    """Model from ``rated`` (``key``, ``grade`` from 0 to ``count`` - 1), of which ``sample`` rows and about ``sample_bytes`` of
+    text are read at most, one row for each key. Only the features of that sample come to the driver. Null texts have no
+    words. Without ratings half of the chance is the best grade's and the rest is spread evenly, so nothing is rejected."""
     # The number of rows is bounded, so they can be sent to every executor.
     few = rated.orderBy(F.md5(named(key).cast("string")), key).limit(sample)
     few = few.select(named(key).alias("key"), F.col("grade").cast("int").alias("grade"))
     rows = docs.select(named(key).cast("bigint").alias("key"), named(text).alias("text")).join(F.broadcast(few), "key")
     # A key may repeat over many rows; one of them is read, whatever the order of rows.
     rows = rows.groupBy("key", "grade").agg(F.min_by("text", F.md5(F.coalesce("text", F.lit("")))).alias("text"))
+    rows = settle(rows, "rated")
+    # At most ``sample`` rows without their texts.
+    before = Window.partitionBy(F.lit(0)).orderBy(F.md5(F.col("key").cast("string")), "key").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    begun = rows.select("key", size.alias("size")).select("key", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begun"))
+    rows = rows.join(F.broadcast(begun.filter(F.col("begun") < sample_bytes).select("key")), "key")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -194,10 +214,11 @@ def fit(
             hashed, holder = _signs(names)
             first = np.searchsorted(holder, np.arange(len(names) + 1))
             found, values, signs = [], [], []
+            repeats = _repeats(index, offsets)
             for a, b in zip(offsets[:-1], offsets[1:], strict=True):
                 slot, times = np.unique(slots[:, index[a:b]], return_counts=True)
-                found.append(slot.astype(np.int32))
-                values.append((times / max(1, b - a)).astype(np.float32))
+                found.append(np.append(slot, REPEAT).astype(np.int32))
+                values.append((np.append(times, repeats[a:b].sum()) / max(1, b - a)).astype(np.float32))
                 own = [hashed[:, first[w] : first[w + 1]].ravel() for w in np.unique(index[a:b])]
                 signs.append(np.unique(np.concatenate([np.zeros(0, np.int64), *own])))
             yield pa.RecordBatch.from_arrays(
@@ -214,44 +235,45 @@ def fit(
     read = rows.mapInArrow(features, "key bigint, grade int, slots binary, shares binary, signs binary").collect()
     read.sort(key=lambda r: (r.key, r.grade, bytes(r.slots)))
     if not read:
-        even = np.arange(count - 1, 0, -1) / count
-        return Model(np.zeros(WEIGHTS, np.float32), -np.log(even / (1 - even)))
-    slot = [np.frombuffer(r.slots, np.int32) for r in read]
-    owner = np.repeat(np.arange(len(read)), [len(s) for s in slot])
-    value = SCALE * np.concatenate([np.frombuffer(r.shares, np.float32) for r in read]).astype(float)
+        even = 1 - np.arange(1, count) / (2 * (count - 1))
+        return Model(np.zeros(WEIGHTS + 2, np.float32), -np.log(even / (1 - even)))
     rated_as = np.array([r.grade for r in read])
-    model = fit_ordinal(owner, np.concatenate(slot).astype(np.int64), value, rated_as, count)
-    good = [r for r in read if r.grade > 0]
-    if not good:
-        return model
-    sign = [np.frombuffer(r.signs, np.int64) for r in good]
-    owner = np.repeat(np.arange(len(good)), [len(s) for s in sign])
-    return replace(model, signs=fit_signs(owner, np.concatenate(sign), rated_as[rated_as > 0] < count - 1))
+    signs, marked = _sign_features([np.frombuffer(r.signs, np.int64) for r in read], rated_as, count)
+    slot = [np.frombuffer(r.slots, np.int32) for r in read]
+    owner = np.concatenate((np.repeat(np.arange(len(read), dtype=np.int32), [len(s) for s in slot]), marked))
+    value = SCALE * np.concatenate([np.frombuffer(r.shares, np.float32) for r in read])
+    value = np.concatenate((value, np.ones(len(marked)))).astype(np.float32)
+    slot = np.concatenate((*slot, np.full(len(marked), SIGN, np.int32)))
+    del read
+    return replace(fit_ordinal(owner, slot, value, rated_as, count), signs=signs)
+
+
+def _sign_features(signs: list[np.ndarray], rated_as: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The signs that tell the best grade from those between it and 0, and the rows that bear one."""
+    good = np.flatnonzero(rated_as > 0)
+    if not len(good):
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    owner = np.repeat(np.arange(len(good)), [len(signs[i]) for i in good])
+    found = fit_signs(owner, np.concatenate([signs[i] for i in good]), rated_as[good] < count - 1)
+    return found, np.array([i for i, own in enumerate(signs) if np.isin(own, found).any()], np.int32)
 
 
 def grade_documents(
-    docs: DataFrame,
-    model: Model,
-    key: str = "doc_id",
-    text: str = "text",
-    least: float = 0.5,
-    grade: int = 1,
-    clean: bool = False,
+    docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", least: float = 0.5, grade: int | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``row`` (position in the scan), ``expected_grade``, ``tail_probability``
-    (of ``grade`` or better) and ``kept`` (that probability is ``least`` or more and, if ``clean``, no sign of toxicity is met).
+    (of ``grade`` or better; default: the best one) and ``kept`` (that probability is ``least`` or more).
 
-    A text without words, null or empty, is rated by the thresholds alone. Rows that repeat are rated alike.
+    A text without words, null or empty, is rated by the thresholds alone. Rows that repeat are rated alike. Very long texts
+    are read whole, one at a time. An empty table gives no rows; other columns do not matter.
     """
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            scores, toxic = model.rated(batch.column("text"))
-            tails = model.tails(scores)
-            chance = tails[:, grade - 1]
-            kept = (chance >= least) & ~(clean & toxic)
+            tails = model.tails(model.scores(batch.column("text")))
+            chance = tails[:, -1 if grade is None else grade - 1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("row"), pa.array(tails.sum(axis=1)), pa.array(chance), pa.array(kept)],
+                [batch.column("key"), batch.column("row"), pa.array(tails.sum(axis=1)), pa.array(chance), pa.array(chance >= least)],
                 names=["key", "row", "expected_grade", "tail_probability", "kept"],
             )
 
@@ -259,18 +281,17 @@ def grade_documents(
     return rows.mapInArrow(rate, "key bigint, row bigint, expected_grade double, tail_probability double, kept boolean")
 
 
-def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5, grade: int = 1) -> DataFrame:
-    """The rows of ``docs`` with probability ``least`` or more of ``grade`` or better, with all their columns."""
+def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5, grade: int | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``grade_documents`` keeps, with all their columns, whatever these are called. Null and empty
+    texts are rated by the thresholds alone, rows that repeat alike; an empty table stays empty."""
     names = docs.columns
     kept = [f"c{i}" for i in range(len(names))]
     at = names.index(text)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, kept[at]):
-            chance = model.tails(model.scores(batch.column(at)))[:, grade - 1]
+            chance = model.tails(model.scores(batch.column(at)))[:, -1 if grade is None else grade - 1]
             yield batch.filter(pa.array(chance >= least))
 
     plain = docs.toDF(*kept)
     return plain.mapInArrow(choose, plain.schema).toDF(*names)
-
-

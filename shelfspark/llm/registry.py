@@ -129,9 +129,9 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> quality_model.
 
 
 def op10_quality_grade(spark: SparkSession, folder: str) -> DataFrame:
-    """Expected grade of every document and whether it is accepted: of quality and without a sign of toxicity."""
+    """Expected grade of every document and whether it is accepted: more likely than not of quality and not toxic."""
     docs = table(spark, folder, "documents")
-    found = quality_model.grade_documents(docs, quality(spark, docs, folder), clean=True)
+    found = quality_model.grade_documents(docs, quality(spark, docs, folder))
     return found.select(F.col("key").alias("doc_id"), "expected_grade", "tail_probability", "kept")
 
 

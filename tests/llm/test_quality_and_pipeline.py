@@ -25,7 +25,7 @@ def test_held_out_accuracy(spark):
     test = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     model = quality_model.fit(docs, rated.filter(~test))
     assert (np.diff(model.thresholds) > 0).all()
-    found = quality_model.grade_documents(docs, model).join(rated.filter(test).withColumnRenamed("doc_id", "key"), "key").collect()
+    found = quality_model.grade_documents(docs, model, grade=1).join(rated.filter(test).withColumnRenamed("doc_id", "key"), "key").collect()
     assert len(found) > 100
     assert np.mean([r.kept == (r.grade > 0) for r in found]) >= 0.95
     means = [np.mean([r.expected_grade for r in found if r.grade == g]) for g in (0, 1, 2)]
@@ -40,7 +40,7 @@ def test_toxic_documents_go_and_clean_ones_stay(spark):
     test = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     model = quality_model.fit(docs, rated.filter(~test))
     held_out = docs.join(rated.filter(test), "doc_id")
-    found = quality_model.grade_documents(held_out, model, clean=True).withColumnRenamed("key", "doc_id").join(rated, "doc_id").collect()
+    found = quality_model.grade_documents(held_out, model).withColumnRenamed("key", "doc_id").join(rated, "doc_id").collect()
     shares = [np.mean([r.kept for r in found if r.grade == g]) for g in (1, 2)]
     assert len(found) > 1000 and shares[0] <= 0.2 and shares[1] >= 0.98
     query = registry.QUERIES["op10_quality_grade"](spark, folder).join(rated, "doc_id").collect()
@@ -93,6 +93,66 @@ def test_fit_reads_one_row_of_a_repeated_key(spark, monkeypatch):
     assert (a.weights == b.weights).all() and (a.thresholds == b.thresholds).all()
 
 
+def likelihood(score, theta, grades):
+    tails = np.concatenate((np.ones((len(score), 1)), 1 / (1 + np.exp(-(score[:, None] - theta))), np.zeros((len(score), 1))), axis=1)
+    each = np.arange(len(score))
+    return np.log(tails[each, grades] - tails[each, grades + 1]).mean()
+
+
+def test_fit_reaches_the_best_likelihood():
+    """On three features: no nearby weights or thresholds are likelier, and tails are those of the cumulative link."""
+    rng = np.random.default_rng(0)
+    rows, features = 400, 3
+    x = rng.normal(0, 1, (rows, features))
+    truth = x @ np.array([1.5, -1.0, 0.0]) + rng.logistic(0, 1, rows)
+    grades = np.digitize(truth, [-0.5, 1.0])
+    owner, slot = np.repeat(np.arange(rows), features), np.tile(np.arange(features), rows)
+    model = quality_model.fit_ordinal(owner, slot, x.ravel(), grades, 3)
+    own, theta = model.weights[:features].astype(float), model.thresholds
+
+    def goal(w, t):
+        return likelihood(x @ w, t, grades) - quality_model.SHRINK * (w**2).sum() / 2
+
+    best = goal(own, theta)
+    for step in (0.1, -0.1):
+        for i in range(features):
+            assert goal(own + step * (np.arange(features) == i), theta) < best
+        for i in range(2):
+            assert goal(own, theta + step * (np.arange(2) == i)) < best
+    scores = np.array([-3.0, 0.0, 2.5])
+    assert model.tails(scores) == pytest.approx(1 / (1 + np.exp(-(scores[:, None] - theta[None, :]))))
+
+
+def test_fit_is_bounded_in_bytes(spark, monkeypatch):
+    ship(spark)
+    docs = spark.createDataFrame([(i, "word " * 100) for i in range(40)], "doc_id bigint, text string")
+    rated = docs.selectExpr("doc_id", "cast(doc_id % 3 AS int) AS grade")
+    seen = []
+    plain = quality_model.fit_ordinal
+    monkeypatch.setattr(quality_model, "fit_ordinal", lambda *a: seen.append(len(a[3])) or plain(*a))
+    for size in (1, 2500, 1 << 20):
+        quality_model.fit(docs, rated, sample_bytes=size)
+    assert seen == [1, 5, 40]
+
+
+def test_pipeline_of_odd_tables(spark, odd, nothing, tmp_path):
+    """Null and empty texts, repeated rows, an empty table; labels of a few rows."""
+    from shelfspark.session import settle
+
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0), (2, 1, 0), (3, 1, 1)], "doc_id bigint, quality int, toxic int")
+    for i, frame in enumerate((odd, nothing)):
+        folder = str(tmp_path / str(i))
+        frame.select(*columns).write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = settle(stage(spark, docs, folder), "odd")
+            assert docs.columns == columns
+        assert corpus_pipeline.run(spark, folder).count() == docs.count()
+        assert docs.isEmpty() == (i == 1)
+
+
 def test_pipeline_by_force(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
@@ -104,8 +164,11 @@ def test_pipeline_by_force(spark, small):
     for frame in frames[1:-1]:
         assert frame.columns == docs.columns
     ids = [[r.doc_id for r in f.select("doc_id").collect()] for f in frames]
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
-    assert all(k in set(ids[1]) for k, q in labels.items() if q == 1) and not any(k in set(ids[1]) for k, q in labels.items() if q == 0)
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    kept = {k: k in set(ids[1]) for k in labels}
+    assert all(kept[k] for k, r in labels.items() if r.quality == 1 and not r.toxic)
+    assert not any(kept[k] for k, r in labels.items() if r.quality == 0)
+    assert np.mean([kept[k] for k, r in labels.items() if r.quality == 1 and r.toxic] or [0]) <= 0.2
     rows = [(k, texts[k]) for k in ids[1]]
     assert sorted(ids[2]) == sorted(int(w[0]) for w in copies_by_force(rows) if w[3])
     rows = [(k, texts[k]) for k in ids[2]]
@@ -139,5 +202,5 @@ def test_query_equals_sql(spark, small, name):
 
 
 def test_all_are_registered():
-    assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert len(corpus_pipeline.STAGES) == 5
