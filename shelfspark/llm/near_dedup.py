@@ -29,13 +29,15 @@ BANDS, BAND_ROWS = 20, 4
 STAR_ROUNDS = 2
 #: A shingle of at most so many nodes that are still apart is looked up pair by pair; this sets the work, not the result.
 FEW = 8
+#: Bytes of text that are cut into shingles at a time; the arrays that this takes are some fifty times as large.
+CUT_BYTES = 1 << 20
 
 
 def signature_table(docs: DataFrame, key: str, text: str, words: int, bands: int, band_rows: int) -> DataFrame:
     """Per row ``key``, ``row`` (position in the scan), ``node`` (digest of the words) and ``bands``, empty without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", CUT_BYTES):
             hashes, counts, offsets, digests = shingles(batch.column("text"), words)
             keys = band_keys(signatures(hashes, weights(counts), offsets, bands * band_rows), bands)
             some = np.diff(offsets) > 0
@@ -55,7 +57,7 @@ def _shingle_table(docs: DataFrame, wanted: DataFrame, text: str, words: int) ->
     of shingles, the sum and the largest of the weights."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", CUT_BYTES):
             hashes, counts, offsets, _ = shingles(batch.column("text"), words)
             own = weights(counts).astype(np.float32)
             pairs = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))

@@ -37,6 +37,8 @@ SCALE = 30.0
 OUTWEIGH, ADDED = 3, 2.0
 #: Behind the weights of words and shapes stand that of bearing a sign, and that of words that repeat the one before them.
 SIGN, REPEAT = WEIGHTS, WEIGHTS + 1
+#: Bytes of text that are read at a time.
+READ_BYTES = 1 << 20
 #: First letters of a word that are a sign beside the whole word, for inflected words.
 STEM = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -208,7 +210,7 @@ def fit(
     rows = rows.join(F.broadcast(begun.filter(F.col("begun") < sample_bytes).select("key")), "key")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", READ_BYTES):
             names, index, offsets = _words(batch.column("text"))
             slots = _slots(names)
             hashed, holder = _signs(names)
@@ -269,7 +271,7 @@ def grade_documents(
     """
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", READ_BYTES):
             tails = model.tails(model.scores(batch.column("text")))
             chance = tails[:, -1 if grade is None else grade - 1]
             yield pa.RecordBatch.from_arrays(
@@ -289,7 +291,7 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0
     at = names.index(text)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, kept[at]):
+        for batch in slices(batches, kept[at], READ_BYTES):
             chance = model.tails(model.scores(batch.column(at)))[:, -1 if grade is None else grade - 1]
             yield batch.filter(pa.array(chance >= least))
 
