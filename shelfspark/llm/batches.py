@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES
     pa.default_memory_pool().release_unused()
 
 
+def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; when the task ends, memory that its arrays have left free goes back to the system. Python workers serve
+    one task after another, and the C library would keep it."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunked(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Cut every text before each run of white space that follows other characters.
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.batches import slices
+from shelfspark.llm.batches import given_back, slices
 from shelfspark.llm.frames import fresh, named
 from shelfspark.llm.shingles import band_keys, probability_jaccard, shingles, signatures, weights
 from shelfspark.session import settle
@@ -37,7 +37,7 @@ def signature_table(docs: DataFrame, key: str, text: str, words: int, bands: int
     """Per row ``key``, ``row`` (position in the scan), ``node`` (digest of the words) and ``bands``, empty without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", CUT_BYTES):
+        for batch in given_back(slices(batches, "text", CUT_BYTES)):
             hashes, counts, offsets, digests = shingles(batch.column("text"), words)
             keys = band_keys(signatures(hashes, weights(counts), offsets, bands * band_rows), bands)
             some = np.diff(offsets) > 0
@@ -57,7 +57,7 @@ def _shingle_table(docs: DataFrame, wanted: DataFrame, text: str, words: int) ->
     of shingles, the sum and the largest of the weights."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", CUT_BYTES):
+        for batch in given_back(slices(batches, "text", CUT_BYTES)):
             hashes, counts, offsets, _ = shingles(batch.column("text"), words)
             own = weights(counts).astype(np.float32)
             pairs = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
@@ -86,7 +86,7 @@ def _verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
     rest = [c for c in pairs.columns if c not in ("a", "b")]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in given_back(batches):
             columns = [batch.column(c) for c in ("shingles_a", "weights_a", "shingles_b", "weights_b")]
             keep = []
             for i in range(batch.num_rows):
@@ -109,7 +109,7 @@ def _differences(held: DataFrame) -> DataFrame:
     """Per row of ``held`` (``ref``, ``node``, ``label``, ``shingles``, ``ref_shingles``) the shingles that only one of the two has."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in given_back(batches):
             for ref, node, label, own, its in zip(*batch.columns, strict=True):
                 found = np.setxor1d(np.frombuffer(own.as_py(), "<i8"), np.frombuffer(its.as_py(), "<i8"), assume_unique=True)
                 same = [pa.array([x.as_py()] * len(found), pa.binary()) for x in (ref, node, label)]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfspark.llm.batches import per_text, slices, whole
+from shelfspark.llm.batches import given_back, per_text, slices, whole
 from shelfspark.llm.frames import named
 from shelfspark.session import settle
 
@@ -210,7 +210,7 @@ def fit(
     rows = rows.join(F.broadcast(begun.filter(F.col("begun") < sample_bytes).select("key")), "key")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", READ_BYTES):
+        for batch in given_back(slices(batches, "text", READ_BYTES)):
             names, index, offsets = _words(batch.column("text"))
             slots = _slots(names)
             hashed, holder = _signs(names)
@@ -271,7 +271,7 @@ def grade_documents(
     """
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", READ_BYTES):
+        for batch in given_back(slices(batches, "text", READ_BYTES)):
             tails = model.tails(model.scores(batch.column("text")))
             chance = tails[:, -1 if grade is None else grade - 1]
             yield pa.RecordBatch.from_arrays(
@@ -291,7 +291,7 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0
     at = names.index(text)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, kept[at], READ_BYTES):
+        for batch in given_back(slices(batches, kept[at], READ_BYTES)):
             chance = model.tails(model.scores(batch.column(at)))[:, -1 if grade is None else grade - 1]
             yield batch.filter(pa.array(chance >= least))
 
