@@ -31,8 +31,9 @@ def payload_digest(payload: Column) -> Column:
     return F.concat(*out)
 
 
-def _record_id(page: Column) -> Column:
-    digest = F.md5(F.concat(F.lit("page:"), F.coalesce(page.cast("string"), F.lit(""))))
+def _record_id(page: Column, digest: Column, size: Column) -> Column:
+    """Page numbers may repeat with other payloads, so the payload is part of a record's identity."""
+    digest = F.md5(F.concat_ws(":", F.lit("page"), F.coalesce(page.cast("string"), F.lit("")), digest, size.cast("string")))
     return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(digest, "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5"), F.lit(">"))
 
 
@@ -49,8 +50,10 @@ def write_archives(
 
     Of payloads (UTF-8, null: empty) of ``least`` bytes or more that are equal, the one with the smallest page number is
     a response and the others are revisit records that name it; shorter payloads are all responses. Rows that repeat
-    the smallest page number are responses each; a null number is never the smallest unless all are null. Only digests
-    are grouped; those that repeat are written as a small table first, so that a hot payload can be split.
+    the smallest page number are responses each; a null number is never the smallest unless all are null. A page number that
+    repeats with another payload is another record. Only digests are grouped; those that repeat are written as a small
+    table first, so that a hot payload can be split. An empty table writes no record; columns other than the three named are
+    not read, whatever their names; a payload is whole in one record, however long.
     """
     payload = F.coalesce(named(html), F.lit(""))
     rows = pages.select(
@@ -75,7 +78,7 @@ def write_archives(
     record = F.concat(
         F.lit(VERSION + END),
         header("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        header("WARC-Record-ID", _record_id(F.col("page"))),
+        header("WARC-Record-ID", _record_id(F.col("page"), F.col("digest"), F.col("bytes"))),
         header("WARC-Date", F.lit(date)),
         header("WARC-Target-URI", F.col("url")),
         header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
@@ -83,7 +86,7 @@ def write_archives(
             revisit,
             F.concat(
                 header("WARC-Profile", F.lit(PROFILE)),
-                header("WARC-Refers-To", _record_id(F.col("of"))),
+                header("WARC-Refers-To", _record_id(F.col("of"), F.col("digest"), F.col("bytes"))),
                 header("WARC-Refers-To-Target-URI", F.col("of_url")),
                 header("WARC-Refers-To-Date", F.lit(date)),
             ),
@@ -181,7 +184,7 @@ def resolved(found: DataFrame) -> DataFrame:
 
     ``found`` comes from ``read_archives`` and should be a written table: both sides of the join read it.
     """
-    # Rows that repeat the original's page number are equal responses, so one of them stands for all.
+    # Responses of one record id have the same page and payload, so one of them stands for all.
     of = found.filter("type = 'response'").groupBy("record").agg(F.first("page").alias("of"), F.first("bytes").alias("full"))
     of = settle(of, "responses")
     seen = found.join(of.withColumnRenamed("record", "refers_to"), "refers_to", "left")

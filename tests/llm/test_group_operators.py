@@ -79,6 +79,29 @@ def test_copies(odd, odd_rows, nothing, digest):
     assert exact_dedup.copies(nothing, digest=digest).collect() == []
 
 
+def test_copies_meet_in_their_partition_first(spark):
+    rows = spark.range(0, 4000, 1, 4).select("id", F.monotonically_increasing_id().alias("row"), F.lit(1).alias("size"))
+    rows = rows.select(F.col("id").alias("key"), "row", "size", F.lit("a").alias("content"), F.lit("d").alias("digest"))
+    combined = exact_dedup._combined(rows, 64)
+    assert [r.n for r in combined.collect()] == [4000]
+    plan = combined._jdf.queryExecution().executedPlan()
+    sent = []
+
+    def walk(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        if node.nodeName() == "Exchange":
+            sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    assert sent and max(sent) == 4
+
+
 def test_rows_without_copies(odd, odd_rows, nothing):
     got = exact_dedup.without_copies(odd)
     assert got.columns == odd.columns
@@ -111,6 +134,16 @@ def test_archives(spark, tmp_path):
     assert warc.read_archives(spark, str(tmp_path / "e")).collect() == []
 
 
+def test_archives_of_page_numbers_that_repeat(spark, tmp_path):
+    rows = [(6, "u", "aaaa"), (6, "u", "bb"), (7, "u", "aaaa"), (8, "u", "bb"), (9, "u", "bb")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    warc.write_archives(pages, str(tmp_path / "w"))
+    found = warc.resolved(warc.read_archives(spark, str(tmp_path / "w"), payloads=False)).collect()
+    assert sorted((r.page, r.bytes, r.refers_to) for r in found) == [(6, 2, None), (6, 4, None), (7, 4, 6), (8, 2, 6), (9, 2, 6)]
+    responses = [r.record for r in warc.read_archives(spark, str(tmp_path / "w")).filter("type = 'response'").collect()]
+    assert len(set(responses)) == 2
+
+
 def test_search(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=6).round(2).tolist()) for i in range(240)]
