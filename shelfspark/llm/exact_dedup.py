@@ -12,6 +12,8 @@ from shelfspark.llm.frames import fresh, named
 from shelfspark.session import settle
 
 SALTS = 64
+#: Bits of a row's position below the number of its partition.
+PARTITION_BITS = 33
 # The characters that do not count.
 BLANKS = " \t\n\v\f\r"
 
@@ -29,11 +31,11 @@ def sha256(content: Column) -> Column:
 
 
 def _combined(rows: DataFrame, salts: int) -> DataFrame:
-    """Per digest and content the best row and the number of rows. The first aggregation meets copies in each partition
-    before anything is moved, so a hot group sends one row from each."""
+    """Per digest and content the best row and the number of rows. The salt is the number of the row's partition, so the first
+    aggregation leaves one row of a content in each partition before anything is moved; those meet by salt, then globally."""
     # Larger is better: longest, smallest key (null is smaller than any complement), first row.
     best = F.struct("size", F.bitwise_not("key").alias("low_key"), F.bitwise_not("row").alias("low_row"))
-    salted = rows.groupBy("digest", "content", F.pmod(F.hash("row"), F.lit(salts)).alias("salt"))
+    salted = rows.groupBy("digest", "content", (F.shiftright("row", PARTITION_BITS) % salts).alias("salt"))
     merged = salted.agg(F.max(best).alias("best"), F.count("*").alias("n"))
     return merged.groupBy("digest", "content").agg(F.max("best").alias("best"), F.sum("n").alias("n"))
 
