@@ -34,8 +34,8 @@ from shelfspark.llm.frames import named
 
 #: Ids in a shard; a longer document is a shard of its own.
 SHARD_IDS = 1 << 20
-#: A pair that occurs less often in a shard is left alone.
-LEAST_PAIRS = 64
+#: A pair that occurs less often in a shard is left alone: pairs are replaced as long as one repeats.
+LEAST_PAIRS = 2
 #: Pairs replaced in a round, at most: pairs that share no symbol as left and right do not overlap.
 ROUND_PAIRS = 2048
 SYMBOLS = 1 << 16
@@ -49,29 +49,43 @@ SCHEMA = (
 
 
 class Grammar:
-    """Symbols with the rules they are made of; symbols below ``first`` are ids."""
+    """Symbols with the rules they are made of; symbols below ``first`` are ids. ``lengths`` are the stored numbers of ids in the
+    expansions of the rules."""
 
-    def __init__(self, first: int, rules: np.ndarray, symbols: np.ndarray):
-        self.first, self.rules, self.symbols = first, rules.reshape(-1, 2), symbols
-        self.lengths = np.ones(first + len(self.rules), np.int64)
-        for k, (a, b) in enumerate(self.rules.tolist(), first):
-            self.lengths[k] = self.lengths[a] + self.lengths[b]
+    def __init__(self, first: int, rules: np.ndarray, symbols: np.ndarray, lengths: np.ndarray):
+        self.first, self.rules, self.symbols = first, rules.reshape(-1, 2).astype(np.int64), symbols
+        self.lengths = np.concatenate((np.ones(first, np.int64), lengths.astype(np.int64)))
         self._spelt: tuple[np.ndarray, np.ndarray] | None = None
 
     def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of every symbol one after another, and where each symbol's begin."""
-        if self._spelt:
-            return self._spelt
-        begins = np.cumsum(self.lengths) - self.lengths
-        flat = np.empty(int(self.lengths.sum()), np.int32)
-        flat[: self.first] = np.arange(self.first)
-        for k, (a, b) in enumerate(self.rules.tolist(), self.first):
-            at, mid = begins[k], begins[k] + self.lengths[a]
-            flat[at:mid] = flat[begins[a] : begins[a] + self.lengths[a]]
-            flat[mid : mid + self.lengths[b]] = flat[begins[b] : begins[b] + self.lengths[b]]
-        self._spelt = flat, begins
+        """The ids of every symbol one after another, and where each symbol's begin. All rules are opened at once, a level
+        at a time: what a rule stands for is read off its two symbols until only ids are left."""
+        if self._spelt is None:
+            flat = self._open(np.arange(len(self.lengths)))
+            self._spelt = flat, np.cumsum(self.lengths) - self.lengths
         return self._spelt
 
+    def _open(self, part: np.ndarray, start: int = 0, stop: int | None = None) -> np.ndarray:
+        """Ids ``start`` to ``stop`` of a row of symbols. Before each level symbols outside of them are let go, so rules are
+        only opened where they hold wanted ids."""
+        wanted = None if stop is None else stop - start
+        while True:
+            if wanted is not None:
+                ends = np.cumsum(self.lengths[part])
+                a, b = np.searchsorted(ends, [start, start + max(wanted, 1) - 1], side="right")
+                start -= int(ends[a - 1]) if a else 0
+                part = part[a : b + 1]
+            rule = part >= self.first
+            if not rule.any():
+                return part.astype(np.int32) if wanted is None else part[start : start + wanted].astype(np.int32)
+            size = 1 + rule
+            at = np.cumsum(size) - size
+            opened = np.empty(int(size.sum()), np.int64)
+            opened[at[~rule]] = part[~rule]
+            pairs = self.rules[part[rule] - self.first]
+            opened[at[rule]], opened[at[rule] + 1] = pairs[:, 0], pairs[:, 1]
+            part = opened
+
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """The ids that the symbols from ``start`` to ``stop`` stand for."""
         part = self.symbols[start:stop].astype(np.int64)
@@ -81,12 +95,19 @@ class Grammar:
         return flat[shift + np.arange(len(shift))]
 
     def slice(self, start: int, stop: int, first_symbol: int = 0, last_symbol: int | None = None) -> np.ndarray:
-        """Ids ``start`` to ``stop`` of those symbols: only the symbols that hold them are expanded."""
-        ends = np.cumsum(self.lengths[self.symbols[first_symbol:last_symbol]])
-        a, b = np.searchsorted(ends, [start, max(start, stop - 1)], side="right")
-        skipped = int(ends[a - 1]) if a else 0
-        found = self.ids(first_symbol + int(a), min(first_symbol + int(b) + 1, first_symbol + len(ends)))
-        return found[start - skipped : max(start, stop) - skipped]
+        """Ids ``start`` to ``stop`` of those symbols."""
+        part = self.symbols[first_symbol:last_symbol].astype(np.int64)
+        return self._open(part, start, max(start, min(stop, int(self.lengths[part].sum()))))
+
+
+def rule_lengths(first: int, rules: np.ndarray) -> np.ndarray:
+    """Ids in the expansion of each rule: a level of rules at a time, those whose symbols are known."""
+    lengths = np.concatenate((np.ones(first, np.int64), np.zeros(len(rules), np.int64)))
+    pairs = rules.reshape(-1, 2).astype(np.int64)
+    while (open_ := np.flatnonzero(lengths[first:] == 0)).size:
+        left, right = lengths[pairs[open_, 0]], lengths[pairs[open_, 1]]
+        lengths[first + open_] = np.where((left > 0) & (right > 0), left + right, 0)
+    return lengths[first:]
 
 
 def compress(ids: np.ndarray, last: np.ndarray, first: int, least: int = LEAST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,7 +223,7 @@ class _Shards:
         last = np.zeros(len(ids), bool)
         last[np.cumsum(self.counts) - 1] = True
         symbols, last, rules = compress(ids, last, self.first)
-        lengths = Grammar(self.first, rules, symbols).lengths[self.first :]
+        lengths = rule_lengths(self.first, rules)
         values = {
             "part": self.part,
             "shard": self.shard,
@@ -227,7 +248,8 @@ def write_tokens(
     """Encode every text, append ``end_id`` and write the shards below ``path``.
 
     Documents lie in ascending order of their whole-number keys, null first; rows that repeat with their key
-    lie side by side. Null and empty texts are the end id alone. An empty table writes no shard.
+    lie side by side. Null and empty texts are the end id alone. An empty table writes no shard. A text of more ids than a
+    shard is a shard of its own; other columns are not read, whatever their names.
     ``tokenizer`` is a file that every executor has and ``pattern`` the one it cuts texts by; its vocabulary must leave
     16-bit symbols free.
     """
@@ -253,13 +275,16 @@ def write_tokens(
             yield shards.row()
         own.forget()
 
-    rows = docs.select(named(key).cast("bigint").alias("key"), named(text).alias("text"))
-    rows.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(encode, SCHEMA).write.parquet(path)
+    # The position splits the rows of a key that repeats often over several ranges.
+    place = F.monotonically_increasing_id().alias("place")
+    rows = docs.select(named(key).cast("bigint").alias("key"), place, named(text).alias("text"))
+    ranged = rows.repartitionByRange("key", "place").sortWithinPartitions("key", "place")
+    ranged.select("key", "text").mapInArrow(encode, SCHEMA).write.parquet(path)
 
 
 def grammar(row: dict) -> Grammar:
-    rules = np.frombuffer(row["rules"], "<u2").reshape(-1, 2)
-    return Grammar(row["first_rule"], rules, np.frombuffer(row["symbols"], "<u2"))
+    parts = (np.frombuffer(row[name], kind) for name, kind in (("rules", "<u2"), ("symbols", "<u2"), ("lengths", "<u4")))
+    return Grammar(row["first_rule"], *parts)
 
 
 def shard_documents(row: dict) -> Iterator[tuple[int | None, np.ndarray]]:

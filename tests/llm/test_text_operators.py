@@ -133,7 +133,7 @@ def test_byte_bpe_round_trip(spark, odd, odd_rows, nothing):
     assert byte_bpe.round_trip(nothing, registry.RANKS, P.PATTERN).collect() == []
 
 
-@pytest.mark.parametrize("least", [2, 5])
+@pytest.mark.parametrize("least", [token_files.LEAST_PAIRS, 5])
 def test_grammar_gives_the_ids_back(least):
     rng = np.random.default_rng(2)
     ids = np.concatenate([np.tile([7, 7, 7, 8], 300), rng.integers(0, 9, 5000), np.full(64, 3)]).astype(np.int32)
@@ -141,7 +141,17 @@ def test_grammar_gives_the_ids_back(least):
     last[rng.choice(len(ids), 60, replace=False)] = True
     last[-1] = True
     symbols, ends, rules = token_files.compress(ids, last.copy(), 10, least)
-    grammar = token_files.Grammar(10, rules, symbols)
+    lengths = token_files.rule_lengths(10, rules)
+    sizes = [1] * 10
+    for a, b in rules.tolist():
+        sizes.append(sizes[a] + sizes[b])
+    assert lengths.tolist() == sizes[10:]
+    grammar = token_files.Grammar(10, rules, symbols, lengths)
+    for a, b in [(0, 0), (0, 1), (17, 90), (1199, 1203), (5000, 10**6)]:
+        assert grammar.slice(a, b).tolist() == ids[a:b].tolist()
+    if least == 2:  # no pair repeats within documents, but where neighbours are equal
+        pairs = [(a, b) for a, b, e in zip(symbols.tolist(), symbols.tolist()[1:], ends.tolist(), strict=False) if not e and a != b]
+        assert len(pairs) == len(set(pairs))
     assert (grammar.ids() == ids).all() and len(symbols) < len(ids) / 2
     stops = np.flatnonzero(ends) + 1
     assert (np.cumsum([grammar.lengths[symbols[a:b]].sum() for a, b in zip([0, *stops[:-1]], stops, strict=True)]) == np.flatnonzero(last) + 1).all()
