@@ -5,8 +5,9 @@ and by a shorter prefix: a token may follow another just when the two, encoded t
 as they are. So a state needs the last token, and the number of tokens since, at each place
 where a piece that is still growing may have begun. Each transition carries the change of the count.
 States are compiled when a text first reaches them. Where no piece holds two neighbouring characters, the text falls
-apart; every space after another character is such a place, which makes words the chunks:
-a chunk maps an entry state to an exit state and a count, and the entry states come from a prefix scan.
+apart. A text is cut before its spaces: a chunk maps an entry state to an exit state and a count. The maps of a slice's
+chunks, each over all entry states that can occur, are composed in a parallel prefix scan, which gives every chunk its entry
+state and so its count. Chunks that leave the first state, whatever they were entered in, are constant maps.
 """
 
 from __future__ import annotations
@@ -103,48 +104,93 @@ class Transducer:
             count += added
         return state, count
 
-    def known(self, entry: int, chunk: str) -> int:
-        """Tokens that the chunk adds; its map is kept."""
+    def known(self, entry: int, chunk: str) -> tuple[int, int]:
+        """The chunk's map at one entry state: the state that the next chunk is entered in, and the tokens added. It is kept."""
         found = self.chunks.get((entry, chunk))
         if found is None:
             if len(self.chunks) >= KEPT_CHUNKS:
                 self.chunks.clear()
-            found = self.chunks[entry, chunk] = self.chunk(entry, chunk)
-        return found[1]
+            state, added = self.chunk(entry, chunk)
+            seen = self.states[state][0]
+            found = self.chunks[entry, chunk] = state if seen and seen[-1] + SPACE in self.neighbours else 0, added
+        return found
+
+    def _maps(self, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entry states that can occur, first state first; a map over their numbers per kind of chunk, the constant one
+        first; and the number of each chunk's map."""
+        own = [k for k, n in enumerate(names) if not n or n[-1] + SPACE in self.neighbours]
+        entries, exits = [0], []
+        number = {0: 0}
+        for entry in entries:  # grows
+            exits.append([])
+            for k in own:
+                state = self.known(entry, SPACE + names[k])[0]
+                if state not in number:
+                    number[state] = len(entries)
+                    entries.append(state)
+                exits[-1].append(number[state])
+        kinds = np.zeros(len(names), np.int64)
+        kinds[own] = np.arange(1, len(own) + 1)
+        maps = np.vstack((np.zeros((1, len(entries)), np.int64), np.array(exits, np.int64).reshape(len(entries), len(own)).T))
+        return np.array(entries, np.int64), maps, kinds
 
     def counts(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text."""
         if len(self.states) > KEPT_STATES:
             self._forget()
-        if self.joins:
-            return np.array([self.chunk(0, SPACE + t.replace(" ", SPACE))[1] if t else 0 for t in texts.to_pylist()], np.int64)
         spaced = pc.replace_substring(texts, SPACE, " ")
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        if self.joins:  # most chunks differ by what they are entered in, so their maps are applied one after another
+            return np.where(empty, 0, np.array([self._folded(t) for t in spaced.to_pylist()], np.int64))
         words = pc.split_pattern(spaced, " ")
         offsets = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
         names, index = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         offsets = offsets - offsets[0]
-        # A word begins with its space. The space after a word is a place where the text falls apart, so a word is entered
-        # in the first state, but after n words without characters in the state after n spaces. The scan gives n.
-        place = np.arange(len(index))
-        blank = np.array([not n for n in names], bool)[index]
-        reset = np.zeros(len(index), bool)
-        reset[offsets[:-1]] = True
-        reset[1:] |= ~blank[:-1]
-        spaces = place - np.maximum.accumulate(np.where(reset, place, 0))
-        pair, where = np.unique(spaces * len(names) + index, return_inverse=True)
-        states = {0: 0}
-        value = np.empty(len(pair), np.int64)
-        for k, (n, word) in enumerate(zip(*(x.tolist() for x in np.divmod(pair, len(names))), strict=True)):
-            if n not in states:
-                last = max(m for m in states if m < n)
-                state = states[last]
-                for _ in range(n - last):
-                    state = self.chunk(state, SPACE)[0]
-                states[n] = state
-            value[k] = self.known(states[n], SPACE + names[word])
-        count = per_text(value[where], offsets)
-        return np.where(pc.equal(texts, "").to_numpy(zero_copy_only=False), 0, count)
+        entries, maps, kinds = self._maps(names)
+        before = np.zeros(len(index), np.int64)
+        before[1:] = kinds[index[:-1]]
+        before[offsets[:-1]] = 0  # a text is entered in the first state
+        entry = scanned(maps, before)
+        pair, where = np.unique(entry * len(names) + index, return_inverse=True)
+        at, word = np.divmod(pair, len(names))
+        value = [self.known(e, SPACE + names[w])[1] for e, w in zip(entries[at].tolist(), word.tolist(), strict=True)]
+        return np.where(empty, 0, per_text(np.array(value, np.int64)[where], offsets))
+
+    def _folded(self, text: str) -> int:
+        state = count = 0
+        for word in text.split(" "):
+            state, added = self.known(state, SPACE + word)
+            count += added
+        return count
+
+
+def scanned(maps: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where the composition of all maps up to each position leads, given the number of each position's map.
+
+    ``maps`` has a row per map, of which row 0 is the constant 0 and must be the first position's. Rounds compose the maps of
+    twice as many positions each; equal compositions have one number and are composed once, and constant ones are done.
+    """
+    rows = [tuple(m) for m in maps.tolist()]
+    number = {}
+    own = np.array([number.setdefault(m, len(number)) for m in rows], np.int64)
+    rows = list(number)
+    prefix, reach = own[kinds], 1
+    constant = np.array([len(set(m)) == 1 for m in rows], bool)
+    live = np.flatnonzero(~constant[prefix])
+    while len(live):
+        pairs, where = np.unique(prefix[live - reach] << 32 | prefix[live], return_inverse=True)
+        found = []
+        for first, then in zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist(), strict=True):
+            composed = tuple(rows[then][e] for e in rows[first])
+            if composed not in number:
+                number[composed] = len(rows)
+                rows.append(composed)
+            found.append(number[composed])
+        prefix[live] = np.array(found, np.int64)[where]
+        constant = np.array([len(set(m)) == 1 for m in rows], bool)
+        live, reach = live[~constant[prefix[live]]], 2 * reach
+    return np.array([m[0] for m in rows], np.int64)[prefix]
 
 
 @lru_cache(maxsize=2)
@@ -160,8 +206,9 @@ def transducer(model: str) -> Transducer:
 def count_tokens(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", limit: int = 4096) -> DataFrame:
     """One row per document: ``key``, ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit``.
 
-    Null and empty texts have 0 bytes and tokens; repeated rows are counted each; other columns are not read.
-    ``model`` is a path that every executor has.
+    Null and empty texts have 0 bytes and tokens; repeated rows are counted each; other columns are not read, whatever their
+    names; an empty table gives no rows. A text longer than a slice is a slice of its own. ``model`` is a path that every
+    executor has.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -188,3 +188,25 @@ def test_pieces_that_join_words_are_counted():
     texts = ["a b", "ab a b  a", "", " ", "a a ba  b", "b a"]
     expected = [len(own._merged("▁" + t.replace(" ", "▁"))) if t else 0 for t in texts]
     assert own.counts(pa.array(texts, pa.large_string())).tolist() == expected
+
+
+def test_scan_composes_maps():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 7):
+        maps = np.vstack((np.zeros((1, size), np.int64), np.arange(size)[None], rng.integers(0, size, (6, size))))
+        kinds = rng.choice(len(maps), 3000, p=[0.01, 0.49, *[0.5 / 6] * 6])
+        kinds[0], state, want = 0, 0, []
+        for k in kinds.tolist():
+            state = int(maps[k][state])
+            want.append(state)
+        assert token_counts.scanned(maps, kinds).tolist() == want
+    assert token_counts.scanned(np.zeros((1, 1), np.int64), np.zeros(0, np.int64)).tolist() == []
+
+
+def test_runs_of_spaces_are_counted():
+    library = sentencepiece.SentencePieceProcessor(model_file=registry.PIECES)
+    own = token_counts.transducer(registry.PIECES)
+    texts = [" " * n + end for n in [*range(70), 1000, 4097] for end in ("", "a", "a" + " " * n + "b ")]
+    assert own.counts(pa.array(texts, pa.large_string())).tolist() == [len(library.encode(t)) for t in texts]
+    words = pa.array(["x" + " " * 300_000 + "y"], pa.large_string())
+    assert own.counts(words).tolist() == [len(library.encode(words[0].as_py()))]
