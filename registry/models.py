@@ -10,7 +10,7 @@ from registry.common import digest, digest_sql, inputs, load, tidy, with_ctes
 from registry.panel import COMPLETE_SQL, ENC_CTES
 from shelfspark import contract as C
 from shelfspark.functions import scores as S
-from shelfspark.operators import anomaly, boosting, scoring, series, smoothing, states
+from shelfspark.operators import anomaly, boosting, scoring, series, smoothing, states, theta
 from shelfspark.plans import challenge, training
 from shelfspark.session import scratch_path, settle
 from shelfspark.sources.trade_panel import SPLITS
@@ -197,6 +197,58 @@ def t06(spark, folder):
     return smoothing.model_folds(_series(spark, folder), VAL_END, (smoothing.THETA,))
 
 
+# The line and the indices by SQL's own aggregates, the level of every (series, parameter set) pair day by day.
+THETA_SQL = f""", rows AS (SELECT unique_id, y, date_diff('day', date '2001-10-06', ds) AS t, row_number() OVER own AS i,
+  avg(y) OVER (PARTITION BY unique_id) AS mean, avg(y) OVER (PARTITION BY unique_id, isodow(ds)) AS weekday
+  FROM series WINDOW own AS (PARTITION BY unique_id ORDER BY ds)),
+ factors AS (SELECT *, weekday / mean AS factor FROM rows),
+ numbered AS (SELECT unique_id, i, t, factor, y / factor AS x FROM factors),
+ line AS (SELECT unique_id, regr_slope(x, t) AS b, regr_intercept(x, t) AS a FROM numbered GROUP BY unique_id),
+ sets(nth, alpha, theta) AS (VALUES {", ".join(str((i, *row)) for i, row in enumerate(theta.GRID))}),
+ fold AS (SELECT unique_id, nth, i, s.theta::double * x + (1 - s.theta::double) * (a + b * t) AS level, 0.0::double AS sse
+  FROM numbered JOIN line USING (unique_id), sets s WHERE i = 1
+  UNION ALL
+  SELECT f.unique_id, f.nth, n.i, s.alpha::double * (s.theta::double * n.x + (1 - s.theta::double) * (a + b * n.t)) + (1 - s.alpha::double) * f.level,
+  f.sse + (n.x - f.level / s.theta::double - (1 - 1 / s.theta::double) * (a + b * n.t)) ^ 2
+  FROM fold f JOIN sets s ON s.nth = f.nth JOIN numbered n ON n.unique_id = f.unique_id AND n.i = f.i + 1
+  JOIN line l ON l.unique_id = f.unique_id),
+ best AS (SELECT * FROM fold JOIN sets USING (nth) JOIN line USING (unique_id) WHERE i = (SELECT max(i) FROM numbered)
+  QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY sse, nth) = 1)"""
+
+
+def _theta_sql(body: str) -> str:
+    return with_ctes(THETA_SQL + body, "series", coarse=True).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register(
+    "t06_theta_states",
+    _theta_sql(
+        """ SELECT unique_id, i AS n, alpha::double AS alpha, theta::double AS theta, round(level, 6) AS level, round(a, 6) AS intercept,
+ round(b, 8) AS slope, round(sse, 2) AS sse FROM best"""
+    ),
+)
+def t06_states(spark, folder):
+    """Theta lines of all series, with the best of four parameter sets."""
+    found = theta.fit_theta(_series(spark, folder, "region"), VAL_END)
+    digits = {"level": 6, "intercept": 6, "slope": 8, "sse": 2}
+    return found.select("unique_id", F.col("n").cast("bigint").alias("n"), "alpha", "theta", *(F.round(c, k).alias(c) for c, k in digits.items()))
+
+
+@register(
+    "t06_theta_forecasts",
+    _theta_sql(
+        """ SELECT b.unique_id, date '2001-10-06' + k::int AS ds,
+ round((level / theta::double + (1 - 1 / theta::double) * (a + b * k)) * f.factor, 6) AS yhat
+ FROM (SELECT *, unnest(range(1, 30)) AS k FROM best) b JOIN (SELECT DISTINCT unique_id, ((t % 7) + 7) % 7 AS phase, factor FROM factors) f
+ ON f.unique_id = b.unique_id AND f.phase = k % 7"""
+    ),
+)
+def t06_forecasts(spark, folder):
+    """Forecasts of the holdout days from the theta lines as they were written and read again."""
+    fitted = settle(theta.fit_theta(_series(spark, folder, "region"), VAL_END), "theta")
+    return tidy(theta.forecast_theta(fitted, VAL_END, SPLITS.holdout_days))
+
+
 LAG_BASELINE_SQL = f"""SELECT 'SeasonalNaive' AS model, replenishment_signal AS y, replenishment_signal_lag_7d AS yhat
  FROM ({COMPLETE_SQL}) WHERE split = 'VAL'"""
 

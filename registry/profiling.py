@@ -9,7 +9,7 @@ from shelfspark import contract as C
 from shelfspark.operators import audit, charts, columns, overview, profile, quality, readiness, sketches
 from shelfspark.plans import exploration, training
 from shelfspark.session import scratch_path, settle
-from shelfspark.sources.documents import flatten, read_metrics, write_metrics
+from shelfspark.sources.documents import flatten, read_draft, read_metrics, write_metrics
 from shelfspark.sources.trade_panel import SPLITS
 
 QUERIES, ORACLE = {}, {}
@@ -968,3 +968,99 @@ def a01(spark, folder):
     rows = F.array(*[F.struct(F.lit(n).alias("fact"), F.lit(p).alias("path")) for n, p in names])
     claims = total.select("claimed", F.inline(rows)).withColumn("digits", F.lit(2))
     return tidy(audit.reconcile(claims, _payment_metrics(spark, folder)), 2)
+
+
+# What a writer would say of each fact, in their order; the cash share is misquoted and the sparsity left out.
+SENTENCES = (
+    "The transactions table holds {} rows,",
+    "its stores match the store table to {} percent",
+    "with {} orphans.",
+    "Of all cells {} percent are null;",
+    "{} rows are exact copies.",
+    "Sales come to {} MXN,",
+    "of which cash makes {} percent",
+    "and cards {} percent.",
+    "A promotion lifts sales by {} percent.",
+    None,
+)
+MISQUOTED = "cash share"
+
+
+def _draft(metrics):
+    """Lines of a draft that quotes the document, numbers with separators for thousands."""
+    lines = [(path, digits, line, 1.5 if fact == MISQUOTED else 0.0) for (fact, path, digits), line in zip(audit.FACTS, SENTENCES, strict=True) if line]
+    rows = F.array(*[F.struct(*map(F.lit, row)) for row in lines])
+    said = metrics.sparkSession.range(1).select(F.inline(rows).alias("path", "digits", "line", "off"))
+    number = F.col("value") + F.col("off")
+    quoted = F.when(F.col("digits") == 0, F.format_number(number, 0)).when(F.col("digits") == 2, F.format_number(number, 2))
+    return said.join(metrics, "path").select(F.replace("line", F.lit("{}"), quoted.otherwise(F.format_number(number, 4))).alias("line"))
+
+
+AUDIT_SQL = """, sold AS (SELECT count(f) AS listed, count(*) FILTER (WHERE s IS NULL) AS orphans, count(f) FILTER (WHERE s IS NOT NULL) AS both_sides,
+  count(s) AS known FROM (SELECT DISTINCT store_id AS f FROM facts) FULL JOIN (SELECT DISTINCT store_id AS s FROM stores) ON f = s),
+ money AS (SELECT sum(amount_total::decimal(18,2))::double AS total, sum(amount_cash::decimal(18,2))::double AS cash,
+  sum(amount_card::decimal(18,2))::double AS card, count(*) AS n, sum(NULLS)::double AS gaps,
+  count(DISTINCT store_id) * count(DISTINCT category) * count(DISTINCT date) AS cells,
+  round(avg(amount_total) FILTER (WHERE has_promotion = 1), 2) AS promoted, round(avg(amount_total) FILTER (WHERE has_promotion = 0), 2) AS plain
+  FROM (SELECT *, NULL_SUM AS NULLS FROM facts)),
+ copies AS (SELECT (SELECT count(*) FROM facts) - (SELECT count(*) FROM (SELECT DISTINCT * FROM facts)) AS n),
+ audited(fact, path, measured, status) AS (
+ SELECT 'row count', 'tables_overview.transactions.row_count', n::double, 'PASSED' FROM money
+ UNION ALL SELECT 'referential match', 'referential_integrity.referential_match_pct', both_sides / greatest(known, 1) * 100, 'PASSED' FROM sold
+ UNION ALL SELECT 'orphan stores', 'referential_integrity.orphan_stores', orphans::double, 'PASSED' FROM sold
+ UNION ALL SELECT 'global null share', 'missingness.transactions.global_null_percentage', gaps / (n * 13) * 100, 'PASSED' FROM money
+ UNION ALL SELECT 'exact duplicates', 'exact_duplicates.transactions.duplicate_rows', n::double, 'PASSED' FROM copies
+ UNION ALL SELECT 'total sales', 'cash_vs_card.total_amount', total, 'PASSED' FROM money
+ UNION ALL SELECT 'cash share', 'cash_vs_card.cash_amount_share_pct', cash / total * 100, 'FAILED' FROM money
+ UNION ALL SELECT 'card share', 'cash_vs_card.card_amount_share_pct', card / total * 100, 'PASSED' FROM money
+ UNION ALL SELECT 'promotion lift', 'promotion_impact.sales_lift_pct', (promoted - plain) / plain * 100, 'PASSED' FROM money
+ UNION ALL SELECT 'temporal sparsity', 'temporal_sparsity.sparsity_pct', (1 - n / cells) * 100, 'FAILED' FROM money)""".replace(
+    "NULL_SUM", " + ".join(f"({c} IS NULL)::int" for c in FACT_COLUMNS)
+)
+
+
+def _audit(spark, folder):
+    """A draft of the ten facts, written and read as text, next to the document that it quotes."""
+    t = load(spark, folder).stored()
+    metrics = settle(exploration.audited_metrics(t.facts, t.stores), "metrics")
+    path = scratch_path(spark, "draft")
+    _draft(metrics).write.text(path)
+    return audit.audit_draft(read_draft(spark, path), metrics)
+
+
+@register("a01_draft_audit", with_ctes(AUDIT_SQL + " SELECT fact, path, round(measured, 6) AS measured, status FROM audited", "facts", "stores"))
+def a01_draft(spark, folder):
+    """The ten facts in a draft that misquotes one and leaves one out."""
+    return tidy(_audit(spark, folder))
+
+
+@register(
+    "a01_draft_verdict",
+    with_ctes(
+        AUDIT_SQL
+        + """ SELECT count(*) AS checks, count(*) FILTER (WHERE status = 'PASSED') AS passed, count(*) FILTER (WHERE status <> 'PASSED') AS failed,
+ count(*) FILTER (WHERE status <> 'PASSED') = 0 AS approved FROM audited""",
+        "facts",
+        "stores",
+    ),
+)
+def a01_verdict(spark, folder):
+    return audit.verdict(_audit(spark, folder))
+
+
+# Names of types differ between engines.
+TYPES_SQL = union_all(
+    """SELECT '{c}' AS "table", column_name AS "column", CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+ WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE lower(data_type) END AS "type" FROM information_schema.columns WHERE table_name = '{c}'""",
+    ("lineitem", "part", "supplier"),
+)
+
+
+@register("o01_column_types", TYPES_SQL)
+def o01_types(spark, folder):
+    """Columns and types of given tables, as their files declare them."""
+    parts = [
+        columns.column_types(spark.read.parquet(f"{folder}/{name}.parquet")).select(F.lit(name).alias("table"), "column", "type")
+        for name in ("lineitem", "part", "supplier")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

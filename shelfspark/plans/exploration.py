@@ -22,6 +22,7 @@ def overview_metrics(facts: DataFrame, stores: DataFrame, calendar: DataFrame) -
     parts = []
     for name, df in tables.items():
         parts.append(flatten(columns.table_shape(df), "overview", f"tables_overview.{name}"))
+        parts.append(flatten(columns.column_types(df), "overview", f"tables_overview.{name}", ["column"]))
         sizes = columns.cardinalities(df).select("column", "cardinality")
         parts.append(flatten(sizes, "overview", f"tables_overview.{name}", ["column"]))
     parts.append(flatten(overview.referential_match(facts, stores), "overview", "referential_integrity"))
@@ -31,6 +32,21 @@ def overview_metrics(facts: DataFrame, stores: DataFrame, calendar: DataFrame) -
     return _union(parts)
 
 
+def audited_metrics(facts: DataFrame, stores: DataFrame) -> DataFrame:
+    """The part of the document that a draft is held against (``audit.FACTS``), without computing the rest."""
+    return _union(
+        [
+            flatten(columns.table_shape(facts), "overview", "tables_overview.transactions"),
+            flatten(overview.referential_match(facts, stores), "overview", "referential_integrity"),
+            flatten(columns.null_totals(facts), "quality", "missingness.transactions"),
+            flatten(columns.duplicate_rows(facts), "quality", "exact_duplicates.transactions"),
+            flatten(profile.payment_shares(facts), "profiling", "cash_vs_card"),
+            flatten(profile.promotion_lift(facts, 2), "profiling", "promotion_impact"),
+            flatten(readiness.grid_sparsity(facts), "ml_readiness", "temporal_sparsity"),
+        ]
+    )
+
+
 def quality_metrics(facts: DataFrame, stores: DataFrame, calendar: DataFrame) -> DataFrame:
     parts = []
     for name, df in {"transactions": facts, "stores": stores, "calendar": calendar}.items():

@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from shelfspark.operators import columns, profile, series, sketches, smoothing, states
+from shelfspark.operators import columns, profile, series, sketches, smoothing, states, theta
 
 DAY0 = date(2023, 1, 1)
 
@@ -144,3 +144,65 @@ def test_series_of_the_kept_states_forecast_any_horizon(spark):
     found = states.forecast_states(states.fit_states(weekly(spark), DAY0 + timedelta(days=69)), 30)
     assert found.count() == 90
     assert series.forecast_summary(found).first()["forecast_records_count"] == 90
+
+
+def theta_by_force(y, grid, horizon, season=7):
+    """Least squares and a loop; the last reading lies on the last day."""
+    t = np.arange(len(y)) - len(y) + 1.0
+    known = ~np.isnan(y)
+    mean = y[known].mean() if abs(y[known].mean()) > theta.TINY else 1.0
+    phase = (np.arange(len(y) + horizon) - len(y) + 1) % season
+    index = np.array([y[known & (phase[: len(y)] == k)].mean() / mean if (known & (phase[: len(y)] == k)).any() else -1 for k in range(season)])
+    if not (index > theta.LEAST_INDEX).all():
+        index = np.ones(season)
+    x, at = (y / index[phase[: len(y)]])[known], t[known]
+    slope, intercept = np.polyfit(at, x, 1) if len(x) > 1 else (0.0, x[0])
+    line, best = intercept + slope * at, None
+    for alpha, th in grid:
+        z = th * x + (1 - th) * line
+        level, sse = z[0], 0.0
+        for i in range(1, len(x)):
+            sse += (x[i] - level / th - (1 - 1 / th) * line[i]) ** 2
+            level = alpha * z[i] + (1 - alpha) * level
+        if best is None or sse < best[0]:
+            best = sse, alpha, th, level
+    sse, alpha, th, level = best
+    k = np.arange(1, horizon + 1)
+    return alpha, th, (level / th + (1 - 1 / th) * (intercept + slope * k)) * index[phase[len(y) :]]
+
+
+def test_theta_by_force(spark):
+    rng = np.random.default_rng(8)
+    days = np.arange(60)
+    rows = {
+        "trend": 20 + 0.5 * days + 6 * np.sin(days * 2 * np.pi / 7) + rng.normal(0, 1, 60),
+        "level": 50 + np.cumsum(rng.normal(0, 3, 60)),
+        "gaps": np.where(days % 9 == 4, np.nan, 30 + rng.normal(0, 2, 60)),
+        "no sunday": np.where(days % 7 == 2, np.nan, 30 + rng.normal(0, 2, 60)),
+        "signs": rng.normal(0, 5, 60),
+        "zeros": np.zeros(60),
+        "short": np.array([3.0, 5.0, 4.0]),
+        "single": np.array([4.0]),
+    }
+    end = DAY0 + timedelta(days=59)
+    data = [(u, end - timedelta(days=len(y) - 1 - i), None if np.isnan(v) else float(v)) for u, y in rows.items() for i, v in enumerate(y)]
+    data += [("trend", end + timedelta(days=3), 1e6), ("void", end, None)]
+    s = spark.createDataFrame(data, "unique_id string, ds date, y double").repartition(3)
+    fitted = theta.fit_theta(s, end)
+    found = {r.unique_id: r for r in fitted.collect()}
+    assert set(found) == set(rows)
+    ahead = {(r.unique_id, (r.ds - end).days): r.yhat for r in theta.forecast_theta(fitted, end, 10).collect()}
+    for u, y in rows.items():
+        alpha, weight, want = theta_by_force(y, theta.GRID, 10)
+        assert (found[u].alpha, found[u].theta) == (alpha, weight), u
+        assert [ahead[u, k] for k in range(1, 11)] == pytest.approx(want.tolist(), rel=1e-9, abs=1e-9)
+    assert theta.fit_theta(s.limit(0), end).isEmpty()
+    with pytest.raises(ValueError):
+        theta.fit_theta(s, end, [(0.5, 0.5)])
+
+
+def test_theta_plan_groups_the_days_once(spark):
+    s = spark.range(100).selectExpr("string(id % 3) AS unique_id", "date_add(date'2023-01-01', int(id)) AS ds", "double(id) AS y").repartition(3)
+    plan = theta.fit_theta(s, DAY0 + timedelta(days=99))._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan") :]
+    assert physical.count("Exchange hashpartitioning(unique_id") == 1 and "Python" not in physical
