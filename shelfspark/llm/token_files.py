@@ -121,11 +121,17 @@ def compress(ids: np.ndarray, last: np.ndarray, first: int, least: int = LEAST_P
         left, right = symbols[:-1], symbols[1:]
         mixed = ((left * 0x9E3779B1) ^ (right * 0x85EBCA6B)) >> 7 & 0x3FFFF
         mixed[last[:-1]] = 0x40000
-        often = np.bincount(mixed, minlength=0x40001) >= least
-        often[0x40000] = False
-        at = np.flatnonzero(often[mixed])
-        pairs, count = np.unique(left[at] * SYMBOLS + right[at], return_counts=True)
-        pairs, count = pairs[count >= least], count[count >= least]
+        sizes = np.bincount(mixed, minlength=0x40001)
+        sizes[0x40000] = 0
+        # A pair occurs no more often than its hash, so the hashes that reach a limit hold all pairs that do.
+        limit = max(least, int(np.partition(sizes, -4 * ROUND_PAIRS)[-4 * ROUND_PAIRS]))
+        while True:
+            at = np.flatnonzero(sizes[mixed] >= limit)
+            pairs, count = np.unique(left[at] * SYMBOLS + right[at], return_counts=True)
+            pairs, count = pairs[count >= limit], count[count >= limit]
+            if len(pairs) >= ROUND_PAIRS or limit == least:
+                break
+            limit = max(least, limit // 2)
         chosen, lefts, rights = [], set(), set()
         for pair in pairs[np.argsort(-count, kind="stable")].tolist():
             a, b = divmod(pair, SYMBOLS)
