@@ -1,9 +1,11 @@
-"""Arrow helpers for the text operators: bounded slices and white-space chunks with their dictionary."""
+"""Arrow helpers for the text operators: bounded slices, and chunks of words with their dictionary."""
 
 from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, product
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +15,13 @@ import regex
 #: Bytes of text that are worked on at a time; one longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
-# A white-space character before a space, or the mark that is put before spaces below.
-_ODD = (
-    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] |\x01"
-)
-_RUN = regex.compile(r"\s*\S+|\s+")
+#: White space that every regular expression counts as such.
+WHITE = b" \t\n\r"
+# Bytes by what a cut looks at: 1 such white space, 2 ASCII letters and digits, 3 other ASCII characters that are no white space.
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = 3
+_KIND[list(WHITE)] = 1
+_KIND[[b for b in range(128) if chr(b).isalnum()]] = 2
 
 
 def whole(column: pa.Array) -> pa.Array:
@@ -50,33 +54,51 @@ def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim(0)
 
 
-def chunked(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Cut every text before each run of white space that follows other characters.
+def chunked(texts: pa.Array, uncut: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Cut every text before white space that follows another character, and between an ASCII letter or digit and ASCII
+    punctuation.
 
     Returns the distinct chunks, the index of each chunk in order, and the offsets of the texts. No
-    match of a word pattern that allows white space only in front spans such a cut, so chunks
-    can be encoded on their own.
+    match of a word pattern that allows white space only in front, and keeps letters and digits apart from punctuation behind
+    them, spans such a cut, so chunks can be encoded on their own. Texts that ``uncut`` marks are one chunk each.
     """
-    odd = pc.match_substring_regex(texts, _ODD)
-    if pc.any(odd).as_py():
-        lists = [
-            _RUN.findall(t) if strange else _plain(t)
-            for t, strange in zip(texts.to_pylist(), odd.to_pylist(), strict=True)
-        ]
-        offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64)
-        flat = pa.array([c for x in lists for c in x], pa.large_string())
-    else:
-        parts = pc.split_pattern(pc.replace_substring(texts, " ", "\x01 "), "\x01")
-        offsets = parts.offsets.to_numpy().astype(np.int64)
-        offsets = offsets - offsets[0]
-        flat = parts.flatten()
-    coded = flat.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), offsets
-
-
-def _plain(text: str) -> list[str]:
-    first, *rest = text.split(" ")
-    return [first, *(" " + x for x in rest)]
+    ends = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    begins = np.zeros(len(data) + 1, bool)
+    if len(data):
+        kind = _KIND[data]
+        white = kind == 1
+        begins[1:-1] = (white[1:] & (kind[:-1] > 1)) | ((kind[:-1] == 2) & (kind[1:] == 3))
+        wide = np.flatnonzero(white[1:] & (data[:-1] > 127)) + 1
+        begins[wide[~white_before(data, wide)]] = True
+    if uncut is not None:
+        for i in np.flatnonzero(uncut).tolist():
+            begins[ends[i] : ends[i + 1]] = False
+    begins[ends] = True
+    begins = np.flatnonzero(begins)
+    parts = pa.LargeStringArray.from_buffers(len(begins) - 1, pa.py_buffer(begins), pa.py_buffer(data))
+    coded = parts.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), np.searchsorted(begins, ends)
+
+
+@lru_cache(maxsize=8)
+def cuts_hold(pattern: str) -> bool:
+    """Whether words by ``pattern`` never reach over a cut of ``chunked``, tried on all short rows of characters of each kind."""
+    words = regex.compile(pattern).findall
+    tried = ["".join(x) for n in range(1, 6) for x in product(" \na1'é", repeat=n)]
+    names, index, offsets = chunked(pa.array(tried, pa.large_string()))
+    cut = [words(x) for x in names.to_pylist()]
+    pieces = [cut[i] for i in index.tolist()]
+    return all(words(t) == list(chain.from_iterable(pieces[a:b])) for t, a, b in zip(tried, offsets, offsets[1:], strict=False))
+
+
+def white_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether white space of two or three bytes ends at each place, or something that is written much like it."""
+    a, b, c = data[at - 3], data[at - 2], data[at - 1]
+    two = (b == 0xC2) & ((c == 0x85) | (c == 0xA0))
+    spaces = (a == 0xE2) & (((b == 0x80) & ((c <= 0x8A) | (c >= 0xA8))) | (b == 0x81))
+    return two | spaces | ((a == 0xE1) & ((b == 0x9A) | (b == 0xA0))) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
 
 
 def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

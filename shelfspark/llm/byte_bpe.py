@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.batches import chunked, per_text, slices, whole
+from shelfspark.llm.batches import chunked, cuts_hold, per_text, slices, whole
 
 #: Encoded words that a Python worker keeps, and chunks that a task keeps; further ones are encoded anew.
 KEPT_WORDS, KEPT_CHUNKS = 500_000, 200_000
@@ -114,7 +114,7 @@ class Ranks:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             self.rank = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines)}
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.cuts = regex.compile(pattern), cuts_hold(pattern)
         self.seen: dict[bytes, tuple[str, bytes, int]] = {}
         self.trips: dict[str, tuple[str, bytes, int]] = {}
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
@@ -161,6 +161,10 @@ class Ranks:
             self.db.unregister("start")
         return out
 
+    def chunked(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Texts cut by ``chunked``, or one chunk each if words reach over its cuts."""
+        return chunked(whole(texts), None if self.cuts else np.ones(len(texts), bool))
+
     def _parts(self, chunks: list[str]) -> list[list[bytes]]:
         return [[w.encode() for w in self.pattern.findall(c)] for c in chunks]
 
@@ -218,8 +222,8 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ranks(path, pattern)
         for batch in slices(batches, "text"):
-            names, index, offsets = chunked(whole(batch.column("text")))
-            flat, size = _flat(own.chunks(names), index)
+            names, index, offsets = own.chunked(batch.column("text"))
+            flat, size = _flat(own.chunks(names.to_pylist()), index)
             ends = np.concatenate(([0], np.cumsum(per_text(size, offsets)))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("key"), ids], names=["key", "ids"])
@@ -264,8 +268,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ranks(path, pattern)
         for batch in slices(batches, "text"):
-            names, index, offsets = chunked(whole(batch.column("text")))
-            written, spelt, number = zip(*own.round_trips(names), strict=True)
+            names, index, offsets = own.chunked(batch.column("text"))
+            written, spelt, number = zip(*own.round_trips(names.to_pylist()), strict=True)
             size = np.array(number, np.int64)[index]
             digests = []
             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):

@@ -23,13 +23,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfspark.llm.batches import chunked, per_text, slices, whole
+from shelfspark.llm.batches import WHITE, chunked, cuts_hold, slices, white_before, whole
 from shelfspark.llm.frames import named
 
 #: Ids in a shard; a longer document is a shard of its own.
@@ -39,8 +39,10 @@ LEAST_PAIRS = 2
 #: Pairs replaced in a round, at most: pairs that share no symbol as left and right do not overlap.
 ROUND_PAIRS = 2048
 SYMBOLS = 1 << 16
-#: Encoded words that a Python worker keeps, and chunks that a task keeps; further ones are encoded anew.
+#: Repeated chunks that a Python worker keeps with their ids; further ones are encoded anew.
 KEPT = 250_000
+#: Bytes of text whose distinct chunks are encoded together, chunks in a text for the library, and chunks in one call.
+TEXT_BYTES, RUN, BATCH = 16 << 20, 128, 1 << 15
 
 SCHEMA = (
     "part int, shard int, before bigint, keys array<bigint>, ends array<bigint>, counts array<bigint>, "
@@ -113,89 +115,161 @@ def rule_lengths(first: int, rules: np.ndarray) -> np.ndarray:
 def compress(ids: np.ndarray, last: np.ndarray, first: int, least: int = LEAST_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: symbols, which of them end a document, and rules. Pairs do not reach over the end of a document.
 
-    Each round counts all pairs by a hash, then exactly where the count can reach ``least``, and replaces the most
-    frequent ones; it ends when no pair is as frequent or all 16-bit symbols are taken.
+    Each round counts all pairs by sorting them and replaces the most frequent ones; it ends when no pair is as frequent as
+    ``least`` or all 16-bit symbols are taken.
     """
-    symbols, rules = ids.astype(np.int64), []
-    while first + len(rules) < SYMBOLS and len(symbols) > 1:
-        left, right = symbols[:-1], symbols[1:]
-        mixed = ((left * 0x9E3779B1) ^ (right * 0x85EBCA6B)) >> 7 & 0x3FFFF
-        mixed[last[:-1]] = 0x40000
-        sizes = np.bincount(mixed, minlength=0x40001)
-        sizes[0x40000] = 0
-        # A pair occurs no more often than its hash, so the hashes that reach a limit hold all pairs that do.
-        limit = max(least, int(np.partition(sizes, -4 * ROUND_PAIRS)[-4 * ROUND_PAIRS]))
-        while True:
-            at = np.flatnonzero(sizes[mixed] >= limit)
-            pairs, count = np.unique(left[at] * SYMBOLS + right[at], return_counts=True)
-            pairs, count = pairs[count >= limit], count[count >= limit]
-            if len(pairs) >= ROUND_PAIRS or limit == least:
-                break
-            limit = max(least, limit // 2)
-        chosen, lefts, rights = [], set(), set()
-        for pair in pairs[np.argsort(-count, kind="stable")].tolist():
-            a, b = divmod(pair, SYMBOLS)
-            if a not in rights and b not in lefts and (a != b or (a not in lefts and b not in rights)):
-                chosen.append(pair)
-                lefts.add(a)
-                rights.add(b)
-                if len(chosen) == min(ROUND_PAIRS, SYMBOLS - first - len(rules)):
-                    break
-        if not chosen:
+    # The last symbol is given out only when the rounds end, so a pair of it marks the ends of documents.
+    end = np.uint32(SYMBOLS * SYMBOLS - 1)
+    symbols, ends, rules = ids.astype(np.uint16), np.flatnonzero(last), [np.empty(0, np.uint32)]
+    used = first
+    while used < SYMBOLS and len(symbols) > 1:
+        pairs = symbols[:-1].astype(np.uint32)
+        pairs <<= 16
+        pairs |= symbols[1:]
+        pairs[ends[:-1] if len(ends) and ends[-1] == len(pairs) else ends] = end
+        chosen = _frequent(pairs, end, least, min(ROUND_PAIRS, SYMBOLS - used))
+        if not len(chosen):
             break
-        order = np.sort(np.array(chosen))
-        slot = np.searchsorted(order, left[at] * SYMBOLS + right[at])
-        hit = order[np.minimum(slot, len(order) - 1)] == left[at] * SYMBOLS + right[at]
-        at, slot = at[hit], slot[hit]
+        at, slot = _places(pairs, chosen)
         # Only equal neighbours overlap: of a run of such pairs, every second one is taken.
-        place = np.arange(len(at))
-        begins = np.ones(len(at), bool)
-        begins[1:] = at[1:] != at[:-1] + 1
-        own = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
-        at, slot = at[own], slot[own]
-        symbols[at] = first + len(rules) + slot
-        last[at] = last[at + 1]
+        equal = np.flatnonzero((chosen >> 16) == (chosen & 0xFFFF))
+        if len(equal):
+            place = np.arange(len(at))
+            begins = np.ones(len(at), bool)
+            begins[1:] = at[1:] != at[:-1] + 1
+            own = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
+            at, slot = at[own], slot[own]
+        symbols[at] = (used + slot).astype(np.uint16)
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
-        symbols, last = symbols[stays], last[stays]
-        rules += [divmod(p, SYMBOLS) for p in order.tolist()]
-    return symbols.astype(np.uint16), last, np.array(rules, np.uint16).reshape(-1, 2)
+        symbols = symbols[stays]
+        ends -= np.searchsorted(at, ends)
+        rules.append(chosen)
+        used += len(chosen)
+    marks = np.zeros(len(symbols), bool)
+    marks[ends] = True
+    pairs = np.concatenate(rules)
+    return symbols, marks, np.stack((pairs >> 16, pairs & 0xFFFF), axis=1).astype(np.uint16)
+
+
+def _frequent(pairs: np.ndarray, end: np.uint32, least: int, most: int) -> np.ndarray:
+    """Up to ``most`` of the most frequent pairs, none left in one and right in another, in ascending order."""
+    ordered = np.sort(pairs)
+    begins = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    count = np.diff(begins, append=len(ordered))
+    often = count >= least
+    own, count = ordered[begins[often]], count[often]
+    if len(own) and own[-1] == end:
+        own, count = own[:-1], count[:-1]
+    chosen: list[int] = []
+    role = bytearray(SYMBOLS)  # bit 1: left in a chosen pair, bit 2: right
+    taken, above = 4 * most, np.iinfo(np.int64).max
+    while len(count) and len(chosen) < most and above > least:
+        limit = int(np.partition(count, -taken)[-taken]) if taken < len(count) else least
+        among = np.flatnonzero((count >= limit) & (count < above))
+        among = among[np.argsort(-count[among], kind="stable")]
+        for pair in own[among].tolist():
+            a, b = pair >> 16, pair & 0xFFFF
+            if not role[a] & 2 and not role[b] & 1 and (a != b or not role[a]):
+                chosen.append(pair)
+                role[a] |= 1
+                role[b] |= 2
+                if len(chosen) == most:
+                    break
+        above, taken = limit, 4 * taken
+    return np.sort(np.array(chosen, np.uint32))
+
+
+def _places(pairs: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chosen pairs occur, and which of them each is. A table by hash leaves few places to look up."""
+    marked = np.zeros(1 << 16, bool)
+    marked[(chosen * np.uint32(0x9E3779B1)) >> 16] = True
+    mixed = pairs * np.uint32(0x9E3779B1)
+    mixed >>= 16
+    at = np.flatnonzero(marked[mixed])
+    found = pairs[at]
+    slot = np.minimum(np.searchsorted(chosen, found), len(chosen) - 1)
+    hit = chosen[slot] == found
+    return at[hit], slot[hit]
 
 
 class _Encoder:
-    """Encodes chunks with the library. ``pattern`` is what the tokenizer itself cuts texts by, so a chunk that holds none of
-    its added tokens is encoded word by word, and a word that was seen is not encoded again."""
+    """Encodes chunks with the library, many of them in one text. ``pattern`` is what the tokenizer itself cuts texts by, so it
+    keeps chunks apart where one ends and the next begins with white space; where the next does not, and where an added
+    token is in a chunk, the chunk goes to the library alone. Chunks that repeat are kept. Texts with added tokens, and all texts
+    if the pattern's words reach over the cuts, are encoded whole."""
 
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.words = regex.compile(pattern).findall
+        self.tokenizer, self.cuts = Tokenizer.from_file(path), cuts_hold(pattern)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kept: dict[str, list[int]] = {}
-        self.seen: dict[str, list[int]] = {}
-
-    def chunks(self, chunks: list[str]) -> list[list[int]]:
-        for own in (self.kept, self.seen):
-            if len(own) > KEPT:
-                own.clear()
-        new = [c for c in chunks if c not in self.kept]
-        joined = " ".join(new)
-        if any(t in joined for t in self.added):
-            parts = [[c] if any(t in c for t in self.added) else self.words(c) for c in new]
-        else:
-            parts = [self.words(c) for c in new]
-        fresh = list({w for p in parts for w in p if w not in self.seen})
-        for w, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.seen[w] = found.ids
-        for c, p in zip(new, parts, strict=True):
-            self.kept[c] = self.seen[p[0]] if len(p) == 1 else list(chain.from_iterable(map(self.seen.__getitem__, p)))
-        return [self.kept[c] for c in chunks]
-
-    def forget(self) -> None:
-        """Gives the memory of encoded chunks back; words stay for the next task of this process."""
-        self.kept.clear()
+        # Byte-level tokens are written with a character for each byte that they stand for.
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.names, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where each text's end."""
+        names, index, offsets = chunked(texts, self._whole(texts))
+        place = pc.index_in(names, value_set=self.names)
+        new = place.is_null().to_numpy(zero_copy_only=False)
+        place = place.fill_null(0).to_numpy().astype(np.int64)
+        fresh = names.filter(pa.array(new))
+        place[new] = len(self.names) + np.arange(len(fresh))
+        known = pa.concat_arrays([self.ids, self._encoded(fresh)])
+        found = known.take(pa.array(place[index]))
+        # Chunks that occur once are not kept, most of them never come again. A full store begins anew.
+        often = np.bincount(index, minlength=len(names)) > 1
+        full = len(self.names) + np.count_nonzero(often & new) > KEPT
+        chosen = np.flatnonzero(often if full else often & new)[:KEPT]
+        more, their = names.take(pa.array(chosen)), known.take(pa.array(place[chosen]))
+        self.names, self.ids = (more, their) if full else (pa.concat_arrays([self.names, more]), pa.concat_arrays([self.ids, their]))
+        ends = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1) // 2
+        return np.frombuffer(found.buffers()[2] or b"", np.uint16), ends[offsets[1:]]
+
+    def _whole(self, texts: pa.Array) -> np.ndarray:
+        """Which texts hold an added token; all of them if nothing may be cut."""
+        held = pa.array(np.full(len(texts), not self.cuts))
+        for token in self.added:
+            held = pc.or_(held, pc.match_substring(texts, token))
+        return held.to_numpy(zero_copy_only=False)
+
+    def _encoded(self, names: pa.Array) -> pa.Array:
+        """Ids of each chunk as 16-bit numbers."""
+        ends = np.frombuffer(names.buffers()[1], np.int64, len(names) + 1)
+        data = np.frombuffer(names.buffers()[2] or b"", np.uint8)
+        joins = np.isin(data[ends[:-1]], list(WHITE)) & ((data[ends[1:] - 1] > 32) & (data[ends[1:] - 1] != 127))
+        joins &= ~white_before(data, ends[1:]) & ~self._whole(names)
+        ids, sizes = [], np.zeros(len(names), np.int64)
+        for rows, run in ((np.flatnonzero(joins), RUN), (np.flatnonzero(~joins), 1)):
+            for start in range(0, len(rows), BATCH):
+                part = rows[start : start + BATCH]
+                flat, sizes[part] = self._library(names.take(pa.array(part)), run)
+                ids.append(flat)
+        order = np.argsort(np.concatenate((np.flatnonzero(joins), np.flatnonzero(~joins))))
+        flat = np.concatenate(ids) if ids else np.empty(0, np.uint16)
+        own = sizes[joins], sizes[~joins]
+        ends = np.concatenate(([0], np.cumsum(np.concatenate(own)))) * 2
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(names), [None, pa.py_buffer(ends), pa.py_buffer(flat)]).take(pa.array(order))
+
+    def _library(self, names: pa.Array, run: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks that go to the library ``run`` at a time, and the number of each."""
+        ends = np.frombuffer(names.buffers()[1], np.int64, len(names) + 1)
+        stops = np.append(ends[:-1:run], ends[-1])
+        texts = pa.LargeStringArray.from_buffers(len(stops) - 1, pa.py_buffer(stops), names.buffers()[2]).to_pylist()
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), np.int64)
+        if run == 1:
+            return flat.astype(np.uint16), np.array([len(x) for x in found], np.int64)
+        # Ids belong to the chunk that their bytes lie in.
+        spelt = np.cumsum(self.bytes[flat])
+        last = np.searchsorted(spelt, ends[1:])
+        if not len(spelt) or spelt[-1] != ends[-1] or (spelt[last] != ends[1:]).any():
+            return self._library(names, 1)
+        return flat.astype(np.uint16), np.diff(last, prepend=-1)
 
 
 @lru_cache(maxsize=2)
@@ -263,23 +337,15 @@ def write_tokens(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer, pattern)
         shards = _Shards(TaskContext.get().partitionId(), max(own.tokenizer.get_vocab_size(), end_id + 1))
-        for batch in slices(batches, "text"):
-            names, index, offsets = chunked(whole(batch.column("text")))
-            parts = own.chunks(names)
-            sizes = np.array([len(p) for p in parts], np.int64)
-            flat = np.fromiter(chain.from_iterable(parts), np.int32, int(sizes.sum()))
-            begins = (np.cumsum(sizes) - sizes)[index]
-            size = sizes[index]
-            shift = np.repeat(begins - (np.cumsum(size) - size), size)
-            ids = flat[shift + np.arange(len(shift))]
-            ends = np.cumsum(per_text(size, offsets)).tolist()
+        end = np.array([end_id], np.uint16)
+        for batch in slices(batches, "text", TEXT_BYTES):
+            ids, ends = own.texts(whole(batch.column("text")))
             start = 0
-            for doc, stop in zip(batch.column("key").to_pylist(), ends, strict=True):
-                yield from shards.add(doc, np.append(ids[start:stop], np.int32(end_id)))
+            for doc, stop in zip(batch.column("key").to_pylist(), ends.tolist(), strict=True):
+                yield from shards.add(doc, np.concatenate((ids[start:stop], end)))
                 start = stop
         if shards.size:
             yield shards.row()
-        own.forget()
 
     # The position splits the rows of a key that repeats often over several ranges.
     place = F.monotonically_increasing_id().alias("place")
@@ -295,9 +361,11 @@ def grammar(row: dict) -> Grammar:
 
 def shard_documents(row: dict) -> Iterator[tuple[int | None, np.ndarray]]:
     """Key and ids of each document of a shard."""
-    own, start = grammar(row), 0
-    for key, stop in zip(row["keys"], row["ends"], strict=True):
-        yield key, own.ids(start, stop)
+    own = grammar(row)
+    ids, start = own.ids(), 0
+    stops = np.cumsum(own.lengths[own.symbols])[np.array(row["ends"], np.int64) - 1]
+    for key, stop in zip(row["keys"], stops.tolist(), strict=True):
+        yield key, ids[start:stop]
         start = stop
 
 

@@ -16,7 +16,7 @@ import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer
 
-from shelfspark.llm import automata, byte_bpe, registry, secret_scan, token_counts, token_files
+from shelfspark.llm import automata, batches, byte_bpe, registry, secret_scan, token_counts, token_files
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 PARTS = (
@@ -182,6 +182,53 @@ def test_token_files(spark, odd, odd_rows, nothing, tmp_path, monkeypatch):
     assert token_files.read_tokens(spark, str(tmp_path / "g")).collect() == []
 
 
+def test_many_chunks_go_to_the_library_in_one_text(monkeypatch):
+    library, own = Tokenizer.from_file(registry.TOKENIZER), token_files.encoder.__wrapped__(registry.TOKENIZER, P.PATTERN)
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            sent.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    own.tokenizer = Counting()
+    monkeypatch.setattr(token_files, "KEPT", 300)  # the store of repeated chunks begins anew now and then
+    rng = random.Random(4)
+    odd = [*"aabbcc  e'''srtl.,;12 3\t\n\r\x0b\x1c\x85\xa0\u3000\u2009\u180eñß日。’_<|>\x7f\x00", "<|endoftext|>", "'re", "'ll", " the"]
+    words = [None, "", " ".join(str(k) + "x" for k in range(4000))]
+    for _ in range(20):
+        texts = words + ["".join(rng.choices(odd, k=rng.randrange(60))) for _ in range(100)]
+        ids, ends = own.texts(batches.whole(pa.array(texts, pa.string())))
+        got = [x.tolist() for x in np.split(ids, ends)][:-1]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        words = []
+    sent.clear()
+    own.texts(batches.whole(pa.array([" ".join(str(k) + "y" for k in range(4000))])))
+    assert len(sent) < 100
+
+
+def test_chunks_are_cut_at_punctuation_and_white_space():
+    texts = pa.array(["", "it's so. it\n\nno", "é  a\u3000 b<|c|>", ""], pa.large_string())
+    names, index, offsets = batches.chunked(texts, np.array([False, False, True, False]))
+    parts = [names[i].as_py() for i in index.tolist()]
+    assert parts == ["it", "'s", " so", ".", " it", "\n\nno", "é  a\u3000 b<|c|>"] and offsets.tolist() == [0, 0, 6, 7, 7]
+    names, index, _ = batches.chunked(texts.slice(2))
+    assert [names[i].as_py() for i in index.tolist()] == ["é", "  a\u3000 b", "<|c", "|>"]
+
+
+def test_words_that_reach_over_cuts_are_not_cut():
+    ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in open(registry.RANKS, "rb"))}
+    assert batches.cuts_hold(P.PATTERN)
+    for pattern in (r"\s+|\S+", r" ?[\p{L}\p{N}]+| ?[^\s\p{L}\p{N}]+[\r\n]*|\s+"):
+        assert not batches.cuts_hold(pattern)
+        library, own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), byte_bpe.Ranks(registry.RANKS, pattern)
+        texts = ["end. The end.\n\nit's", *strings(30, 8)]
+        names, index, offsets = own.chunked(pa.array(texts))
+        ids = own.chunks(names.to_pylist())
+        got = [[x for i in index[a:b].tolist() for x in ids[i]] for a, b in zip(offsets, offsets[1:], strict=False)]
+        assert got == [library.encode_ordinary(t) for t in texts]
+
+
 def test_pieces_that_join_words_are_counted():
     scores = {c: -9.0 for c in "ab▁"} | {"▁a": -3.0, "a▁": -1.0, "a▁b": -0.5, "▁▁": -2.0, "ab": -4.0}
     own = token_counts.Transducer(scores)
