@@ -6,18 +6,22 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.batches import chunked, cuts_hold, per_text, slices, whole
 
-#: Encoded words that a Python worker keeps, and chunks that a task keeps; further ones are encoded anew.
-KEPT_WORDS, KEPT_CHUNKS = 500_000, 200_000
+#: Repeated chunks that a Python worker keeps with their ids; further ones are encoded anew.
+KEPT = 250_000
+#: Bytes of text whose distinct chunks are encoded together.
+TEXT_BYTES = 16 << 20
 #: Words of more bytes than this take many rounds and are contracted in queries of their own.
 LONG_WORD = 64
 #: Rows that the rounds of one query leave, at most, unless a single word has more.
@@ -80,32 +84,43 @@ SELECT (place >> 32)::int AS word, list(id ORDER BY place) AS ids FROM token WHE
 """
 # Token bytes travel as hex digits, which can be aggregated as text.
 SPELL = """
-SELECT string_agg(t.digits, '' ORDER BY i.place) AS digits
+SELECT unhex(string_agg(t.digits, '' ORDER BY i.place)) AS spelt
 FROM ids i JOIN tokens t ON t.id = i.id GROUP BY i.item ORDER BY i.item
 """
 
 
-def _groups(texts: list[bytes], wanted: list[int]) -> Iterator[tuple[str, list[int]]]:
-    """Words to contract in one query: short ones by length, as many as leave ROUND_ROWS rows at most, long ones by
-    their number of bytes."""
-    group: list[int] = []
-    rows = 0
-    for i in sorted(wanted, key=lambda i: len(texts[i])):
-        long = len(texts[i]) > LONG_WORD
-        own = len(texts[i]) if long else len(texts[i]) ** 2 // 2
-        if group and (rows + own > ROUND_ROWS or long != (len(texts[group[0]]) > LONG_WORD)):
-            yield CONTRACT_LONG if len(texts[group[0]]) > LONG_WORD else CONTRACT, group
-            group, rows = [], 0
-        group.append(i)
-        rows += own
-    if group:
-        yield CONTRACT_LONG if len(texts[group[0]]) > LONG_WORD else CONTRACT, group
+def _groups(sizes: np.ndarray) -> Iterator[tuple[str, int, int]]:
+    """Words to contract in one query, given their numbers of bytes in ascending order: short ones by the rows that they leave,
+    ROUND_ROWS at most, long ones by their number of bytes."""
+    rows = np.cumsum(np.where(sizes > LONG_WORD, sizes, sizes * sizes // 2))
+    long = int(np.searchsorted(sizes, LONG_WORD, side="right"))
+    start = 0
+    while start < len(sizes):
+        before = rows[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(rows, before + ROUND_ROWS, side="right")))
+        if start < long:
+            stop = min(stop, long)
+        yield CONTRACT if start < long else CONTRACT_LONG, start, stop
+        start = stop
 
 
-def _lists(column: pa.ListArray) -> tuple[list[int], list[int]]:
-    """All values of a column of lists, and where each list begins and ends."""
-    offsets = column.offsets.to_numpy()
-    return column.flatten().to_pylist(), (offsets - offsets[0]).tolist()
+def _binary(ends: np.ndarray, data: pa.Buffer | np.ndarray) -> pa.Array:
+    """Byte strings that lie one after another."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
+
+
+def _ends(column: pa.Array) -> np.ndarray:
+    """Where the first byte string begins and each one ends in the data of an array that is no slice."""
+    return np.frombuffer(column.buffers()[1], np.int64, len(column) + 1)
+
+
+def _joined(column: pa.Array, ends: np.ndarray) -> pa.Array:
+    """Byte strings ``ends[i]`` to ``ends[i + 1]`` joined, for each i."""
+    return _binary(_ends(column)[ends], column.buffers()[2] or b"")
+
+
+def _running(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
 
 
 class Ranks:
@@ -115,8 +130,6 @@ class Ranks:
         with open(path, "rb") as lines:
             self.rank = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines)}
         self.pattern, self.cuts = regex.compile(pattern), cuts_hold(pattern)
-        self.seen: dict[bytes, tuple[str, bytes, int]] = {}
-        self.trips: dict[str, tuple[str, bytes, int]] = {}
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         rows = [
             (self.rank[t[:i]], self.rank[t[i:]], own)
@@ -132,6 +145,10 @@ class Ranks:
         pair = (left.astype(np.int64) << 32) + right  # one key, so that neighbours are joined first
         merges = pa.table({"pair": pair, "merged": merged, "calm": least[merged] > merged})
         tokens = pa.table({"id": list(self.rank.values()), "digits": [t.hex() for t in self.rank]})
+        self.tokens, self.own = pa.array(list(self.rank), pa.large_binary()), np.array(list(self.rank.values()), np.int32)
+        self.decimal = pa.array([b" %d" % i for i in range(int(self.own.max()) + 1)], pa.large_binary())
+        none = pa.array([], pa.large_binary())
+        self.names, self.kept = pa.array([], pa.large_string()), (none, none, np.empty(0, np.int64))
         for name, table in (("merges", merges), ("tokens", tokens)):
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
@@ -139,75 +156,82 @@ class Ranks:
 
     def words(self, words: Iterable[bytes]) -> list[list[int]]:
         """Ids of each word. A word that is a token is that token, as in the public libraries."""
-        out: list[list[int] | None] = []
-        rest: list[int] = []
-        texts = list(words)
-        for i, w in enumerate(texts):
-            own = self.rank.get(w)
-            out.append(None if own is None else [own])
-            if own is None:
-                rest.append(i)
-        for query, group in _groups(texts, rest):
-            sizes = np.array([len(texts[i]) for i in group])
-            starts = np.cumsum(sizes) - sizes
-            offset = np.arange(sizes.sum()) - np.repeat(starts, sizes)
-            place = (np.repeat(np.arange(len(group)), sizes) << 32) + offset
-            ids = self.byte[np.frombuffer(b"".join(texts[i] for i in group), np.uint8)]
-            self.db.register("start", pa.table({"place": place, "id": ids}))
-            found = self.db.sql(query).to_arrow_table()
-            ids, ends = _lists(found.column("ids").combine_chunks())
-            for word, a, b in zip(found.column("word").to_pylist(), ends, ends[1:], strict=False):
-                out[group[word]] = ids[a:b]
+        return self.lists(pa.array(list(words), pa.large_binary())).to_pylist()
+
+    def lists(self, words: pa.Array) -> pa.Array:
+        """Ids of each word, given and found in Arrow arrays."""
+        place = pc.index_in(words, value_set=self.tokens)
+        single = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
+        rest = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
+        ids = self.own[place.drop_null().to_numpy()]
+        found = [pa.ListArray.from_arrays(pa.array(np.arange(len(single) + 1, dtype=np.int32)), pa.array(ids, pa.int32()))]
+        sizes = pc.binary_length(words).to_numpy()
+        rest = rest[np.argsort(sizes[rest], kind="stable")]
+        sizes, words = sizes[rest], words.take(pa.array(rest))
+        ends, data = _running(sizes), self.byte[np.frombuffer(words.buffers()[2] or b"", np.uint8)]
+        for query, a, b in _groups(sizes):
+            starts = ends[a:b] - ends[a]
+            offset = np.arange(ends[b] - ends[a]) - np.repeat(starts, sizes[a:b])
+            place = (np.repeat(np.arange(b - a), sizes[a:b]) << 32) + offset
+            self.db.register("start", pa.table({"place": place, "id": data[ends[a] : ends[b]]}))
+            found += self.db.sql(query).to_arrow_table().column("ids").chunks
             self.db.unregister("start")
-        return out
+        order = np.argsort(np.concatenate((single, rest)))
+        return pa.concat_arrays([x.cast(pa.list_(pa.int32())) for x in found]).take(pa.array(order))
 
     def chunked(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Texts cut by ``chunked``, or one chunk each if words reach over its cuts."""
         return chunked(whole(texts), None if self.cuts else np.ones(len(texts), bool))
 
-    def _parts(self, chunks: list[str]) -> list[list[bytes]]:
-        return [[w.encode() for w in self.pattern.findall(c)] for c in chunks]
+    def _parts(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The distinct words of chunks, the index of each word in order, and the offsets of the chunks."""
+        parts = [self.pattern.findall(c) for c in chunks.to_pylist()]
+        coded = pa.array(list(chain.from_iterable(parts)), pa.large_string()).dictionary_encode()
+        return coded.dictionary.cast(pa.large_binary()), coded.indices.to_numpy(), _running([len(p) for p in parts])
 
-    def chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
+    def chunks(self, chunks: pa.Array) -> pa.Array:
         """Ids of each chunk of ``chunked``."""
-        parts = self._parts(chunks)
-        distinct = list({w for p in parts for w in p})
-        ids = dict(zip(distinct, self.words(distinct), strict=True))
-        return [tuple(i for w in p for i in ids[w]) for p in parts]
-
-    def round_trips(self, chunks: list[str]) -> list[tuple[str, bytes, int]]:
-        """For each chunk its ids in decimal, the bytes that they decode to and their number."""
-        if len(self.trips) > KEPT_CHUNKS:
-            self.trips.clear()
-        if len(self.seen) > KEPT_WORDS:
-            self.seen.clear()
-        new = [c for c in chunks if c not in self.trips]
-        parts = self._parts(new)
-        distinct = list({w for p in parts for w in p if w not in self.seen})
-        ids = self.words(distinct)
-        for word, own, spelt in zip(distinct, ids, self.spell(ids), strict=True):
-            self.seen[word] = " ".join(map(str, own)), spelt, len(own)
-        for c, p in zip(new, parts, strict=True):
-            found = [self.seen[w] for w in p]
-            if len(found) == 1:
-                self.trips[c] = found[0]
-            else:
-                self.trips[c] = " ".join([f[0] for f in found]), b"".join([f[1] for f in found]), sum(f[2] for f in found)
-        return [self.trips[c] for c in chunks]
-
-    def forget(self) -> None:
-        """Gives the memory of encoded chunks back; words stay for the next task of this process."""
-        self.trips.clear()
-
-    def spell(self, items: list[list[int]] | list[tuple[int, ...]]) -> list[bytes]:
-        """The bytes of each list of ids."""
-        sizes = np.array([len(x) for x in items], np.int64)
-        flat = np.fromiter((i for x in items for i in x), np.int32, int(sizes.sum()))
-        rows = pa.table({"item": np.repeat(np.arange(len(items)), sizes), "place": np.arange(len(flat)), "id": flat})
+        words, index, offsets = self._parts(chunks)
+        found = self.lists(words).take(pa.array(index))
+        return pa.LargeListArray.from_arrays(found.offsets.to_numpy()[offsets].astype(np.int64), found.values)
+
+    def round_trips(self, chunks: pa.Array, counts: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """For each chunk its ids in decimal with a space before each, the bytes that they decode to and their number.
+        ``counts`` tells which chunks occur repeatedly and are worth keeping."""
+        place = pc.index_in(chunks, value_set=self.names)
+        new = place.is_null().to_numpy(zero_copy_only=False)
+        place = place.fill_null(0).to_numpy().astype(np.int64)
+        place[new] = len(self.names) + np.arange(np.count_nonzero(new))
+        words, index, offsets = self._parts(chunks.filter(pa.array(new)))
+        lists = self.lists(words)
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        digits = _joined(self.decimal.take(pa.array(flat)), ends).take(pa.array(index))
+        spelt = self.spell(flat, np.diff(ends)).take(pa.array(index))
+        made = _joined(digits, offsets), _joined(spelt, offsets), per_text(np.diff(ends)[index], offsets)
+        known = [*(pa.concat_arrays([a, b]) for a, b in zip(self.kept[:2], made[:2], strict=True)), np.concatenate((self.kept[2], made[2]))]
+        self._keep(chunks, place, new, counts > 1, known)
+        at = pa.array(place)
+        return known[0].take(at), known[1].take(at), known[2][place]
+
+    def _keep(self, chunks: pa.Array, place: np.ndarray, new: np.ndarray, often: np.ndarray, known: list) -> None:
+        """Keeps repeated chunks for further slices. A full store begins anew with those of this one."""
+        full = len(self.names) + np.count_nonzero(often & new) > KEPT
+        chosen = np.flatnonzero(often if full else often & new)[:KEPT]
+        names, at = chunks.take(pa.array(chosen)), place[chosen]
+        if not full:
+            names, at = pa.concat_arrays([self.names, names]), np.concatenate((np.arange(len(self.names)), at))
+        self.names, self.kept = names, (known[0].take(pa.array(at)), known[1].take(pa.array(at)), known[2][at])
+
+    def spell(self, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """The bytes of lists of ids that lie one after another."""
+        rows = pa.table({"item": np.repeat(np.arange(len(sizes)), sizes), "place": np.arange(len(ids)), "id": ids})
         self.db.register("ids", rows)
-        found = iter([bytes.fromhex(d) for (d,) in self.db.execute(SPELL).fetchall()])
+        found = self.db.sql(SPELL).to_arrow_table().column("spelt").cast(pa.large_binary()).combine_chunks()
         self.db.unregister("ids")
-        return [next(found) if n else b"" for n in sizes.tolist()]
+        # A list without ids has no row.
+        ends = np.zeros(len(sizes) + 1, np.int64)
+        ends[1:][sizes > 0] = pc.binary_length(found).to_numpy()
+        return _binary(np.cumsum(ends), b"".join(found.to_pylist()))
 
 
 @lru_cache(maxsize=2)
@@ -221,12 +245,11 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ranks(path, pattern)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             names, index, offsets = own.chunked(batch.column("text"))
-            flat, size = _flat(own.chunks(names.to_pylist()), index)
-            ends = np.concatenate(([0], np.cumsum(per_text(size, offsets)))).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), ids], names=["key", "ids"])
+            found = own.chunks(names).take(pa.array(index))
+            ids = pa.LargeListArray.from_arrays(found.offsets.to_numpy()[offsets], found.values)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), ids.cast(pa.list_(pa.int32()))], names=["key", "ids"])
 
     rows = docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text")
     return rows.mapInArrow(run, f"key {dict(docs.dtypes)[key]}, ids array<int>").withColumnRenamed("key", key)
@@ -240,21 +263,19 @@ def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id", ids
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                spelt = own.spell([tuple(x or ()) for x in part.column("ids").to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(spelt, pa.binary())], names=["key", "decoded"])
+                lists = part.column("ids")
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+                spelt = own.spell(lists.flatten().to_numpy(), sizes)
+                yield pa.RecordBatch.from_arrays([part.column("key"), spelt.cast(pa.binary())], names=["key", "decoded"])
 
     rows = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
     return rows.mapInArrow(run, f"key {dict(encoded.dtypes)[key]}, decoded binary").withColumnRenamed("key", key)
 
 
-def _flat(chunks: list[tuple[int, ...]], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all chunks in the order of ``index``, and the number of each."""
-    sizes = np.array([len(c) for c in chunks], np.int64)
-    own = np.fromiter((i for c in chunks for i in c), np.int32, int(sizes.sum()))
-    begins = np.cumsum(sizes) - sizes
-    size = sizes[index]
-    shift = np.repeat(begins[index] - (np.cumsum(size) - size), size)
-    return own[shift + np.arange(len(shift))], size
+def _digests(parts: pa.Array, offsets: np.ndarray, skip: int) -> pa.Array:
+    """Digest of the bytes of the parts between each two offsets, without the first ``skip`` bytes."""
+    data, ends = memoryview(parts.buffers()[2] or b""), _ends(parts)[offsets].tolist()
+    return pa.array([hashlib.sha256(data[min(a + skip, b) : b]).hexdigest() for a, b in zip(ends, ends[1:], strict=False)], pa.string())
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -267,26 +288,15 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ranks(path, pattern)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             names, index, offsets = own.chunked(batch.column("text"))
-            written, spelt, number = zip(*own.round_trips(names.to_pylist()), strict=True)
-            size = np.array(number, np.int64)[index]
-            digests = []
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                order = index[a:b].tolist()
-                line = " ".join([written[i] for i in order if written[i]])
-                content = b"".join([spelt[i] for i in order])
-                digests.append((hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(content).hexdigest()))
+            written, spelt, number = own.round_trips(names, np.bincount(index, minlength=len(names)))
+            order = pa.array(index)
+            lines, contents = (_digests(x.take(order), offsets, skip) for x, skip in ((written, 1), (spelt, 0)))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key"),
-                    pa.array(per_text(size, offsets), pa.int64()),
-                    pa.array([d[0] for d in digests], pa.string()),
-                    pa.array([d[1] for d in digests], pa.string()),
-                ],
+                [batch.column("key"), pa.array(per_text(number[index], offsets), pa.int64()), lines, contents],
                 names=["key", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
-        own.forget()
 
     rows = docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text")
     kind = dict(docs.dtypes)[key]

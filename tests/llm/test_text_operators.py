@@ -216,6 +216,31 @@ def test_chunks_are_cut_at_punctuation_and_white_space():
     assert [names[i].as_py() for i in index.tolist()] == ["é", "  a\u3000 b", "<|c", "|>"]
 
 
+def test_repeated_chunks_are_encoded_once(monkeypatch):
+    library, own = tiktoken_library(), byte_bpe.Ranks(registry.RANKS, P.PATTERN)
+    given, lists = [], own.lists
+    monkeypatch.setattr(own, "lists", lambda words: given.extend(words.to_pylist()) or lists(words))
+
+    def check(texts, kept):
+        monkeypatch.setattr(byte_bpe, "KEPT", kept)
+        names, index, offsets = own.chunked(pa.array(texts))
+        written, spelt, number = own.round_trips(names, np.bincount(index, minlength=len(names)))
+        assert number.tolist() == [len(library.encode_ordinary(c)) for c in names.to_pylist()]
+        for t, a, b in zip(texts, offsets, offsets[1:], strict=False):
+            line = b"".join(written[i].as_py() for i in index[a:b].tolist())
+            assert line == "".join(f" {x}" for x in library.encode_ordinary(t)).encode()
+            assert b"".join(spelt[i].as_py() for i in index[a:b].tolist()) == t.encode()
+
+    check(["a zzqx. zzqx, zzqx! (zzqx) yy", "", " once"], 1000)
+    assert sorted(given) == sorted([b"a", b" zzqx", b".", b",", b"!", b" (", b"zzqx", b")", b" yy", b" once"])
+    given.clear()
+    check(["b zzqx; zzqx: once"], 1000)
+    assert b" zzqx" not in given and b" once" in given
+    for part in range(12):  # the store begins anew now and then
+        check(strings(40, part % 3), 60)
+        assert len(own.names) <= 60 and own.names.to_pylist() == [d.decode() for d in own.kept[1].to_pylist()]
+
+
 def test_words_that_reach_over_cuts_are_not_cut():
     ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in open(registry.RANKS, "rb"))}
     assert batches.cuts_hold(P.PATTERN)
@@ -224,7 +249,7 @@ def test_words_that_reach_over_cuts_are_not_cut():
         library, own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), byte_bpe.Ranks(registry.RANKS, pattern)
         texts = ["end. The end.\n\nit's", *strings(30, 8)]
         names, index, offsets = own.chunked(pa.array(texts))
-        ids = own.chunks(names.to_pylist())
+        ids = own.chunks(names).to_pylist()
         got = [[x for i in index[a:b].tolist() for x in ids[i]] for a, b in zip(offsets, offsets[1:], strict=False)]
         assert got == [library.encode_ordinary(t) for t in texts]
 
