@@ -153,7 +153,7 @@ def compress(ids: np.ndarray, last: np.ndarray, first: int, least: int = LEAST_P
 
 
 def _frequent(pairs: np.ndarray, end: np.uint32, least: int, most: int) -> np.ndarray:
-    """Up to ``most`` of the most frequent pairs, none left in one and right in another, in ascending order."""
+    """Up to ``most`` of the ROUND_PAIRS most frequent pairs, none left in one and right in another, in ascending order."""
     ordered = np.sort(pairs)
     begins = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     count = np.diff(begins, append=len(ordered))
@@ -161,22 +161,21 @@ def _frequent(pairs: np.ndarray, end: np.uint32, least: int, most: int) -> np.nd
     own, count = ordered[begins[often]], count[often]
     if len(own) and own[-1] == end:
         own, count = own[:-1], count[:-1]
+    if not len(count):
+        return own
+    among = np.arange(len(count))
+    if len(count) > ROUND_PAIRS:
+        among = np.flatnonzero(count >= np.partition(count, -ROUND_PAIRS)[-ROUND_PAIRS])
     chosen: list[int] = []
     role = bytearray(SYMBOLS)  # bit 1: left in a chosen pair, bit 2: right
-    taken, above = 4 * most, np.iinfo(np.int64).max
-    while len(count) and len(chosen) < most and above > least:
-        limit = int(np.partition(count, -taken)[-taken]) if taken < len(count) else least
-        among = np.flatnonzero((count >= limit) & (count < above))
-        among = among[np.argsort(-count[among], kind="stable")]
-        for pair in own[among].tolist():
-            a, b = pair >> 16, pair & 0xFFFF
-            if not role[a] & 2 and not role[b] & 1 and (a != b or not role[a]):
-                chosen.append(pair)
-                role[a] |= 1
-                role[b] |= 2
-                if len(chosen) == most:
-                    break
-        above, taken = limit, 4 * taken
+    for pair in own[among[np.argsort(-count[among], kind="stable")]].tolist():
+        a, b = pair >> 16, pair & 0xFFFF
+        if not role[a] & 2 and not role[b] & 1 and (a != b or not role[a]):
+            chosen.append(pair)
+            role[a] |= 1
+            role[b] |= 2
+            if len(chosen) == most:
+                break
     return np.sort(np.array(chosen, np.uint32))
 
 
