@@ -3,7 +3,7 @@
 Texts with the same words are one node, so copies cost nothing more. Nodes that share a band are candidates. Not all
 pairs of a bucket are looked at: links are wanted only for classes, so pairs that are already in one class are
 skipped. Star rounds compare one member of each class with the best connected node of its buckets, which is
-near the middle of a group of copies. What is then still apart is described by its differences from the best connected
+near the middle of a group of copies. A node's buckets stay in one row with its class, which a round rewrites once. What is then still apart is described by its differences from the best connected
 node of the bucket, which bounds the similarity of every pair exactly (see ``_apart``); pairs that the bound allows
 are compared. So every candidate pair is compared, excluded by its bound or already in one class.
 """
@@ -106,17 +106,25 @@ def _verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
 
 
 def _differences(held: DataFrame) -> DataFrame:
-    """Per row of ``held`` (``ref``, ``node``, ``label``, ``shingles``, ``ref_shingles``) the shingles that only one of the two has."""
+    """Per row of ``held`` (``ref``, ``ref_label``, ``node``, ``label``, ``shingles``, ``weight``, ``top``, ``ref_shingles``) the
+    shingles that only one of the two has, and one more row that has ``ref_label``, ``weight`` and ``top``; its ``shingle`` is no
+    shingle, but spreads these rows."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given_back(batches):
-            for ref, node, label, own, its in zip(*batch.columns, strict=True):
+            for ref, ref_label, node, label, own, weight, top, its in zip(*batch.columns, strict=True):
                 found = np.setxor1d(np.frombuffer(own.as_py(), "<i8"), np.frombuffer(its.as_py(), "<i8"), assume_unique=True)
-                same = [pa.array([x.as_py()] * len(found), pa.binary()) for x in (ref, node, label)]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(found)], names=["ref", "node", "label", "shingle"])
-
-    columns = held.select("ref", "node", "label", "shingles", "ref_shingles")
-    return columns.mapInArrow(spread, "ref binary, node binary, label binary, shingle bigint")
+                same = [pa.array([x.as_py()] * (len(found) + 1), pa.binary()) for x in (ref, node, label)]
+                once = [pa.array([None] * len(found) + [x.as_py()], x.type) for x in (ref_label, weight, top)]
+                shingle = np.append(found, np.frombuffer(node.as_py(), "<i8", 1))
+                yield pa.RecordBatch.from_arrays(
+                    [*same, pa.array(shingle), *once], names=["ref", "node", "label", "shingle", "ref_label", "weight", "top"]
+                )
+
+    columns = held.select("ref", "ref_label", "node", "label", "shingles", "weight", "top", "ref_shingles")
+    return columns.mapInArrow(
+        spread, "ref binary, node binary, label binary, shingle bigint, ref_label binary, weight double, top double"
+    )
 
 
 def _able(similar: float, differ: Column) -> Column:
@@ -130,8 +138,9 @@ def _able(similar: float, differ: Column) -> Column:
     return differ <= (1 - similar) / (1 + similar / top) * (F.col("weight") + F.col("weight_b")) + 1e-6
 
 
-def _apart(placed: DataFrame, near: DataFrame, table: DataFrame, similar: float) -> DataFrame:
-    """Pairs (``a``, ``b``, ``x``, ``y``) of nodes in one bucket, but not in one class, that can be similar.
+def _apart(placed: DataFrame, mixed: DataFrame, table: DataFrame, similar: float) -> DataFrame:
+    """Pairs (``a``, ``b``, ``x``, ``y``) of nodes in one bucket, but not in one class, that can be similar. ``mixed`` has the
+    buckets of several classes, each with its best connected node.
 
     The nodes of a bucket are described by their differences from its best connected node: copies of one text have most
     shingles in common, and two texts differ in just those shingles in which one of them, but not both, differs from a third.
@@ -140,25 +149,27 @@ def _apart(placed: DataFrame, near: DataFrame, table: DataFrame, similar: float)
     frequent differences, a list for each node, it is known exactly in how many shingles two texts differ, before they are
     fetched: of plain sets only the similar pairs are left.
     """
-    bands = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = settle(bands.filter("low < high").select("band"), "several")
-    left = settle(placed.join(mixed, "band", "left_semi").join(near, "node"), "apart")
-    refs = left.groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("r"))
-    refs = settle(refs.select("band", F.col("r.node").alias("ref"), F.col("r.label").alias("ref_label")), "refs")
-    members = settle(left.join(refs, "band").select("ref", "ref_label", "node", "label").distinct(), "members")
+    refs = mixed.select("band", F.col("lead.node").alias("ref"), F.col("lead.label").alias("ref_label"))
+    members = placed.join(refs, "band").select("ref", "ref_label", "node", "label").distinct()
     its = table.select(F.col("node").alias("ref"), F.col("shingles").alias("ref_shingles"))
     held = members.join(table.drop("size"), "node").join(its, "ref")
     rows = settle(_differences(held), "differences")
-    held_by = rows.groupBy("ref", "shingle").agg(F.count("*").alias("n"), (F.min("label") == F.max("label")).alias("one_class"))
+    of_shingle = F.col("weight").isNull()
+    held_by = rows.filter(of_shingle).groupBy("ref", "shingle")
+    held_by = held_by.agg(F.count("*").alias("n"), (F.min("label") == F.max("label")).alias("one_class"))
     few = settle(held_by.filter((F.col("n") <= FEW) | F.col("one_class")).select("ref", "shingle", "one_class"), "few")
-    rows = settle(rows.join(few, ["ref", "shingle"], "left"), "marked")
-    frequent = F.collect_list(F.when(F.col("one_class").isNull(), F.col("shingle"))).alias("frequent")
-    own = rows.groupBy("ref", "node").agg(F.count("one_class").alias("rare"), frequent)
-    sizes = members.join(table.select("node", "weight", "top"), "node").join(own, ["ref", "node"], "left")
-    sizes = sizes.withColumns(
-        {"rare": F.coalesce("rare", F.lit(0)), "frequent": F.coalesce("frequent", F.array().cast("array<bigint>"))}
+    # Partners are looked up by their number of rare differences, in steps of a sixteenth of what is possible.
+    most = F.max(2 * (1 - similar) / (1 + similar / F.col("top")) * F.col("weight") / similar)
+    steps = rows.filter(~of_shingle).groupBy("ref").agg(
+        F.ceil(F.greatest(most / 16, F.lit(1.0))).alias("step"), F.max("top").alias("most_top"), F.max("weight").alias("most_weight")
     )
-    sizes = settle(sizes.withColumn("n_frequent", F.size("frequent")), "sizes")
+    steps = settle(steps, "steps")
+    marked = rows.join(few, ["ref", "shingle"], "left").withColumn("one_class", F.when(of_shingle, F.col("one_class")))
+    rows = settle(marked, "marked")
+    frequent = F.collect_list(F.when(of_shingle & F.col("one_class").isNull(), F.col("shingle"))).alias("frequent")
+    once = [F.max(c).alias(c) for c in ("ref_label", "weight", "top")]
+    own = rows.groupBy("ref", "node", "label").agg(F.count("one_class").alias("rare"), frequent, *once)
+    sizes = settle(own.withColumn("n_frequent", F.size("frequent")).join(steps, "ref"), "sizes")
 
     def other(rows: DataFrame, *same: str) -> DataFrame:
         return rows.select(*(F.col(c) if c in same else F.col(c).alias(f"{c}_b") for c in rows.columns))
@@ -175,32 +186,28 @@ def _apart(placed: DataFrame, near: DataFrame, table: DataFrame, similar: float)
     some = rows.filter("NOT one_class").select("ref", "shingle", "node", "label")
     met = some.join(other(some, "ref", "shingle"), ["ref", "shingle"]).filter(F.col("label") > F.col("label_b"))
     met = settle(met.groupBy("ref", "node", "node_b").agg(F.count("*").alias("common")), "met")
-    met = met.join(sizes, ["ref", "node"]).join(other(sizes, "ref").drop("ref_label_b"), ["ref", "node_b"])
+    partners = sizes.drop("ref_label", "most_top", "most_weight")
+    met = met.join(sizes, ["ref", "node"]).join(other(partners.drop("step"), "ref"), ["ref", "node_b"])
     met = met.filter(able("rare + rare_b - 2 * common"))
 
-    # Pairs without: one of them is not in the reference's class. Partners are looked up by their number of rare differences, in
-    # steps of a sixteenth of what is possible.
-    most = F.max(2 * (1 - similar) / (1 + similar / F.col("top")) * F.col("weight") / similar).alias("most")
-    steps = settle(sizes.groupBy("ref").agg(F.ceil(F.greatest(most / 16, F.lit(1.0))).alias("step"), F.max("top").alias("most_top"), F.max("weight").alias("most_weight")), "steps")
-    stepped = settle(sizes.join(steps, "ref"), "stepped")
-    outside = stepped.filter("label <> ref_label")
+    # Pairs without: one of them is not in the reference's class.
+    outside = sizes.filter("label <> ref_label")
     room = (1 - similar) / (1 + similar / F.col("most_top")) * (F.col("weight") + F.col("most_weight")) - F.col("rare") + 1e-6
     outside = outside.filter(room >= 0).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(room / F.col("step")))))
-    partners = other(stepped.withColumn("part", F.floor(F.col("rare") / F.col("step"))).drop("ref_label", "step", "most_top", "most_weight"), "ref", "part")
+    partners = other(partners.withColumn("part", F.floor(F.col("rare") / F.col("step"))).drop("step"), "ref", "part")
     near_by = outside.join(partners, ["ref", "part"]).filter((F.col("label") != F.col("label_b")) & able("rare + rare_b"))
     return met.select(*found).unionByName(near_by.select(*found)).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")
     ).distinct()
 
 
-def _hooked(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """``labels`` (``node``, ``label``: smallest node of its class) after merging classes along ``edges`` (``x`` > ``y``,
-    labels). In each turn a class joins its smallest neighbour, chains are shortened until each member knows
-    the root, and the edges between what are then different classes go on."""
-    while True:
+def _roots(edges: DataFrame) -> DataFrame | None:
+    """``label`` and ``root`` of every class that merges into another along ``edges`` (``x`` > ``y``, labels), none without
+    edges. In each turn a class joins its smallest neighbour, chains are shortened until each member knows the root, and the
+    edges between what are then different classes go on."""
+    moves = None
+    while not edges.isEmpty():
         parents = settle(edges.groupBy("x").agg(F.min("y").alias("y")), "parents")
-        if parents.isEmpty():
-            return labels
         while True:
             up = parents.select(F.col("x").alias("y"), F.col("y").alias("root"))
             jumped = settle(
@@ -211,13 +218,18 @@ def _hooked(labels: DataFrame, edges: DataFrame) -> DataFrame:
             if jumped.filter("moved").isEmpty():
                 break
         root = parents.select(F.col("x").alias("label"), F.col("y").alias("root"))
-        labels = settle(labels.join(root, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "labels")
+        if moves is None:
+            moves = root
+        else:
+            # What merges now is a root or was not moved before, so no label comes twice.
+            on = root.select(F.col("label").alias("root"), F.col("root").alias("next"))
+            moved = moves.join(on, "root", "left").select("label", F.coalesce("next", "root").alias("root"))
+            moves = settle(moved.unionByName(root), "moves")
         for end in ("x", "y"):
             of = root.select(F.col("label").alias(end), F.col("root").alias("root"))
             edges = edges.join(of, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
-        edges = settle(
-            edges.filter("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "edges"
-        )
+        edges = settle(edges.filter("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")), "edges")
+    return moves
 
 
 def classes(
@@ -240,37 +252,35 @@ def classes(
     Intermediate tables are written while the frame is built.
     """
     signed = settle(signature_table(docs, key, text, words, bands, band_rows), "signatures")
-    nodes = signed.groupBy("node").agg(F.min("row").alias("row"))
-    spread = signed.select("node", F.explode("bands").alias("band")).distinct()
-    shared = settle(spread.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"), "shared")
-    buckets = settle(settle(spread, "bands").join(shared, "band", "left_semi"), "buckets")
-    sizes = settle(buckets.groupBy("band").agg(F.count("*").alias("n")), "sizes")
-    near = buckets.join(sizes, "band").groupBy("node").agg(F.sum("n").alias("degree"))
-    near = settle(near, "near")
-    wanted = settle(near.select("node").join(nodes, "node"), "wanted")
-    table = settle(_shingle_table(docs, wanted, text, words), "shingles")
-
-    labels = near.select("node", F.col("node").alias("label"))
-    compared = leaders = None
+    low = F.min(F.struct(F.col("key").isNull().alias("unknown"), "key", "row")).alias("low")
+    nodes = signed.groupBy("node").agg(low, F.count("*").alias("n"), F.first("bands").alias("bands"))
+    nodes = settle(nodes, "nodes")
+    spread = nodes.select("node", F.col("low.row").alias("row"), F.explode(F.array_distinct("bands")).alias("band"))
+    sizes = settle(spread.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    # Nodes with company in a bucket: their buckets, the sum of these buckets' sizes, the class, and whether they have led.
+    near = spread.join(sizes, "band").groupBy("node")
+    near = near.agg(F.min("row").alias("row"), F.sum("n").alias("degree"), F.collect_list("band").alias("bands"))
+    near = settle(near.withColumns({"label": F.col("node"), "led": F.lit(False)}), "near")
+    table = settle(_shingle_table(docs, near.select("node", "row"), text, words), "shingles")
+    near = near.drop("row")
+
+    compared = None
     for turn in range(star_rounds + 1):
-        placed = settle(buckets.join(labels, "node"), "placed")
-        bands = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        mixed = settle(bands.filter("low < high").select("band"), "mixed")
+        placed = near.select("node", "label", "degree", "led", F.explode("bands").alias("band"))
+        # Of the nodes that have not led yet, the best connected one of each bucket leads.
+        rank = F.struct("degree", "node", "label")
+        lead = F.max(rank if turn == star_rounds else F.when(~F.col("led"), rank)).alias("lead")
+        mixed = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), lead)
+        mixed = settle(mixed.filter("low < high").select("band", "lead"), "mixed")
         if mixed.isEmpty():
             break
         if turn == star_rounds:
-            pairs = _apart(placed, near, table, similar)
+            pairs = _apart(placed, mixed, table, similar)
         else:
-            # Of the nodes that have not led yet, the best connected one of each bucket leads, and the best
-            # connected member stands for its class.
-            rank = F.struct("degree", "node").alias("best")
-            ranked = settle(placed.join(mixed, "band", "left_semi").join(near, "node"), "ranked")
-            members = ranked.groupBy("band", "label").agg(F.max(rank).alias("best"))
-            fresh_leaders = ranked if leaders is None else ranked.join(leaders, "node", "left_anti")
-            lead = fresh_leaders.groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("lead"))
-            met = settle(members, "members").join(settle(lead, "leads"), "band").filter(F.col("label") != F.col("lead.label"))
-            # One comparison for each class: with the best leader of all its buckets.
-            chosen = met.groupBy("label").agg(F.max(F.struct("lead", "best")).alias("m"))
+            # One comparison for each class: with the best leader of all its buckets. The best connected member there
+            # stands for it.
+            met = placed.join(mixed, "band").filter(F.col("label") != F.col("lead.label"))
+            chosen = met.groupBy("label").agg(F.max(F.struct("lead", F.struct("degree", "node").alias("best"))).alias("m"))
             pairs = chosen.select(
                 F.col("m.best.node").alias("a"),
                 F.col("m.lead.node").alias("b"),
@@ -278,24 +288,27 @@ def classes(
                 F.least("label", "m.lead.label").alias("y"),
             )
         if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+            same = (F.greatest("a", "b") == F.col("high")) & (F.least("a", "b") == F.col("low"))
+            pairs = pairs.join(compared, same, "left_anti")
         pairs = settle(pairs, "pairs")
-        linked = settle(_verified(pairs, table, similar), "linked")
-        labels = _hooked(labels, linked.select("x", "y").distinct())
-        seen = pairs.select("a", "b")
-        seen = seen.unionByName(seen.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        compared = settle(seen if compared is None else compared.unionByName(seen), "compared")
-        used = pairs.select(F.col("b").alias("node")).distinct()
-        leaders = settle(used if leaders is None else leaders.unionByName(used), "leaders")
-    return _with_classes(signed, labels)
+        moves = _roots(settle(_verified(pairs, table, similar), "linked").select("x", "y"))
+        if moves is not None:
+            near = near.join(moves, "label", "left").withColumn("label", F.coalesce("root", "label")).drop("root")
+        if turn == star_rounds:
+            break
+        if turn + 1 < star_rounds:
+            used = pairs.select(F.col("b").alias("node")).distinct().withColumn("now", F.lit(True))
+            near = near.join(used, "node", "left").withColumn("led", F.coalesce("now", "led")).drop("now")
+        near = settle(near, "near")
+        seen = pairs.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
+        compared = seen if compared is None else compared.unionByName(seen)
+    return _with_classes(signed, nodes.select("node", "low", "n"), near.select("node", "label"))
 
 
-def _with_classes(signed: DataFrame, labels: DataFrame) -> DataFrame:
+def _with_classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """Class sizes and members from counts per node; only nodes with company are joined back to the rows."""
-    low = F.min(F.struct(F.col("key").isNull().alias("unknown"), "key", "row"))
-    nodes = signed.groupBy("node").agg(low.alias("low"), F.count("*").alias("n"))
     nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    nodes = settle(nodes, "nodes")
+    nodes = settle(nodes, "classed")
     groups = nodes.groupBy("label").agg(F.min("low").alias("low"), F.sum("n").alias("n")).filter("n > 1")
     company = settle(
         nodes.select("node", "label").join(settle(groups, "groups"), "label").select("node", F.col("low.key").alias("class_id"), F.col("low.row").alias("lead"), "n"),

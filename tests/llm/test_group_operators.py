@@ -306,6 +306,20 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert sum(compared) < 10 * len(texts)
 
 
+def test_rounds_write_few_tables(spark, monkeypatch):
+    """With many shuffle partitions each table costs as many small tasks and files, whatever its size."""
+    texts = near_group(np.random.default_rng(4), [f"w{i}" for i in range(140)], 60, 9)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3).cache()
+    written = []
+    plain = near_dedup.settle
+    monkeypatch.setattr(near_dedup, "settle", lambda df, name: written.append(name) or plain(df, name))
+    got = {r.key: r.class_id for r in near_dedup.classes(docs).collect()}
+    label = classes_by_matrix(texts)
+    assert got == {i: int(label[i]) for i in range(len(texts))}
+    assert len(set(label)) > 1
+    assert len(written) <= 40
+
+
 def test_a_group_with_weights(spark):
     """Near copies of a text that repeats a phrase: counts weigh, and the bound for weighted texts holds."""
     rng = np.random.default_rng(8)
