@@ -373,6 +373,11 @@ def _master(spark, folder):
     return training.panel(inputs(spark, folder))
 
 
+def _rolled(spark, folder):
+    """The master panel's cells with rolling columns, which the grid makes while it unfolds."""
+    return features.add_rolling(training.panel(inputs(spark, folder), features.rolling_features(), C.ROLL_TARGETS))
+
+
 @register(
     "f01_lags", with_ctes(digest_sql(f"(SELECT {KEYS_SQL}, {LAG_SQL} FROM master)", LAG_COLUMNS), "master")
 )
@@ -385,7 +390,7 @@ def f01(spark, folder):
     with_ctes(digest_sql(f"(SELECT {KEYS_SQL}, {MEAN_SQL} FROM master)", MEAN_COLUMNS), "master"),
 )
 def f02(spark, folder):
-    return digest(features.add_rolling(_master(spark, folder)), MEAN_COLUMNS)
+    return digest(_rolled(spark, folder), MEAN_COLUMNS)
 
 
 @register(
@@ -393,7 +398,7 @@ def f02(spark, folder):
     with_ctes(digest_sql(f"(SELECT {KEYS_SQL}, {STD_SQL} FROM master)", STD_COLUMNS), "master"),
 )
 def f03(spark, folder):
-    return digest(features.add_rolling(_master(spark, folder)), STD_COLUMNS)
+    return digest(_rolled(spark, folder), STD_COLUMNS)
 
 
 YESTERDAY = f"lag(amount_total, 1) {BY_SERIES})"
@@ -447,7 +452,7 @@ def f06(spark, folder):
     with_ctes(digest_sql(f"(SELECT {KEYS_SQL}, {CASH_SQL} FROM master)", ["cash_ratio_roll_30d"]), "master"),
 )
 def f07(spark, folder):
-    return digest(features.add_payment_ratio(_master(spark, folder)), ["cash_ratio_roll_30d"])
+    return digest(features.add_payment_ratio(_master(spark, folder).select(C.DAY, *C.KEYS, "amount_cash", "amount_total")), ["cash_ratio_roll_30d"])
 
 
 def _phase(name: str, columns: list[str]):
@@ -544,7 +549,8 @@ FEATURE_SQL = f"""(SELECT *, amount_total_lag_1d / (size_sqm + 1) AS sales_per_s
 
 @register("f15_feature_pipeline", with_ctes(digest_sql(FEATURE_SQL, ENGINEERED), "master"))
 def f15(spark, folder):
-    return digest(training.feature_panel(inputs(spark, folder)), ENGINEERED)
+    of_stores = ("size_sqm", "num_checkouts", "opening_year")
+    return digest(training.feature_panel(inputs(spark, folder), of_stores), ENGINEERED)
 
 
 @register(

@@ -5,10 +5,17 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfspark import contract as C
+from shelfspark.functions import history
+
+# The executors need NumPy, not this package.
+cloudpickle.register_pickle_by_value(history)
 
 
 def by_series():
@@ -16,11 +23,6 @@ def by_series():
     return Window.partitionBy(*C.KEYS).orderBy(C.DAY)
 
 
-def _previous(days: int):
-    """Frame over the ``days`` rows before the current one."""
-    return by_series().rowsBetween(-days, -1)
-
-
 def _present(panel: DataFrame, targets: Iterable[str]) -> list[str]:
     return [t for t in targets if t in panel.columns]
 
@@ -29,20 +31,43 @@ def lag_columns(targets: Sequence[str], lags: Sequence[int]) -> dict[str, Column
     return {f"{t}_lag_{n}d": F.lag(t, n).over(by_series()) for t in targets for n in lags}
 
 
-def rolling_columns(targets: Sequence[str], windows: Sequence[int]) -> dict[str, Column]:
-    columns = {}
-    for t in targets:
-        for w in windows:
-            columns[f"{t}_roll_mean_{w}d"] = F.avg(t).over(_previous(w))
-            columns[f"{t}_roll_std_{w}d"] = F.stddev_samp(t).over(_previous(w))
-    return columns
+def rolling_features(targets: Sequence[str] = C.ROLL_TARGETS, windows: Sequence[int] = C.ROLL_DAYS) -> history.Wanted:
+    return history.Wanted(rolling={f"{t}_roll_{kind}_{w}d": (t, kind, w) for t in targets for w in windows for kind in ("mean", "std")})
+
+
+#: Cash share of the previous 30 days, clipped to 0..1; null without history.
+CASH_SHARE = ("cash_ratio_roll_30d", "amount_cash", "amount_total", 30)
+
+
+def _with_history(panel: DataFrame, wanted: history.Wanted) -> DataFrame:
+    """Lags and rolling columns of whole series in NumPy. Rows that already lie together by series stay where they are.
+
+    A sliding frame of the JVM goes over all its rows again for each row and column; the kernel adds shifted vectors instead.
+    """
+    if not wanted.names:
+        return panel
+    kept = [f for f in panel.schema.fields if f.name not in wanted.names]
+    schema, day = T.StructType([*kept, *history_fields(panel.schema, wanted)]), C.DAY
+
+    def run(rows: pa.Table) -> pa.Table:
+        return history.with_history(history.in_order(rows, day), wanted)
+
+    return panel.select(*(f.name for f in kept)).groupBy(*C.KEYS).applyInArrow(run, schema)
 
 
-def cash_ratio_column() -> Column:
-    """Cash share of the previous 30 days, clipped to 0..1; null without history."""
-    frame = _previous(30)
-    ratio = F.sum("amount_cash").over(frame) / (F.sum("amount_total").over(frame) + F.lit(1e-5))
-    return F.when(ratio.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), ratio)))
+def history_fields(schema: T.StructType, wanted: history.Wanted) -> list[T.StructField]:
+    kinds = {name: schema[t].dataType for name, (t, _) in wanted.lags.items()}
+    return [T.StructField(c, kinds.get(c, T.DoubleType())) for c in wanted.names]
+
+
+def window_features(columns: Iterable[str]) -> history.Wanted:
+    """Lags, rolling frames and the payment ratio that a panel with these columns gets."""
+    have = set(columns)
+    return history.Wanted(
+        {f"{t}_lag_{n}d": (t, n) for t in C.LAG_TARGETS if t in have for n in C.LAG_DAYS},
+        rolling_features([t for t in C.ROLL_TARGETS if t in have]).rolling,
+        CASH_SHARE if {"amount_cash", "amount_total"} <= have else None,
+    )
 
 
 def add_lags(
@@ -55,8 +80,9 @@ def add_lags(
 def add_rolling(
     panel: DataFrame, targets: Sequence[str] = C.ROLL_TARGETS, windows: Sequence[int] = C.ROLL_DAYS
 ) -> DataFrame:
-    """Mean and sample deviation of the previous days, today excluded."""
-    return panel.withColumns(rolling_columns(_present(panel, targets), windows))
+    """Mean and sample deviation of the previous days, today excluded, unless the grid made them while it unfolded."""
+    wanted = rolling_features(_present(panel, targets), windows)
+    return panel if set(wanted.names) <= set(panel.columns) else _with_history(panel, wanted)
 
 
 def add_store_ratios(panel: DataFrame) -> DataFrame:
@@ -73,7 +99,7 @@ def add_store_ratios(panel: DataFrame) -> DataFrame:
 
 def add_payment_ratio(panel: DataFrame) -> DataFrame:
     if {"amount_cash", "amount_total"} <= set(panel.columns):
-        return panel.withColumn("cash_ratio_roll_30d", cash_ratio_column())
+        return _with_history(panel, history.Wanted(share=CASH_SHARE))
     return panel
 
 
@@ -95,14 +121,9 @@ def add_calendar_phases(panel: DataFrame) -> DataFrame:
 
 
 def add_window_features(panel: DataFrame) -> DataFrame:
-    """Lags, rolling frames and the payment ratio in one pass over one sort of the series."""
-    windowed = {
-        **lag_columns(_present(panel, C.LAG_TARGETS), C.LAG_DAYS),
-        **rolling_columns(_present(panel, C.ROLL_TARGETS), C.ROLL_DAYS),
-    }
-    if {"amount_cash", "amount_total"} <= set(panel.columns):
-        windowed["cash_ratio_roll_30d"] = cash_ratio_column()
-    return panel.withColumns(windowed)
+    """Lags, rolling frames and the payment ratio in one pass over the series, unless the grid made them while it unfolded."""
+    wanted = window_features(panel.columns)
+    return panel if set(wanted.names) <= set(panel.columns) else _with_history(panel, wanted)
 
 
 def engineer_features(panel: DataFrame, calendar: DataFrame | None = None) -> DataFrame:

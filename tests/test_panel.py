@@ -219,3 +219,48 @@ def test_calendar_rules(spark):
     assert calendar.loc[date(2023, 1, 1), "day_of_week"] == 6
     assert list(calendar.index[calendar["is_buen_fin"]]) == [date(2023, 11, d) for d in (17, 18, 19, 20)]
     assert calendar["is_navidad_season"].sum() == 6 + 17 + 6
+
+
+def test_rolling_columns_come_from_kernels_and_equal_frames(spark):
+    """No sliding frame is left in the plan; the kernels on cells and on finished panels equal the frames of plain SQL, with
+    unknown readings, several facts on a day, days the calendar skips and a store outside the dimension."""
+    rng = np.random.default_rng(5)
+    rows = [
+        (d, s, c, None if rng.random() < 0.1 else float(rng.integers(0, 9)), float(rng.integers(0, 5)), None if rng.random() < 0.3 else float(rng.integers(1, 50)))
+        for s in ("s1", "s2", "gone")
+        for c in ("A", "B")
+        for d in days(60)
+        if rng.random() < 0.5
+    ]
+    facts = spark.createDataFrame([*rows, (days(60)[7], "s1", "A", 1.0, 1.0, 2.0), (days(60)[7], "s1", "A", 9.0, 1.0, 2.0), (days(60)[7], "s1", None, 1.0, 1.0, 2.0)],
+                                  "date date, store_id string, category string, amount_total double, amount_cash double, units_sold double")
+    stores = spark.createDataFrame([("s1", 5), ("s2", None), ("s3", 7)], "store_id string, size_sqm int")
+    calendar = spark.createDataFrame([(d,) for d in days(60) if d.day != 11], "date date")
+    wanted = features.window_features(facts.columns)
+    zeros = ("amount_total", "amount_cash")
+    measures = ["amount_total", "amount_cash", "units_sold"]
+    opened = grid.open_series(facts, stores, calendar)
+    made = grid.unfold_with_history(opened, calendar, measures, wanted, zeros=zeros)
+    plain = grid.flag_outages(grid.densify(facts, stores, calendar)).fillna(0, list(zeros))
+    assert "Window" not in (plan := features.add_window_features(plain)._jdf.queryExecution().optimizedPlan().toString())[: plan.index("Generate")]
+    frame = "OVER (PARTITION BY store_id, category ORDER BY date ROWS BETWEEN {} PRECEDING AND 1 PRECEDING)"
+    columns = [f"lag({t}, {k}) OVER (PARTITION BY store_id, category ORDER BY date) AS {name}" for name, (t, k) in wanted.lags.items()]
+    columns += [f"{'avg' if kind == 'mean' else 'stddev_samp'}({t}) {frame.format(w)} AS {name}" for name, (t, kind, w) in wanted.rolling.items()]
+    share = "sum({}) " + frame.format(30)
+    ratio = f"{share.format('amount_cash')} / ({share.format('amount_total')} + 1e-5)"
+    columns.append(f"if({ratio} IS NULL, NULL, least(1.0, {ratio})) AS cash_ratio_roll_30d")
+    # The doubled day has no order of its own, so the series that has it is compared cell by cell without windows.
+    once = "NOT (store_id = 's1' AND category = 'A')"
+    names = ["store_id", "category", "date", "size_sqm", *measures, "pos_outage_flag"]
+
+    def table(df, keep):
+        return df.select(keep).toPandas().sort_values(names[:3] + ["amount_total"]).reset_index(drop=True)
+
+    want = plain.selectExpr("*", *columns)
+    assert made.count() == plain.count() > 58 * 6
+    pd.testing.assert_frame_equal(table(made, names), table(want, names))
+    for got in (made, features.add_window_features(plain)):
+        pd.testing.assert_frame_equal(table(got.where(once), names + wanted.names), table(want.where(once), names + wanted.names))
+    few = grid.unfold_with_history(opened, calendar, measures, features.rolling_features(["units_sold"], (7,)), ["size_sqm"], zeros)
+    assert few.columns == ["date", "store_id", "category", "size_sqm", "units_sold_roll_mean_7d", "units_sold_roll_std_7d"]
+    assert few.count() == plain.count()
