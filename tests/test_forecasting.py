@@ -306,3 +306,48 @@ def test_importance_of_splits_and_of_gain(spark):
     by_splits, by_gain = (dict(map(tuple, model.feature_importance(kind=k).collect())) for k in ("splits", "gain"))
     assert sum(by_splits.values()) == pytest.approx(1) and sum(by_gain.values()) == pytest.approx(1)
     assert by_gain["a"] > 0.9 and by_splits["b"] > by_splits["a"]
+
+
+def test_vectors_come_from_facts_and_equal_the_long_series(spark):
+    """The kernel's vectors equal those of the unfolded panel (leading gaps, series without values, days after the end, stores
+    that share an id text), no cell is sorted or windowed for them, and the same folds, samples and rankings come of both."""
+    from shelfspark import contract as C
+    from shelfspark.plans import challenge, training
+
+    rng = np.random.default_rng(8)
+    day = [DAY0 + timedelta(days=i) for i in range(120)]
+    end = day[109]
+    rows = [
+        (d, s, c, 10, 4, 6, 9.0, 4.0, 5.0, None if rng.random() < 0.2 else 3.0, 1.0, 0, None if rng.random() < 0.2 else float(rng.integers(1, 60)))
+        for s in ("x", "x_A", "late", "gone")
+        for c in ("A", "A_A")
+        for d in day[40 if s == "late" else 0 :]
+        if rng.random() < 0.4
+    ]
+    rows += [(d, "never", "A", 1, 1, 0, 1.0, 1.0, 0.0, 1.0, 1.0, 0, None if d <= end else 7.0) for d in day[::7]]
+    stores = [(s, "Express", "r", 5, 1, 2000, "C", True, False) for s in ("x", "x_A", "late", "never")]
+    from shelfspark.sources.calendar import build_calendar
+
+    i = training.Inputs(
+        spark.createDataFrame(rows, C.TRANSACTIONS),
+        spark.createDataFrame(stores, C.STORES),
+        build_calendar(spark, day[0], day[-1]),
+        C.Splits(day[0], day[60], day[61], end, day[110], day[-1]),
+    )
+    panel, vectors = training.panel(i), training.panel_vectors(i, end)
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "Window" not in plan
+
+    def rows_of(df):
+        return sorted(map(str, df.collect()))
+
+    long = series.build_series(panel, end, keyed=True)
+    assert rows_of(series.series_vectors(vectors)) == rows_of(series.series_vectors(long)) and vectors.count() == 6
+    assert rows_of(series.rolling_folds(vectors, end)) == rows_of(series.rolling_folds(long, end))
+    options = {"horizon": 14, "step": 7, "windows": 3}
+    assert rows_of(series.rolling_folds(vectors, end, **options)) == rows_of(series.rolling_folds(long, end, **options))
+    assert rows_of(smoothing.model_folds(vectors, end)) == rows_of(smoothing.model_folds(long, end))
+    for plan_of in (lambda s: training.rolling_forecasts(s, i.splits), lambda s: training.blind_forecast(s, i.splits)):
+        assert rows_of(plan_of(vectors)) == rows_of(plan_of(panel))
+    ranked = [challenge.challenge(s, end, 3).orderBy("stage", "place").toPandas() for s in (vectors, panel)]
+    pd.testing.assert_frame_equal(*ranked)
