@@ -1,8 +1,11 @@
-"""NumPy kernels of histogram boosting: sums per node, feature and bin of a block of rows, and the best split of such sums."""
+"""NumPy kernels of histogram boosting: sums per node, feature and bin of a block of rows, the best split of such sums, and the growth
+of a tree from sums, wherever they come from."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import heapq
+from collections.abc import Callable, Iterator
+from dataclasses import astuple, dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -52,11 +55,11 @@ def unpacked(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarr
     return bins.reshape(-1, features), y, score, val.astype(bool)
 
 
-def leaves(tree: Tree, bins: np.ndarray) -> np.ndarray:
-    """The leaf that each row ends in."""
+def leaves(tree: Tree, bins: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """The leaf that each row ends in, on the way from the root or from the nodes of ``start``."""
     feature, at = np.array(tree.feature), np.array(tree.bin)
     lost, left, right = np.array(tree.missing_left), np.array(tree.left), np.array(tree.right)
-    node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+    node, rows = np.zeros(len(bins), np.int64) if start is None else start.copy(), np.arange(len(bins))
     while len(rows):
         own = node[rows]
         inner = feature[own] >= 0
@@ -113,3 +116,123 @@ def best_split(sums: np.ndarray, penalty: float, least_rows: int) -> Split | Non
             sides = [(float(x[0, f, b]), float(x[1, f, b])) for x in (left, right)]
             best = Split(found, int(f), int(b), missing_left, *sides)
     return best
+
+
+@dataclass
+class Open:
+    """A node that can be split: its best split and the smallest gain on the way to it."""
+
+    split: Split
+    way: float
+    depth: int
+    sums: np.ndarray | None
+
+
+def _leaf(side: tuple[float, float], settings: dict) -> float:
+    return -settings["learning_rate"] * side[0] / max(side[1] + settings["penalty"], 1e-12)
+
+
+def grow_tree(sums_of: Callable[[Tree, list[int]], tuple[np.ndarray, float]], settings: dict) -> tuple[Tree, float]:
+    """The next tree and the validation error before it. ``sums_of`` has the sums of the wanted nodes of a tree, and that error.
+
+    Depth by depth, every node is opened that can be among the ``max_leaves`` - 1 best: those splits that are largest by the
+    smallest gain on the way to them are just those that best-first growth would choose.
+    """
+    tree, most, root = Tree.stump(), settings["max_leaves"], 0
+    sums, error = sums_of(tree, [root])
+    known: dict[int, Open] = {}
+
+    def look(node: int, own: np.ndarray, depth: int, way: float) -> None:
+        split = best_split(own, settings["penalty"], settings["least_rows"])
+        if split is not None:
+            known[node] = Open(split, min(way, split.gain), depth, own)
+
+    look(root, sums[0], 0, float("inf"))
+    fresh = list(known)
+    while fresh:
+        ranked = sorted(known, key=lambda n: -known[n].way)
+        able = set(ranked if most is None else ranked[: most - 1])
+        born: list[tuple[int, int, int]] = []  # parent, smaller and larger child
+        for node in fresh:
+            if node in able:
+                o = known[node]
+                s = o.split
+                left, right = tree.split(node, s.feature, s.bin, s.missing_left, s.gain, (_leaf(s.left, settings), _leaf(s.right, settings)))
+                if o.depth + 1 < settings["max_depth"]:
+                    born.append((node, *((left, right) if s.left[1] <= s.right[1] else (right, left))))
+        fresh = []
+        if born:
+            sums, _ = sums_of(tree, [small for _, small, _ in born])
+            before = set(known)
+            for i, (parent, small, large) in enumerate(born):
+                o = known[parent]
+                look(small, sums[i], o.depth + 1, o.way)
+                look(large, o.sums - sums[i], o.depth + 1, o.way)
+            fresh = [n for n in known if n not in before]
+        for node, o in known.items():
+            if node not in fresh:
+                o.sums = None
+    return _pruned(tree, known, most), error
+
+
+def _pruned(tree: Tree, known: dict[int, Open], most: int | None) -> Tree:
+    """The tree that best-first growth to ``most`` leaves gives: nodes that it does not split become leaves."""
+    out, size = Tree(), 1
+    waiting: list[tuple[float, int, int]] = []
+
+    def found(node: int) -> int:
+        at = out.add(tree.value[node])
+        if tree.feature[node] >= 0:
+            heapq.heappush(waiting, (-known[node].split.gain, node, at))
+        return at
+
+    found(0)
+    while waiting and (most is None or size < most):
+        _, node, at = heapq.heappop(waiting)
+        out.feature[at], out.bin[at], out.missing_left[at], out.gain[at] = tree.feature[node], tree.bin[node], tree.missing_left[node], tree.gain[node]
+        out.left[at], out.right[at] = found(tree.left[node]), found(tree.right[node])
+        size += 1
+    return out
+
+
+class Block:
+    """Some rows in memory: bins, target and score of training and of validation rows."""
+
+    def __init__(self, bins: np.ndarray, y: np.ndarray, score: np.ndarray, val: np.ndarray, trees: tuple[Tree, ...] = ()):
+        score = grown(score, [*trees], bins)
+        self.sides = [[bins[x], y[x], score[x]] for x in (~val, val)]
+        self.node = np.zeros(0, np.int64)
+
+    def add(self, tree: Tree) -> None:
+        for side in self.sides:
+            side[2] = grown(side[2], [tree], side[0])
+
+    def sums(self, tree: Tree, wanted: list[int]) -> np.ndarray:
+        bins, y, score = self.sides[0]
+        # The tree only grows by a depth between two calls.
+        self.node = leaves(tree, bins, None if wanted == [0] else self.node)
+        return node_sums(bins, score - y, self.node, wanted)
+
+    def squares(self) -> tuple[float, int]:
+        _, y, score = self.sides[1]
+        return ((score - y) ** 2).sum(), len(y)
+
+
+def rounds(blocks: list[Block], features: int, settings: dict, most: int) -> Iterator[tuple[tuple | None, float]]:
+    """``most`` trees as tuples of their columns, each with the validation error before it, and at last the error after them."""
+
+    def error() -> float:
+        squares, rows = (sum(x) for x in zip((0.0, 0), *(b.squares() for b in blocks), strict=True))
+        return squares / rows if rows else float("nan")
+
+    for _ in range(most):
+        before = error()
+
+        def sums_of(tree: Tree, wanted: list[int], before: float = before) -> tuple[np.ndarray, float]:
+            return sum((b.sums(tree, wanted) for b in blocks), np.zeros((len(wanted), 2, features, BINS))), before
+
+        tree, _ = grow_tree(sums_of, settings)
+        for block in blocks:
+            block.add(tree)
+        yield astuple(tree), before
+    yield None, error()

@@ -4,14 +4,15 @@ Features are cut once into 255 bins at their quantiles, with a bin of its own fo
 feature. From then on a round needs sums of gradients and curvatures per node, feature and bin only: each task sums its rows,
 Spark adds the sums of the tasks, and the driver, which sees nothing but these sums (their number depends on nodes and
 features, not on rows), chooses the splits. Of two siblings only the smaller one is summed; the other is what is left of the
-parent. The nodes of one depth are summed in one pass. Of the deep model only nodes that can still be among the best are
+parent. The nodes of one depth are summed in one pass. Rows that fit one task are not dealt out: it sums and grows by itself, with the
+same code, and sends back trees. Of the deep model only nodes that can still be among the best are
 opened, which gives the same tree as opening the best leaf each time.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Literal
@@ -46,6 +47,11 @@ PATIENCE = 30
 TASK_ROWS = 50_000
 #: Trees that tasks apply anew before scores are written again.
 UNWRITTEN = 10
+#: Bins (rows times features, a byte each) up to which one task holds all rows and grows the trees alone. A job for each depth takes
+#: longer than the sums of so few rows.
+ONE_TASK = 16_000_000
+#: Trees that such a task grows before the driver looks whether to stop.
+TREES_AT_ONCE = 50
 NODE_COLUMNS = ["tree", "node", "feature", "threshold", "missing_left", "left", "right", "value", "gain"]
 NODES = "tree int, node int, feature int, threshold double, missing_left boolean, left int, right int, value double, gain double"
 
@@ -130,81 +136,41 @@ def _sums(state: DataFrame, tasks: int, trees: list[H.Tree], tree: H.Tree, wante
     return sums, squares / rows if rows else float("nan")
 
 
-@dataclass
-class Open:
-    """A node that can be split: its best split and the smallest gain on the way to it."""
-
-    split: H.Split
-    way: float
-    depth: int
-    sums: np.ndarray | None
-
-
-def _leaf(side: tuple[float, float], settings: dict) -> float:
-    return -settings["learning_rate"] * side[0] / max(side[1] + settings["penalty"], 1e-12)
-
-
-def grow_tree(state: DataFrame, tasks: int, trees: list[H.Tree], features: int, settings: dict) -> tuple[H.Tree, float]:
-    """The next tree and the validation error before it. ``trees`` are not yet in the scores of ``state``.
-
-    Depth by depth, every node is opened that can be among the ``max_leaves`` - 1 best: those splits that are largest by the
-    smallest gain on the way to them are just those that best-first growth would choose.
-    """
-    tree, most, root = H.Tree.stump(), settings["max_leaves"], 0
-    sums, error = _sums(state, tasks, trees, tree, [root], features)
-    known: dict[int, Open] = {}
-
-    def look(node: int, own: np.ndarray, depth: int, way: float) -> None:
-        split = H.best_split(own, settings["penalty"], settings["least_rows"])
-        if split is not None:
-            known[node] = Open(split, min(way, split.gain), depth, own)
-
-    look(root, sums[0], 0, float("inf"))
-    fresh = list(known)
-    while fresh:
-        ranked = sorted(known, key=lambda n: -known[n].way)
-        able = set(ranked if most is None else ranked[: most - 1])
-        born: list[tuple[int, int, int]] = []  # parent, smaller and larger child
-        for node in fresh:
-            if node in able:
-                o = known[node]
-                s = o.split
-                left, right = tree.split(node, s.feature, s.bin, s.missing_left, s.gain, (_leaf(s.left, settings), _leaf(s.right, settings)))
-                if o.depth + 1 < settings["max_depth"]:
-                    born.append((node, *((left, right) if s.left[1] <= s.right[1] else (right, left))))
-        fresh = []
-        if born:
-            sums, _ = _sums(state, tasks, trees, tree, [small for _, small, _ in born], features)
-            before = set(known)
-            for i, (parent, small, large) in enumerate(born):
-                o = known[parent]
-                look(small, sums[i], o.depth + 1, o.way)
-                look(large, o.sums - sums[i], o.depth + 1, o.way)
-            fresh = [n for n in known if n not in before]
-        for node, o in known.items():
-            if node not in fresh:
-                o.sums = None
-    return _pruned(tree, known, most), error
-
-
-def _pruned(tree: H.Tree, known: dict[int, Open], most: int | None) -> H.Tree:
-    """The tree that best-first growth to ``most`` leaves gives: nodes that it does not split become leaves."""
-    out, size = H.Tree(), 1
-    waiting: list[tuple[float, int, int]] = []
-
-    def found(node: int) -> int:
-        at = out.add(tree.value[node])
-        if tree.feature[node] >= 0:
-            heapq.heappush(waiting, (-known[node].split.gain, node, at))
-        return at
-
-    found(0)
-    while waiting and (most is None or size < most):
-        _, node, at = heapq.heappop(waiting)
-        out.feature[at], out.bin[at], out.missing_left[at], out.gain[at] = tree.feature[node], tree.bin[node], tree.missing_left[node], tree.gain[node]
-        out.left[at], out.right[at] = found(tree.left[node]), found(tree.right[node])
-        size += 1
-    return out
+def _rounds(state: DataFrame, tasks: int, features: int, settings: dict, errors: bool) -> Iterator[tuple[H.Tree | None, float]]:
+    """The next tree and the validation error before it, round after round, and at last the error after all trees. Every depth
+    of a tree is a pass of all tasks over their rows; scores are written every ten trees."""
+    fresh: list[H.Tree] = []
+    for i in range(settings["n_trees"] + 1):
+        if len(fresh) >= UNWRITTEN:
+            state, fresh = settle(_advanced(state, fresh, features), "scores"), []
+        if i == settings["n_trees"]:
+            yield None, _sums(state, tasks, fresh, H.Tree.stump(), [], features)[1] if errors else 0.0
+        else:
+            grown = H.grow_tree(lambda tree, wanted: _sums(state, tasks, fresh, tree, wanted, features), settings)  # noqa: B023
+            fresh = [*fresh, grown[0]]
+            yield grown
+
+
+def _rounds_of_one_task(state: DataFrame, features: int, settings: dict, errors: bool) -> Iterator[tuple[H.Tree | None, float]]:
+    """``_rounds`` of rows that one task can hold: it grows many trees in one pass, without a job for each depth."""
+    trees: list[H.Tree] = []
+    while True:
+        left = settings["n_trees"] - len(trees)
+        most = min(left, TREES_AT_ONCE) if errors else left
+
+        def run(batches: Iterator[pa.RecordBatch], before: tuple[H.Tree, ...] = tuple(trees), most: int = most) -> Iterator[pa.RecordBatch]:
+            blocks = [H.Block(*H.unpacked(batch, features), before) for batch in batches]
+            found = [pickle.dumps(x) for x in H.rounds(blocks, features, settings, most)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(found)), pa.int32()), pa.array(found, pa.binary())], names=["nth", "found"])
+
+        done = sorted(state.coalesce(1).mapInArrow(run, "nth int, found binary").collect())
+        *grown, (_, last) = (pickle.loads(r["found"]) for r in done)
+        for tree, error in grown:
+            trees.append(H.Tree(*tree))
+            yield trees[-1], error
+        if most == left:
+            yield None, last
+            return
 
 
 @dataclass
@@ -228,7 +194,7 @@ class DemandRegressor:
         return {**PRESETS[self.preset], **self.params}
 
     def fit(self, train: DataFrame, features: Sequence[str], val: DataFrame | None = None) -> DemandRegressor:
-        """Grow trees until early stopping on ``val`` or the number of trees. Scores are written every ten trees."""
+        """Grow trees until early stopping on ``val`` or the number of trees."""
         s = self.settings()
         self.features = list(features)
         present = F.col(self.target).isNotNull()
@@ -240,25 +206,20 @@ class DemandRegressor:
             rows = rows.unionByName(val.where(present).select(*self.features, self.target, F.lit(True).alias("_val")))
             count += val.where(present).count()
         state = _binned(rows, self.features, edges, self.target, self.base, "_val")
-        tasks = max(1, -(-count // TASK_ROWS))
-        state = settle(state.repartition(tasks), "binned")
         stop = s["early_stop"] and val is not None
+        if count * len(edges) <= ONE_TASK:
+            rounds = _rounds_of_one_task(settle(state.repartition(1), "binned"), len(edges), s, stop)
+        else:
+            tasks = max(1, -(-count // TASK_ROWS))
+            rounds = _rounds(settle(state.repartition(tasks), "binned"), tasks, len(edges), s, stop)
         trees: list[H.Tree] = []
-        written = 0
         self.val_errors = []
-        for i in range(s["n_trees"] + 1):
-            if len(trees) - written >= UNWRITTEN:
-                state = settle(_advanced(state, trees[written:], len(edges)), "scores")
-                written = len(trees)
-            if i == s["n_trees"]:
-                error = _sums(state, tasks, trees[written:], H.Tree.stump(), [], len(edges))[1] if stop else 0.0
-            else:
-                tree, error = grow_tree(state, tasks, trees[written:], len(edges), s)
+        for i, (tree, error) in enumerate(rounds):
             if i and stop:
                 self.val_errors.append(error)
                 if len(self.val_errors) - rounds_kept(self.val_errors) >= PATIENCE:
                     break
-            if i < s["n_trees"]:
+            if tree is not None:
                 trees.append(tree)
         if stop:
             trees = trees[: rounds_kept(self.val_errors)]

@@ -351,3 +351,29 @@ def test_vectors_come_from_facts_and_equal_the_long_series(spark):
         assert rows_of(plan_of(vectors)) == rows_of(plan_of(panel))
     ranked = [challenge.challenge(s, end, 3).orderBy("stage", "place").toPandas() for s in (vectors, panel)]
     pd.testing.assert_frame_equal(*ranked)
+
+
+@pytest.mark.parametrize("preset", ["deep", "shallow"])
+def test_rows_of_one_task_are_grown_without_a_job_a_depth(spark, monkeypatch, preset):
+    """One task gives the trees and errors of many, stops at the same round, and needs a job for many trees."""
+    rng = np.random.default_rng(4)
+    x = np.round(rng.uniform(0, 9, (400, 3)), 1)
+    x[rng.random((400, 3)) < 0.1] = np.nan
+    rows = [(*(None if np.isnan(v) else float(v) for v in r), float(np.nan_to_num(r[0]) * 3 + np.nan_to_num(r[1]) ** 2 + rng.normal(0, 20))) for r in x]
+    schema = "a double, b double, c double, replenishment_signal double"
+    train, val = (spark.createDataFrame(r, schema).coalesce(1) for r in (rows[:250], rows[250:]))
+    settings = {"n_trees": 9, "max_depth": 3, "learning_rate": 0.9, "least_rows": 3}
+    monkeypatch.setattr(boosting, "PATIENCE", 3)
+    tracker, fitted = spark.sparkContext.statusTracker(), []
+    for room in (10**6, 0):
+        monkeypatch.setattr(boosting, "ONE_TASK", room)
+        spark.sparkContext.setJobGroup(f"fit {preset} {room}", "")
+        fitted.append(boosting.DemandRegressor(preset, settings).fit(train, ["a", "b", "c"], val))
+    one, many = fitted
+    pd.testing.assert_frame_equal(one.nodes, many.nodes)
+    assert one.trees == many.trees and one.val_errors == pytest.approx(many.val_errors, rel=1e-12)
+    jobs = [len(tracker.getJobIdsForGroup(f"fit {preset} {room}")) for room in (10**6, 0)]
+    assert jobs[0] < 12 < jobs[1]
+    monkeypatch.setattr(boosting, "ONE_TASK", 10**6)
+    monkeypatch.setattr(boosting, "TREES_AT_ONCE", 2)
+    pd.testing.assert_frame_equal(boosting.DemandRegressor(preset, settings).fit(train, ["a", "b", "c"], val).nodes, one.nodes)
