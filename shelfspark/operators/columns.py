@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.lookups import with_lookup
 from shelfspark.functions.moments import sample_kurtosis, sample_skewness
-from shelfspark.operators.quantiles import quantile_columns
+from shelfspark.operators.quantiles import long_values, quantile_columns
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -64,10 +64,14 @@ def nulls_by(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return counts.select(key, F.inline("rows")).where(F.col("null_count") > 0).select("column", key, "null_count")
 
 
+def plain(df: DataFrame, column: str) -> Column:
+    """The column's values; those with the same text are the same."""
+    return F.col(column) + F.lit(0.0) if dict(df.dtypes)[column] in ("double", "float") else F.col(column)  # -0.0 is 0.0
+
+
 def shown(df: DataFrame, column: str) -> Column:
     """The column's values as text."""
-    value = F.col(column) + F.lit(0.0) if dict(df.dtypes)[column] in ("double", "float") else F.col(column)  # -0.0 is 0.0
-    return value.cast("string")
+    return plain(df, column).cast("string")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -87,12 +91,21 @@ def value_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def cardinalities(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, cardinality, top_share): distinct values and share of the commonest, null included."""
-    return (
-        value_counts(df, columns)
-        .groupBy("column")
-        .agg(F.count("*").alias("cardinality"), (F.max("n") / F.sum("n")).alias("top_share"))
-    )
+    """(column, cardinality, top_share): distinct values and share of the commonest, null included.
+
+    Counted as ``value_counts`` does, but numbers stay numbers: their texts would take most of the time.
+    """
+    columns, kinds = list(columns or df.columns), dict(df.dtypes)
+    exact = ("tinyint", "smallint", "int", "float", "double")
+
+    def value(i: int, c: str) -> Column:
+        number, text = (plain(df, c), F.lit(None)) if kinds[c] in exact else (F.lit(None), shown(df, c))
+        return F.struct(F.lit(i).alias("nth"), number.cast("double").alias("number"), text.cast("string").alias("text"))
+
+    values = df.select(F.inline(F.array(*(value(i, c) for i, c in enumerate(columns)))))
+    counts = values.groupBy("nth", "number", "text").agg(F.count("*").alias("n"))
+    per_column = counts.groupBy("nth").agg(F.count("*").alias("cardinality"), (F.max("n") / F.sum("n")).alias("top_share"))
+    return per_column.select(F.array(*map(F.lit, columns))[F.col("nth")].alias("column"), "cardinality", "top_share")
 
 
 def constant_columns(df: DataFrame) -> DataFrame:
@@ -108,7 +121,7 @@ def constant_columns(df: DataFrame) -> DataFrame:
 
 def _mark(value: Column) -> Column:
     """52 bits of a value, null included: whole numbers that a double holds exactly."""
-    return F.shiftrightunsigned(F.xxhash64(F.coalesce(F.concat(F.lit("="), value), F.lit("null"))), 12)
+    return F.shiftrightunsigned(F.xxhash64(value), 12)
 
 
 def majority_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -120,7 +133,7 @@ def majority_values(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     shuffled but one row for each task. For columns without such a majority ``held`` counts some value or other.
     """
     columns = list(columns or df.columns)
-    marks = {c: _mark(shown(df, c)) for c in columns}
+    marks = {c: _mark(plain(df, c)) for c in columns}
     found = df.agg(*(F.percentile_approx(marks[c], 0.5, 100).alias(f"m{i}") for i, c in enumerate(columns))).first()
     per_column = []
     for i, c in enumerate(columns):
@@ -204,24 +217,21 @@ def whitespace_report(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 
 
 def numeric_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, count, mean, std, min, max, range, skewness, kurtosis) over non-null values."""
-
-    def row(c: str):
-        v = F.col(c).cast("double")
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.count(v).alias("count"),
-            F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
-            (F.max(v) - F.min(v)).alias("range"),
-            sample_skewness(v).alias("skewness"),
-            sample_kurtosis(v).alias("kurtosis"),
-        )
+    """(column, count, mean, std, min, max, range, skewness, kurtosis) over non-null values.
 
-    described = df.agg(F.array(*[row(c) for c in columns]).alias("rows")).select(F.inline("rows"))
-    return described.where(F.col("count") > 0)
+    Rows of (column, value) share one set of aggregates. A set for each column makes a method that the JVM no longer compiles.
+    """
+    v = F.col("value")
+    return long_values(df, columns).groupBy("column").agg(
+        F.count(v).alias("count"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+        (F.max(v) - F.min(v)).alias("range"),
+        sample_skewness(v).alias("skewness"),
+        sample_kurtosis(v).alias("kurtosis"),
+    )
 
 
 def extended_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

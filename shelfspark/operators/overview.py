@@ -64,9 +64,9 @@ def store_continuity(facts: DataFrame) -> DataFrame:
     )
 
 
-def missing_store_days(facts: DataFrame) -> DataFrame:
-    """(stores_count, total_missing_store_days)."""
-    return store_continuity(facts).agg(
+def missing_store_days(facts: DataFrame, continuity: DataFrame | None = None) -> DataFrame:
+    """(stores_count, total_missing_store_days), from ``store_continuity`` of the facts."""
+    return (store_continuity(facts) if continuity is None else continuity).agg(
         F.count("*").alias("stores_count"),
         F.sum(F.greatest("missing_days", F.lit(0))).alias("total_missing_store_days"),
     )

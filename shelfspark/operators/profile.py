@@ -60,7 +60,7 @@ def payment_shares(facts: DataFrame) -> DataFrame:
     )
 
 
-def _per_store(facts: DataFrame, stores: DataFrame) -> DataFrame:
+def per_store(facts: DataFrame, stores: DataFrame) -> DataFrame:
     """Additive parts per store, so the store attributes join one row per store."""
     parts = facts.groupBy("store_id").agg(
         F.sum(F.col("amount_total").cast("decimal(18,2)")).alias("sales"),
@@ -85,9 +85,9 @@ def _group_means(parts: DataFrame, key: str) -> DataFrame:
     )
 
 
-def format_performance(facts: DataFrame, stores: DataFrame) -> DataFrame:
-    """Stores, sales, tickets and units by store format, with exact medians."""
-    means = _group_means(_per_store(facts, stores), "store_format").drop("cash_share_pct")
+def format_performance(facts: DataFrame, stores: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """Stores, sales, tickets and units by store format, with exact medians. ``parts`` are those of ``per_store``."""
+    means = _group_means(per_store(facts, stores) if parts is None else parts, "store_format").drop("cash_share_pct")
     medians = median_columns(
         with_stores(facts.select("store_id", "amount_total", "avg_ticket"), stores.select("store_id", "store_format")),
         ["amount_total", "avg_ticket"],
@@ -98,9 +98,9 @@ def format_performance(facts: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
-def socioeconomic_performance(facts: DataFrame, stores: DataFrame) -> DataFrame:
-    """Stores, sales, ticket and cash share by socioeconomic level."""
-    return _group_means(_per_store(facts, stores), "socioeconomic_level").drop("mean_units_sold")
+def socioeconomic_performance(facts: DataFrame, stores: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """Stores, sales, ticket and cash share by socioeconomic level. ``parts`` are those of ``per_store``."""
+    return _group_means(per_store(facts, stores) if parts is None else parts, "socioeconomic_level").drop("mean_units_sold")
 
 
 def promotion_split(facts: DataFrame) -> DataFrame:

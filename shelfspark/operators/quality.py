@@ -28,9 +28,9 @@ def iqr_bounds(facts: DataFrame, columns: Sequence[str] = C.OUTLIER_MEASURES) ->
     )
 
 
-def iqr_outliers(facts: DataFrame, columns: Sequence[str] = C.OUTLIER_MEASURES) -> DataFrame:
-    """(column, outlier_count, outlier_pct) of readings strictly outside the bounds."""
-    bounds = iqr_bounds(facts, columns).select("column", "lower_bound", "upper_bound")
+def iqr_outliers(facts: DataFrame, columns: Sequence[str] = C.OUTLIER_MEASURES, bounds: DataFrame | None = None) -> DataFrame:
+    """(column, outlier_count, outlier_pct) of readings strictly outside the bounds, those of ``iqr_bounds`` by default."""
+    bounds = (iqr_bounds(facts, columns) if bounds is None else bounds).select("column", "lower_bound", "upper_bound")
     outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     return (
         with_lookup(long_values(facts, columns), bounds, ["column"])

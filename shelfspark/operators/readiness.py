@@ -32,9 +32,16 @@ def _pair(a: str, b: str, value: Column) -> Column:
 
 
 def correlation_pairs(facts: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(var1, var2, correlation) for every pair i < j, all in one aggregation."""
-    pairs = [_pair(a, b, F.corr(a, b)) for a, b in combinations(columns, 2)]
-    return facts.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
+    """(var1, var2, correlation) for every pair i < j, all in one aggregation.
+
+    Rows of (pair, x, y) share one aggregate. One for each pair makes a method that the JVM no longer compiles.
+    """
+    pairs = [*combinations(columns, 2)]
+    values = (F.struct(F.lit(i).alias("nth"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs))
+    found = facts.select(F.inline(F.array(*values))).groupBy("nth").agg(F.corr("x", "y").alias("correlation"))
+    named = facts.sparkSession.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "nth int, var1 string, var2 string")
+    # A pair without any row has no correlation.
+    return named.join(found, "nth", "left").select("var1", "var2", "correlation")
 
 
 def collinear_pairs(

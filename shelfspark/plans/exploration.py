@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from shelfspark import contract as C
 from shelfspark.operators import charts, columns, overview, profile, quality, readiness
+from shelfspark.session import settle
 from shelfspark.sources.documents import flatten
 
 Tables = dict[str, DataFrame]
@@ -26,9 +27,11 @@ def overview_metrics(facts: DataFrame, stores: DataFrame, calendar: DataFrame) -
         sizes = columns.cardinalities(df).select("column", "cardinality")
         parts.append(flatten(sizes, "overview", f"tables_overview.{name}", ["column"]))
     parts.append(flatten(overview.referential_match(facts, stores), "overview", "referential_integrity"))
-    parts.append(flatten(overview.missing_store_days(facts), "overview", "temporal_continuity"))
+    # What two sections are made of is written once.
+    continuity = settle(overview.store_continuity(facts), "continuity")
+    parts.append(flatten(overview.missing_store_days(facts, continuity), "overview", "temporal_continuity"))
     parts.append(flatten(overview.date_span(facts), "overview", "temporal_continuity"))
-    parts.append(flatten(overview.store_continuity(facts), "overview", "temporal_continuity.stores", ["store_id"]))
+    parts.append(flatten(continuity, "overview", "temporal_continuity.stores", ["store_id"]))
     return _union(parts)
 
 
@@ -56,19 +59,21 @@ def quality_metrics(facts: DataFrame, stores: DataFrame, calendar: DataFrame) ->
         parts.append(flatten(columns.near_constant_columns(df), "quality", f"near_constant.{name}", ["column"]))
     grouped = columns.nulls_by(facts, "category", C.GROUPED_NULL_MEASURES)
     parts.append(flatten(grouped, "quality", "grouped_missingness", ["column", "category"]))
-    parts.append(flatten(quality.iqr_bounds(facts), "quality", "iqr_outliers", ["column"]))
-    parts.append(flatten(quality.iqr_outliers(facts), "quality", "iqr_outliers", ["column"]))
+    bounds = settle(quality.iqr_bounds(facts), "bounds")
+    parts.append(flatten(bounds, "quality", "iqr_outliers", ["column"]))
+    parts.append(flatten(quality.iqr_outliers(facts, bounds=bounds), "quality", "iqr_outliers", ["column"]))
     return _union(parts)
 
 
 def profiling_metrics(facts: DataFrame, stores: DataFrame) -> DataFrame:
+    by_store = settle(profile.per_store(facts, stores), "by_store")
     return _union(
         [
             flatten(profile.describe_measures(facts), "profiling", "descriptive_stats", ["column"]),
             flatten(profile.payment_shares(facts), "profiling", "cash_vs_card"),
-            flatten(profile.format_performance(facts, stores), "profiling", "format_performance", ["store_format"]),
+            flatten(profile.format_performance(facts, stores, by_store), "profiling", "format_performance", ["store_format"]),
             flatten(
-                profile.socioeconomic_performance(facts, stores),
+                profile.socioeconomic_performance(facts, stores, by_store),
                 "profiling",
                 "socioeconomic_performance",
                 ["socioeconomic_level"],

@@ -218,3 +218,40 @@ def test_bad_csv_lines_are_kept_apart(spark, tmp_path):
     assert refused == {(line[:10] if reason == "bad date" else line): reason for line, reason in bad.items()}
     (tmp_path / "none.csv").write_text(head + "\n")
     assert retail_csv.taken(retail_csv.read_checked(spark, str(tmp_path / "none.csv"), retail_csv.C.TRANSACTIONS)).isEmpty()
+
+
+def test_columns_share_one_set_of_aggregates(spark, monkeypatch):
+    """However many columns or pairs: one set of aggregates, and the figures of each column alone; numbers are counted as numbers."""
+    from datetime import date
+    from itertools import combinations
+
+    from shelfspark.operators import columns, quality, readiness
+    from shelfspark.plans import exploration
+
+    rows = [(i, None if i % 5 == 0 else float(i % 7), -0.0 if i % 2 else 0.0, None, ["a", "b", None][i % 3]) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, v double, z double, n double, s string")
+    numeric = ["i", "v", "z", "n"]
+    described = columns.numeric_describe(df, numeric)
+    spread = ["i", "v", "n"]
+    paired = readiness.correlation_pairs(df, spread)
+    for frame, name in ((described, "skewness("), (paired, "corr(")):
+        assert 1 <= frame._jdf.queryExecution().analyzed().toString().count(name) <= 2
+    want = df.toPandas()
+    got = {r["column"]: r for r in described.collect()}
+    assert set(got) == {"i", "v", "z"}
+    for c in ("i", "v"):
+        assert (got[c]["count"], got[c]["mean"], got[c]["std"]) == (want[c].count(), pytest.approx(want[c].mean()), pytest.approx(want[c].std()))
+        assert (got[c]["skewness"], got[c]["kurtosis"]) == (pytest.approx(want[c].skew()), pytest.approx(want[c].kurt()))
+    pairs = {(r["var1"], r["var2"]): r["correlation"] for r in paired.collect()}
+    assert set(pairs) == {*combinations(spread, 2)}
+    assert pairs["i", "v"] == pytest.approx(want["i"].corr(want["v"])) and pairs["i", "n"] is None
+    assert {r["correlation"] for r in readiness.correlation_pairs(df.limit(0), spread).collect()} == {None}
+    sizes = columns.cardinalities(df)
+    assert {r["column"]: r["cardinality"] for r in sizes.collect()} == {"i": 60, "v": 8, "z": 1, "n": 1, "s": 3}
+    assert {r["column"] for r in columns.near_constant_columns(df).collect()} == {"z", "n"}
+    calls = []
+    monkeypatch.setattr(quality, "iqr_bounds", lambda *a, own=quality.iqr_bounds: calls.append(a) or own(*a))
+    facts = spark.createDataFrame([("x", "A", date(2023, 1, 1 + i), *[float(i)] * 6) for i in range(9)], "store_id string, category string, date date, amount_total double, units_sold double, avg_ticket double, amount_cash double, amount_card double, replenishment_signal double").withColumn("cash_transactions", F.lit(1))
+    plain = spark.range(3)
+    assert exploration.quality_metrics(facts, plain, plain).where("path LIKE 'iqr_outliers%'").count() == 5 * 8
+    assert len(calls) == 1
